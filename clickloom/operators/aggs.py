@@ -62,7 +62,11 @@ def windowed_distinct(
     Values are made unique per window first, so a hot value or window is spread before it is counted.
     """
     value = F.col(col) if isinstance(col, str) else col
-    unique = df.select(F.window(ts, size).alias("_w"), *keys, value.alias("_value")).distinct()
+    if df.isStreaming:
+        first = df.groupBy(F.window(ts, size).alias("_u"), *keys, value.alias("_value")).agg(F.count("*"))
+        unique = first.withColumn("_w", F.window(F.window_time("_u"), size))
+    else:
+        unique = df.select(F.window(ts, size).alias("_w"), *keys, value.alias("_value")).distinct()
     counted = unique.groupBy("_w", *keys).agg(F.count("_value").alias(name))
     return counted.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, name)
 

@@ -169,10 +169,10 @@ def burst_alert(
     span: str,
     max_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Windows that open at a key's failure, last ``span``, and hold at least ``n`` failures.
+    """Windows of ``span`` from a key's failure on, with at least ``n`` failures and no success.
 
     A window opens at the first failure after a success or after the last window closed; a success
-    ends it and its failures. The result has the keys, the opening failure's time and the count.
+    up to its end clears it. The result has the keys, the opening failure's time and the count.
 
     Failures with no success between them and gaps of at most ``span`` form a chain. A chain always
     opens a window at its start, so chains are independent. One no longer than the span is one
@@ -183,10 +183,19 @@ def burst_alert(
     ts, us = order[0], micros(span)
     rest = [c for c in order if c not in keys]
     slim = df.select(*keys, *rest, position(df, ts).alias("_us"), F.coalesce(is_fail, F.lit(False)).alias("_fail"))
-    seen = over_preceding(
+    ends = running(
         slim,
         keys,
         order,
+        {"_ok": ("min", F.when(~F.col("_fail"), F.col("_us")))},
+        reverse=True,
+        inclusive=False,
+        max_rows=max_rows,
+    )
+    seen = over_preceding(
+        ends,
+        keys,
+        order,
         1,
         lambda w: {"_last": F.lag(F.when(F.col("_fail"), F.col("_us"))).over(w)},
         max_rows=max_rows,
@@ -195,26 +204,32 @@ def burst_alert(
     chained = running(
         seen.filter("_fail"), keys, order, {"_chain": ("sum", opens.cast("long"))}, max_rows=max_rows
     )
-    # Failures of the same time are one node with a count.
-    nodes = chained.groupBy(*keys, "_chain", "_us").agg(F.count("*").alias("_n"), F.min(ts).alias("start_ts"))
+    # Failures of the same time are one node with a count; a chain has one success behind it.
+    nodes = chained.groupBy(*keys, "_chain", "_us").agg(
+        F.count("*").alias("_n"), F.min(ts).alias("start_ts"), F.min("_ok").alias("_ok")
+    )
     chains = nodes.groupBy(*keys, "_chain").agg(
         F.sum("_n").alias("n_fails"),
         F.min("start_ts").alias("start_ts"),
-        (F.max("_us") - F.min("_us")).alias("_long"),
+        F.min("_us").alias("_us"),
+        F.max("_us").alias("_end"),
+        F.min("_ok").alias("_ok"),
     )
-    short = chains.filter((F.col("_long") <= us) & (F.col("n_fails") >= n)).select(*keys, "start_ts", "n_fails")
-    long_chains = chains.filter(F.col("_long") > us).select(*keys, "_chain")
+    alert = (F.col("n_fails") >= n) & (F.col("_ok").isNull() | (F.col("_ok") > F.col("_us") + us))
+    result = [*keys, "start_ts", "n_fails"]
+    short = chains.filter(F.col("_end") - F.col("_us") <= us).filter(alert).select(*result)
+    long_chains = chains.filter(F.col("_end") - F.col("_us") > us).select(*keys, "_chain")
     if long_chains.isEmpty():
         return short
     held = nodes.join(long_chains, [*keys, "_chain"], "left_semi")
     windows = _greedy_windows(held, [*keys, "_chain"], us, max_rows)
-    return short.unionByName(windows.filter(F.col("n_fails") >= n).select(*keys, "start_ts", "n_fails"))
+    return short.unionByName(windows.filter(alert).select(*result))
 
 
 def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int) -> DataFrame:
     """Windows of length ``us`` laid one after the other over each group's nodes, with row counts.
 
-    ``nodes`` has one row per group and time ``_us``, with ``_n`` and ``start_ts``.
+    ``nodes`` has one row per group and time ``_us``, with ``_n``, ``start_ts`` and ``_ok``.
     """
     # A probe stands where a node's window ends; the next node behind it opens the next window.
     # At equal times the node sorts before the probe, since the window includes its end.
@@ -222,7 +237,7 @@ def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int)
         F.struct(F.col("_us").alias("_at"), F.lit(0).alias("_kind")),
         F.struct((F.col("_us") + us).alias("_at"), F.lit(1).alias("_kind")),
     )
-    lined = nodes.select(*group, "_us", "_n", "start_ts", F.inline(marks))
+    lined = nodes.select(*group, "_us", "_n", "start_ts", "_ok", F.inline(marks))
     behind = running(
         lined,
         group,
@@ -242,7 +257,8 @@ def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int)
     # From the probe row: everything up to the window's end; less what came before the window opened.
     per_node = checkpointed(
         upto.groupBy(*group, "_us").agg(
-            F.first("start_ts").alias("start_ts"),
+            F.min("start_ts").alias("start_ts"),
+            F.min("_ok").alias("_ok"),
             F.max(F.when(F.col("_kind") == 1, F.col("_next"))).alias("_jump"),
             F.max(F.when(F.col("_kind") == 1, F.col("_sum"))).alias("_upto"),
             F.max(F.when(F.col("_kind") == 0, F.col("_sum") - F.col("_n"))).alias("_before"),

@@ -27,14 +27,17 @@ def tumble(df: DataFrame, ts: str | Column, size: str, keys: Sequence[str], aggs
     return _bounds(df.groupBy(F.window(ts, size).alias("_w"), *keys).agg(*columns), keys, list(aggs))
 
 
-def slide(df: DataFrame, ts: str, size: str, every: str, keys: Sequence[str], aggs: Aggs) -> DataFrame:
+def slide(
+    df: DataFrame, ts: str, size: str, every: str, keys: Sequence[str], aggs: Aggs, updates: bool = False
+) -> DataFrame:
     """Aggregate per sliding window and key.
 
     When ``size`` is a multiple of ``every``, rows are first aggregated into panes of length ``every``
     and only panes are copied into the windows that cover them: one copy per pane and key instead of
-    size/every copies of each row.
+    size/every copies of each row. A stream in ``update`` mode may have only one aggregation, so
+    ``updates`` gives up the panes: late rows then change a window as long as the watermark allows.
     """
-    if micros(size) % micros(every):
+    if updates or micros(size) % micros(every):
         columns = [_DIRECT[kind](col).alias(name) for name, (kind, col) in aggs.items()]
         return _bounds(df.groupBy(F.window(ts, size, every).alias("_w"), *keys).agg(*columns), keys, list(aggs))
 

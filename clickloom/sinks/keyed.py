@@ -43,9 +43,13 @@ def _finished(spark: SparkSession, path: str, kind: str) -> list[int]:
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
 
 
-def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], mode: str = "replace") -> DataFrame | None:
-    """The table's present state; None before the first batch."""
-    bases, deltas = _finished(spark, path, "base"), _finished(spark, path, "delta")
+def read_keyed(
+    spark: SparkSession, path: str, keys: Sequence[str], mode: str = "replace", before: int | None = None
+) -> DataFrame | None:
+    """The table's present state, or the one ``before`` a batch; None when there was no batch."""
+    bases, deltas = (
+        [i for i in _finished(spark, path, kind) if before is None or i < before] for kind in ("base", "delta")
+    )
     base = bases[-1] if bases else -1
     folders = [(i, f"{path}/delta={i:012d}") for i in deltas if i > base]
     if base >= 0:

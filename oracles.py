@@ -132,6 +132,8 @@ ORACLES = {
         SELECT w.user_id, w.start_ts, CAST(count(*) AS BIGINT) AS n_fails
         FROM w JOIN f ON f.user_id = w.user_id AND f.run = w.run
           AND f.ts BETWEEN w.start_ts AND w.start_ts + INTERVAL 6 HOUR
+        WHERE NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = w.user_id AND s.event_type <> 'error'
+          AND s.ts BETWEEN w.start_ts AND w.start_ts + INTERVAL 6 HOUR)
         GROUP BY ALL HAVING count(*) >= 2""",
     "login_fail_cep": """
         SELECT user_id, start_ts, ts AS end_ts, event_type FROM (
