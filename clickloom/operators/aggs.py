@@ -43,14 +43,9 @@ def action_counts(df: DataFrame, kinds: dict[str, Column], key: str = "category"
 
     ``kinds`` maps a counter's name to an array column of keys. One row may raise several counters.
     """
-
-    def tagged(name: str, keys: Column) -> Column:
-        pairs = F.transform(keys, lambda k: F.struct(k.cast("string").alias("key"), F.lit(name).alias("kind")))
-        return F.coalesce(pairs, F.array().cast("array<struct<key:string,kind:string>>"))
-
-    ids = [tagged(name, keys) for name, keys in kinds.items()]
-    named = F.filter(F.concat(*ids), lambda x: x["key"].isNotNull())
-    flat = df.select(F.inline(named)).withColumnRenamed("key", key)
+    named = F.array(*[F.struct(F.lit(name).alias("kind"), keys.alias("keys")) for name, keys in kinds.items()])
+    given = df.select(F.inline(named)).filter(F.col("keys").isNotNull())
+    flat = given.select("kind", F.explode("keys").alias(key)).filter(F.col(key).isNotNull())
     return kind_counts(flat, key, "kind", {name: name for name in kinds})
 
 

@@ -47,12 +47,25 @@ def _with_slot(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -
     return placed.withColumn("_slot", slot).drop("_pos", "_lo", "_hi", "_slots")
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], order: str, max_rows: int) -> DataFrame | None:
+def split_limit(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> int | None:
+    """``max_rows`` if some key is above it, else None.
+
+    For a caller that takes several steps over the same keys: None tells them not to count again.
+    """
+    if max_rows is None:
+        return None
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return None if sizes.filter(F.col("_n") > max_rows).isEmpty() else max_rows
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], order: str, max_rows: int | None) -> DataFrame | None:
     """Add ``_chunk``, null for keys of normal size; None when no key is above ``max_rows``.
 
     Slots cut a hot key's time span evenly; neighbouring slots are then joined into chunks by their
     row counts. Chunk numbers rise with ``order`` and rows of equal ``order`` share a chunk.
     """
+    if max_rows is None:
+        return None
     sized = (
         df.select(*keys, position(df, order).alias("_pos"))
         .groupBy(*keys)
@@ -83,7 +96,7 @@ def _sorts(order: Sequence[str], reverse: bool) -> list[Column]:
 
 
 def _chunked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None
 ) -> tuple[DataFrame | None, list[str]]:
     """``df`` with chunks, and its keys; a table without keys is one key."""
     if keys:
@@ -98,7 +111,7 @@ def over_preceding(
     n: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     reverse: bool = False,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add window columns that look back at most ``n`` rows in the key's order.
 
@@ -142,7 +155,7 @@ def running(
     folds: dict[str, tuple[str, Column]],
     reverse: bool = False,
     inclusive: bool = True,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add running ``sum``, ``min`` or ``max`` columns from the key's first row on.
 

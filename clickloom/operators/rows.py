@@ -53,7 +53,7 @@ def adjacent_pairs(
     order: Sequence[str],
     col: str,
     names: tuple[str, str] = ("first", "second"),
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Each value with the next one of its group; the last row of a group has no pair."""
     first, second = names

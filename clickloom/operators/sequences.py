@@ -11,12 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordered import HOT_ROWS, over_preceding, running
+from clickloom.operators.ordered import HOT_ROWS, over_preceding, running, split_limit
 from clickloom.operators.topn import top_n_per_group
 from clickloom.session import checkpointed
 from clickloom.times import micros, position
 
 
+FOLD_ROWS = 1_000
+
+
 def _span(us: int) -> Column:
     return F.expr(f"INTERVAL '{us / 1e6:.6f}' SECOND")
 
@@ -26,14 +29,14 @@ def rolling_reduce(
     keys: Sequence[str],
     order: Sequence[str],
     folds: dict[str, tuple[str, Column]],
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Each record with the running sums, minima or maxima of its key so far."""
     return running(df, keys, order, folds, max_rows=max_rows)
 
 
 def jump_alert(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, threshold: float, max_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, threshold: float, max_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Rows whose value is more than ``threshold`` away from the key's previous one."""
     seen = over_preceding(df, keys, order, 1, lambda w: {"previous": F.lag(val).over(w)}, max_rows=max_rows)
@@ -41,7 +44,7 @@ def jump_alert(
 
 
 def rise_alert(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, span: str, max_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, span: str, max_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Runs in which a key's value rises, without a fall, for at least ``span``.
 
@@ -50,6 +53,7 @@ def rise_alert(
     """
     ts = order[0]
     rest = [c for c in order if c not in keys]
+    max_rows = split_limit(df, keys, max_rows)
     slim = df.select(*keys, *rest, val)
     seen = over_preceding(slim, keys, order, 1, lambda w: {"_prev": F.lag(val).over(w)}, max_rows=max_rows)
     fall = F.coalesce(F.col(val) < F.col("_prev"), F.lit(True))
@@ -67,7 +71,7 @@ def strict_sequence(
     order: Sequence[str],
     steps: Sequence[Column],
     within: str,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Consecutive rows of a key that meet the steps in turn, the last within the span of the first.
 
@@ -103,7 +107,7 @@ def followed_by(
     first: Column,
     then: Column,
     within: str,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Each row that is ``first`` with the next row of its key that is ``then``, other rows skipped.
 
@@ -132,7 +136,7 @@ def followed_by(
 
 
 def marker_watermark(
-    df: DataFrame, order: Sequence[str], ts: str, marker: Column, delay: str, max_rows: int = HOT_ROWS
+    df: DataFrame, order: Sequence[str], ts: str, marker: Column, delay: str, max_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Add the watermark that only marker rows advance, and whether a row came too late.
 
@@ -167,7 +171,7 @@ def burst_alert(
     is_fail: Column,
     n: int,
     span: str,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Windows of ``span`` from a key's failure on, with at least ``n`` failures and no success.
 
@@ -176,12 +180,11 @@ def burst_alert(
 
     Failures with no success between them and gaps of at most ``span`` form a chain. A chain always
     opens a window at its start, so chains are independent. One no longer than the span is one
-    window. In longer ones each failure points at the first failure behind its own window, and the
-    windows are what is reached from the chain's start: found by doubling the pointers, in rounds of
-    joins on unique keys, so a chain of any length is spread over all tasks.
+    window. A longer one is folded row by row, or, above ``FOLD_ROWS``, by ``_greedy_windows``.
     """
     ts, us = order[0], micros(span)
     rest = [c for c in order if c not in keys]
+    max_rows = split_limit(df, keys, max_rows)
     slim = df.select(*keys, *rest, position(df, ts).alias("_us"), F.coalesce(is_fail, F.lit(False)).alias("_fail"))
     ends = running(
         slim,
@@ -205,31 +208,58 @@ def burst_alert(
         seen.filter("_fail"), keys, order, {"_chain": ("sum", opens.cast("long"))}, max_rows=max_rows
     )
     # Failures of the same time are one node with a count; a chain has one success behind it.
-    nodes = chained.groupBy(*keys, "_chain", "_us").agg(
-        F.count("*").alias("_n"), F.min(ts).alias("start_ts"), F.min("_ok").alias("_ok")
+    nodes = checkpointed(
+        chained.groupBy(*keys, "_chain", "_us").agg(
+            F.count("*").alias("_n"), F.min(ts).alias("start_ts"), F.min("_ok").alias("_ok")
+        )
     )
-    chains = nodes.groupBy(*keys, "_chain").agg(
+    chain = [*keys, "_chain"]
+    chains = nodes.groupBy(*chain).agg(
         F.sum("_n").alias("n_fails"),
         F.min("start_ts").alias("start_ts"),
         F.min("_us").alias("_us"),
         F.max("_us").alias("_end"),
         F.min("_ok").alias("_ok"),
+        F.count("*").alias("_nodes"),
     )
     alert = (F.col("n_fails") >= n) & (F.col("_ok").isNull() | (F.col("_ok") > F.col("_us") + us))
     result = [*keys, "start_ts", "n_fails"]
-    short = chains.filter(F.col("_end") - F.col("_us") <= us).filter(alert).select(*result)
-    long_chains = chains.filter(F.col("_end") - F.col("_us") > us).select(*keys, "_chain")
-    if long_chains.isEmpty():
-        return short
-    held = nodes.join(long_chains, [*keys, "_chain"], "left_semi")
-    windows = _greedy_windows(held, [*keys, "_chain"], us, max_rows)
-    return short.unionByName(windows.filter(alert).select(*result))
+    is_long = F.col("_end") - F.col("_us") > us
+    short = chains.filter(~is_long).filter(alert).select(*result)
+    long_chains = chains.filter(is_long).select(*chain, "_nodes")
+    few = nodes.join(long_chains.filter(F.col("_nodes") <= FOLD_ROWS), chain, "left_semi")
+    found = short.unionByName(_folded_windows(few, chain, us).filter(alert).select(*result))
+    many_chains = long_chains.filter(F.col("_nodes") > FOLD_ROWS)
+    if many_chains.isEmpty():
+        return found
+    many = nodes.join(many_chains, chain, "left_semi")
+    return found.unionByName(_greedy_windows(many, chain, us, max_rows).filter(alert).select(*result))
+
+
+def _folded_windows(nodes: DataFrame, group: list[str], us: int) -> DataFrame:
+    """As ``_greedy_windows``, for groups small enough to be one array each."""
+    row = F.struct("_us", "start_ts", "_ok", F.col("_n").alias("n_fails"))
+    arrays = nodes.groupBy(*group).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    none_yet = F.slice("_rows", 1, 0)
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        same = (F.size(done) > 0) & (x["_us"] <= F.get(done, F.size(done) - 1)["_us"] + us)
+        grown = F.struct(last["_us"], last["start_ts"], last["_ok"], (last["n_fails"] + x["n_fails"]).alias("n_fails"))
+        return F.when(
+            same, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))
+        ).otherwise(F.concat(done, F.array(x)))
+
+    return arrays.select(*group, F.inline(F.aggregate("_rows", none_yet, add)))
 
 
 def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int) -> DataFrame:
     """Windows of length ``us`` laid one after the other over each group's nodes, with row counts.
 
-    ``nodes`` has one row per group and time ``_us``, with ``_n``, ``start_ts`` and ``_ok``.
+    ``nodes`` has one row per group and time ``_us``, with ``_n``, ``start_ts`` and ``_ok``. Each node
+    points at the first node behind its own window; the windows are what is reached from the group's
+    first node. Doubling the pointers finds them in a few rounds of joins on unique keys, so that a
+    group of any length is spread over all tasks.
     """
     # A probe stands where a node's window ends; the next node behind it opens the next window.
     # At equal times the node sorts before the probe, since the window includes its end.

@@ -71,7 +71,7 @@ def slide(
 
 
 def rolling(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], n: int, aggs: Aggs, max_rows: int = HOT_ROWS
+    df: DataFrame, part: Sequence[str], order: Sequence[str], n: int, aggs: Aggs, max_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Aggregates over the current row and the ``n`` rows before it."""
     return over_preceding(

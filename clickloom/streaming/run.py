@@ -101,7 +101,7 @@ def keep_blacklist(path: str, ts: str, user: str, ad: str, limit: int) -> BatchS
 
 
 def keep_marked(
-    path: str, state: str, order: Sequence[str], ts: str, marker: Column, delay: str, max_rows: int = HOT_ROWS
+    path: str, state: str, order: Sequence[str], ts: str, marker: Column, delay: str, max_rows: int | None = HOT_ROWS
 ) -> BatchSink:
     """Write each batch with the watermark of its markers and the greatest one of earlier batches."""
 
