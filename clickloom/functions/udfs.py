@@ -51,13 +51,16 @@ def top2(df: DataFrame, part: Sequence[str], val: str, ties: Sequence[str] = ())
     return top_n_per_group(df, part, order, 2).select(*part, val, "rank")
 
 
-def city_remark(df: DataFrame, keys: Sequence[str], city: str, top: int = 2) -> DataFrame:
+def city_remark(
+    df: DataFrame, keys: Sequence[str], city: str, top: int = 2, weight: str | None = None
+) -> DataFrame:
     """Rows per group and a remark: the shares of the two most frequent cities, the rest as other.
 
     Shares are whole percents; other is 100 less the named shares, only if there are more cities.
-    Rows are counted per city first, so what a group collects is one number per city.
+    Rows, or their ``weight`` if they are counts, are added up per city first, so what a group collects
+    is one number per city.
     """
-    per_city = df.groupBy(*keys, city).agg(F.count("*").alias("_n"))
+    per_city = df.groupBy(*keys, city).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     best = F.sort_array(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col(city).alias("city"))))
     grouped = per_city.groupBy(*keys).agg(
         F.sum("_n").alias("count"), F.count("*").alias("_cities"), F.slice(best, 1, top).alias("_top")

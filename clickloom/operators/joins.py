@@ -36,6 +36,22 @@ def star_left_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]])
     return reduce(lambda out, d: out.join(d[0], F.col(d[1]) == F.col(d[2]), "left"), dims, fact)
 
 
+def star_counts(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], name: str = "n") -> DataFrame:
+    """Left join dimensions to the fact's key combinations, with the rows of each in ``name``.
+
+    When every dimension can be broadcast the fact is joined as it is, each row counting 1. Otherwise
+    its key combinations are counted first, so that the joins shuffle each one once and a hot key is
+    no longer hot. Sum ``name`` to count rows.
+    """
+    sides = [(broadcast_if_small(dim), col, key) for dim, col, key in dims]
+    columns = [col for _, col, _ in dims]
+    if all(side is not dim for (side, _, _), (dim, _, _) in zip(sides, dims)):
+        rows = fact.select(*columns, F.lit(1).cast("long").alias(name))
+    else:
+        rows = fact.groupBy(*columns).agg(F.count("*").alias(name))
+    return star_left_join(rows, sides)
+
+
 def cogroup_counts(tables: dict[str, DataFrame], key: str) -> DataFrame:
     """Rows per key of several tables side by side, 0 where a table lacks the key.
 

@@ -40,11 +40,21 @@ def _join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(F.broadcast(renamed), match, "left").drop(*[f"_side_{k}" for k in keys])
 
 
-def _with_slot(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    placed = _join_keys(df.withColumn("_pos", position(df, order)), hot, keys)
+def _with_slot(df: DataFrame, ranges: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Number the equal parts of each range in ``ranges`` from 0; rows outside all ranges get null."""
+    placed = _join_keys(df, ranges, keys)
     share = (F.col("_pos") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1)
     slot = F.least(F.floor(share * F.col("_slots")), F.col("_slots") - 1)
-    return placed.withColumn("_slot", slot).drop("_pos", "_lo", "_hi", "_slots")
+    return placed.withColumn(name, slot).drop("_lo", "_hi", "_slots")
+
+
+def _ranges(sized: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    slots = F.ceil(F.col("_n") / max_rows) * SLOTS_PER_CHUNK
+    return checkpointed(sized.select(*keys, "_lo", "_hi", slots.alias("_slots")))
+
+
+def _sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
 
 
 def split_limit(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> int | None:
@@ -61,34 +71,30 @@ def split_limit(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> int
 def split_hot(df: DataFrame, keys: Sequence[str], order: str, max_rows: int | None) -> DataFrame | None:
     """Add ``_chunk``, null for keys of normal size; None when no key is above ``max_rows``.
 
-    Slots cut a hot key's time span evenly; neighbouring slots are then joined into chunks by their
-    row counts. Chunk numbers rise with ``order`` and rows of equal ``order`` share a chunk.
+    Slots cut a hot key's time span evenly, and a slot that is still too full is cut again, so a burst
+    is spread too. Neighbouring slots are then joined into chunks by their row counts. Chunk numbers
+    rise with ``order`` and rows of equal ``order`` share a chunk.
     """
     if max_rows is None:
         return None
-    sized = (
-        df.select(*keys, position(df, order).alias("_pos"))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
-        .filter(F.col("_n") > max_rows)
-    )
+    sized = _sizes(df.select(*keys, position(df, order).alias("_pos")), keys).filter(F.col("_n") > max_rows)
     if sized.isEmpty():
         return None
-    slots = F.ceil(F.col("_n") / max_rows) * SLOTS_PER_CHUNK
-    hot = checkpointed(sized.select(*keys, "_lo", "_hi", slots.alias("_slots")))
-    before = F.sum("_rows").over(
-        Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counts = (
-        _with_slot(df.select(*keys, order), hot, keys, order)
-        .filter(F.col("_slot").isNotNull())
-        .groupBy(*keys, "_slot")
-        .agg(F.count("*").alias("_rows"))
-    )
-    chunks = counts.select(
-        *keys, "_slot", F.floor(F.coalesce(before, F.lit(0)) / max_rows).alias(_CHUNK)
-    )
-    return _join_keys(_with_slot(df, hot, keys, order), checkpointed(chunks), [*keys, "_slot"]).drop("_slot")
+    parts, placed = list(keys), df.withColumn("_pos", position(df, order))
+    slots: list[str] = []
+    while True:
+        slots.append(f"_slot{len(slots)}")
+        placed = _with_slot(placed, _ranges(sized, parts, max_rows), parts, slots[-1])
+        parts = [*keys, *slots]
+        # Checkpointed, so that the next round and the chunks do not count again.
+        counts = checkpointed(_sizes(placed.filter(F.col(slots[0]).isNotNull()).select(*parts, "_pos"), parts))
+        sized = counts.filter((F.col("_n") > 2 * max_rows) & (F.col("_hi") > F.col("_lo")))
+        if sized.isEmpty():
+            break
+    in_order = Window.partitionBy(*keys).orderBy(*slots).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(in_order), F.lit(0))
+    chunks = checkpointed(counts.select(*parts, F.floor(before / max_rows).alias(_CHUNK)))
+    return _join_keys(placed, chunks, parts).drop("_pos", *slots)
 
 
 def _sorts(order: Sequence[str], reverse: bool) -> list[Column]:

@@ -70,32 +70,35 @@ def union_counts(spark: SparkSession, sf: str) -> DataFrame:
     return united.groupBy("category").agg(*[F.sum(k).alias(k) for k in KINDS])
 
 
-def _sales(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines with product, city and area; a line without a part or supplier stays."""
-    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+def _dims(spark: SparkSession, sf: str) -> list[tuple[DataFrame, str, str]]:
+    """Product by part, city and area by supplier."""
     part = load(spark, sf, "part").select("p_partkey", F.col("p_name").alias("product"))
     supplier = load(spark, sf, "supplier").join(
         places(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"), "left"
     )
-    dims = [
+    return [
         (part, "l_partkey", "p_partkey"),
         (supplier.select("s_suppkey", "city", "area"), "l_suppkey", "s_suppkey"),
     ]
-    return joins.star_left_join(lines, dims)
 
 
 def star_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    return _sales(spark, sf).select("l_orderkey", "l_linenumber", "product", "city", "area")
+    """Lines with product, city and area; a line without a part or supplier stays."""
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    sales = joins.star_left_join(lines, _dims(spark, sf))
+    return sales.select("l_orderkey", "l_linenumber", "product", "city", "area")
 
 
 def area_product_top3(spark: SparkSession, sf: str) -> DataFrame:
     """The products of rank three or better by lines in each area."""
-    counts = _sales(spark, sf).groupBy("area", "product").agg(F.count("*").alias("click_count"))
+    sales = joins.star_counts(load(spark, sf, "lineitem"), _dims(spark, sf))
+    counts = sales.groupBy("area", "product").agg(F.sum("n").alias("click_count"))
     return topn.top_by_rank(counts, ["area"], [F.desc("click_count")], 3)
 
 
 def city_remark(spark: SparkSession, sf: str) -> DataFrame:
-    return udfs.city_remark(_sales(spark, sf), ["area", "product"], "city")
+    sales = joins.star_counts(load(spark, sf, "lineitem"), _dims(spark, sf))
+    return udfs.city_remark(sales, ["area", "product"], "city", weight="n")
 
 
 def area_product_remark(spark: SparkSession, sf: str) -> DataFrame:

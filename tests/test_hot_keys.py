@@ -64,6 +64,21 @@ def test_split_equals_plain(skewed, case):
     same(CASES[case](skewed, 60), CASES[case](skewed, NONE_HOT))
 
 
+def test_bursts_in_time_are_cut_again(spark):
+    """300 of a key's rows within a second, the others over a month."""
+    rare = spark.range(100).selectExpr("1 AS k", "id * 25920L * 1000000L AS us", "id")
+    dense = spark.range(300).selectExpr("1 AS k", "1000000000000L + id * 3000L AS us", "1000 + id AS id")
+    cold = spark.range(10).selectExpr("2 AS k", "id AS us", "5000 + id AS id")
+    df = rare.union(dense).union(cold).withColumn("ts", F.timestamp_micros("us"))
+    chunks = ordered.split_hot(df, ["k"], "ts", 20)
+    sizes = {(r.k, r._chunk): r["count"] for r in chunks.groupBy("k", "_chunk").count().collect()}
+    assert sizes.pop((2, None)) == 10
+    assert sum(sizes.values()) == 400
+    assert max(sizes.values()) <= 60
+    plain = ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=None)
+    same(ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=20), plain)
+
+
 def _bursts(times, n, us):
     """(start, count) by hand: times of failures and, negative, of successes."""
     found, window = [], []
