@@ -4,8 +4,8 @@ Window functions put all rows of a key into one task. That is the right plan for
 the wrong one for a key that holds a large part of the table. The functions here first count rows per
 key. Without a key above ``max_rows`` they are plain window functions. Otherwise the timeline of each
 hot key is cut into chunks, the window runs per (key, chunk), and what a chunk needs to know of
-earlier ones comes in from the side: the last rows before it (``over_preceding``) or the aggregate of
-all earlier chunks (``running``).
+earlier ones comes in from the side: the last rows before it (``Ordered.look_back``) or the aggregate
+of all earlier chunks (``Ordered.running``).
 
 Hot keys number at most rows/max_rows and their slots at most ``SLOTS_PER_CHUNK`` times as many, so
 these side tables have a proven bound and may be broadcast.
@@ -14,6 +14,7 @@ these side tables have a proven bound and may be broadcast.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,17 +58,6 @@ def _sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
 
 
-def split_limit(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> int | None:
-    """``max_rows`` if some key is above it, else None.
-
-    For a caller that takes several steps over the same keys: None tells them not to count again.
-    """
-    if max_rows is None:
-        return None
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return None if sizes.filter(F.col("_n") > max_rows).isEmpty() else max_rows
-
-
 def split_hot(df: DataFrame, keys: Sequence[str], order: str, max_rows: int | None) -> DataFrame | None:
     """Add ``_chunk``, null for keys of normal size; None when no key is above ``max_rows``.
 
@@ -101,13 +91,102 @@ def _sorts(order: Sequence[str], reverse: bool) -> list[Column]:
     return [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
 
 
-def _chunked(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None
-) -> tuple[DataFrame | None, list[str]]:
-    """``df`` with chunks, and its keys; a table without keys is one key."""
-    if keys:
-        return split_hot(df, keys, order[0], max_rows), list(keys)
-    return split_hot(df.withColumn(_ALL, F.lit(0)), [_ALL], order[0], max_rows), [_ALL]
+@dataclass(frozen=True)
+class Ordered:
+    """A table in key order, with hot keys cut into chunks once for all the steps that follow."""
+
+    rows: DataFrame
+    keys: list[str]
+    order: list[str]
+    split: bool
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = HOT_ROWS) -> Ordered:
+        """``order`` must be a total order within each key; without keys all rows are one key.
+
+        ``max_rows=None`` takes it as known that no key is hot.
+        """
+        parts, whole = (list(keys), df) if keys else ([_ALL], df.withColumn(_ALL, F.lit(0)))
+        chunked = split_hot(whole, parts, order[0], max_rows)
+        if chunked is None:
+            return cls(df, list(keys), list(order), False)
+        return cls(chunked, parts, list(order), True)
+
+    @property
+    def _parts(self) -> list[str]:
+        return [*self.keys, _CHUNK] if self.split else self.keys
+
+    def _with(self, rows: DataFrame) -> Ordered:
+        return Ordered(rows, self.keys, self.order, self.split)
+
+    def table(self) -> DataFrame:
+        return self.rows.drop(_CHUNK, _ALL)
+
+    def filter(self, condition: Column | str) -> Ordered:
+        return self._with(self.rows.filter(condition))
+
+    def look_back(
+        self, n: int, columns: Callable[[WindowSpec], dict[str, Column]], reverse: bool = False
+    ) -> Ordered:
+        """Add window columns that look back at most ``n`` rows in the key's order.
+
+        ``columns`` gets the window and returns the new columns by name. ``reverse`` turns the order
+        round, so ``lag`` then means the next row.
+        """
+        window = Window.partitionBy(*self._parts).orderBy(*_sorts(self.order, reverse))
+        if not self.split:
+            return self._with(self.rows.withColumns(columns(window)))
+
+        # Each chunk is given the last n rows of the ones before it, which leave again afterwards.
+        chunk_sort = F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc()
+        from_end = Window.partitionBy(*self._parts).orderBy(*_sorts(self.order, not reverse))
+        ends = (
+            self.rows.filter(F.col(_CHUNK).isNotNull())
+            .withColumn("_from_end", F.row_number().over(from_end))
+            .filter(F.col("_from_end") <= n)
+        )
+        row = F.struct(*[F.col(c) for c in self.rows.columns if c != _CHUNK])
+        recent = Window.partitionBy(*self.keys).orderBy(chunk_sort, F.col("_from_end").desc())
+        handed = (
+            ends.withColumn("_row", row)
+            .withColumn("_rows", F.collect_list("_row").over(recent.rowsBetween(1 - n, 0)))
+            .filter(F.col("_from_end") == 1)
+            .withColumn("_next", F.lead(_CHUNK).over(Window.partitionBy(*self.keys).orderBy(chunk_sort)))
+            .filter(F.col("_next").isNotNull())
+            .select(F.col("_next").alias(_CHUNK), F.explode("_rows").alias("_row"))
+        )
+        halo = handed.select("_row.*", _CHUNK, F.lit(True).alias(_HALO))
+        both = self.rows.withColumn(_HALO, F.lit(False)).unionByName(halo)
+        return self._with(both.withColumns(columns(window)).filter(~F.col(_HALO)).drop(_HALO))
+
+    def running(
+        self, folds: dict[str, tuple[str, Column]], reverse: bool = False, inclusive: bool = True
+    ) -> Ordered:
+        """Add running ``sum``, ``min`` or ``max`` columns from the key's first row on.
+
+        ``inclusive=False`` leaves the current row out; ``reverse`` folds from the last row back.
+        """
+        here = Window.partitionBy(*self._parts).orderBy(*_sorts(self.order, reverse))
+        here = here.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        out = self.rows.withColumns({name: _FOLD[kind](col).over(here) for name, (kind, col) in folds.items()})
+        if not self.split:
+            return self._with(out)
+
+        # Each chunk is given the folds of all the ones before it.
+        totals = (
+            self.rows.filter(F.col(_CHUNK).isNotNull())
+            .groupBy(*self._parts)
+            .agg(*[_FOLD[kind](col).alias(f"_total_{name}") for name, (kind, col) in folds.items()])
+        )
+        chunk_sort = F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc()
+        earlier = Window.partitionBy(*self.keys).orderBy(chunk_sort).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.select(
+            *self._parts,
+            *[_FOLD[k](f"_total_{name}").over(earlier).alias(f"_in_{name}") for name, (k, _) in folds.items()],
+        )
+        out = _join_keys(out, carried, self._parts)
+        merged = {name: _merge(kind, F.col(f"_in_{name}"), F.col(name)) for name, (kind, _) in folds.items()}
+        return self._with(out.withColumns(merged).drop(*[f"_in_{name}" for name in folds]))
 
 
 def over_preceding(
@@ -119,39 +198,8 @@ def over_preceding(
     reverse: bool = False,
     max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add window columns that look back at most ``n`` rows in the key's order.
-
-    ``columns`` gets the window and returns the new columns by name. ``reverse`` turns the order
-    round, so ``lag`` then means the next row. ``order`` must be a total order.
-    """
-    sorts = _sorts(order, reverse)
-    chunked, parts = _chunked(df, keys, order, max_rows)
-    if chunked is None:
-        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*sorts)))
-
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    chunk_sort = F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc()
-    from_end = Window.partitionBy(*parts, _CHUNK).orderBy(*_sorts(order, not reverse))
-    ends = (
-        chunked.filter(F.col(_CHUNK).isNotNull())
-        .withColumn("_from_end", F.row_number().over(from_end))
-        .filter(F.col("_from_end") <= n)
-    )
-    recent = Window.partitionBy(*parts).orderBy(chunk_sort, F.col("_from_end").desc())
-    handed = (
-        ends.withColumn("_row", whole)
-        .withColumn("_rows", F.collect_list("_row").over(recent.rowsBetween(1 - n, 0)))
-        .filter(F.col("_from_end") == 1)
-        .withColumn("_next", F.lead(_CHUNK).over(Window.partitionBy(*parts).orderBy(chunk_sort)))
-        .filter(F.col("_next").isNotNull())
-        .select(F.col("_next").alias(_CHUNK), F.explode("_rows").alias("_row"))
-    )
-    halo = handed.select("_row.*", _CHUNK, F.lit(True).alias(_HALO))
-    if not keys:
-        halo = halo.withColumn(_ALL, F.lit(0))
-    both = chunked.withColumn(_HALO, F.lit(False)).unionByName(halo)
-    window = Window.partitionBy(*parts, _CHUNK).orderBy(*sorts)
-    return both.withColumns(columns(window)).filter(~F.col(_HALO)).drop(_HALO, _CHUNK, _ALL)
+    """``Ordered.look_back`` as a single step."""
+    return Ordered.of(df, keys, order, max_rows).look_back(n, columns, reverse).table()
 
 
 def running(
@@ -163,36 +211,8 @@ def running(
     inclusive: bool = True,
     max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Add running ``sum``, ``min`` or ``max`` columns from the key's first row on.
-
-    ``inclusive=False`` leaves the current row out; ``reverse`` folds from the last row back.
-    """
-    end = 0 if inclusive else -1
-    sorts = _sorts(order, reverse)
-    chunked, parts = _chunked(df, keys, order, max_rows)
-    base = df if chunked is None else chunked
-    split = keys if chunked is None else [*parts, _CHUNK]
-    window = Window.partitionBy(*split).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, end)
-    out = base.withColumns({name: _FOLD[kind](col).over(window) for name, (kind, col) in folds.items()})
-    if chunked is None:
-        return out
-
-    totals = (
-        chunked.filter(F.col(_CHUNK).isNotNull())
-        .groupBy(*parts, _CHUNK)
-        .agg(*[_FOLD[kind](col).alias(f"_total_{name}") for name, (kind, col) in folds.items()])
-    )
-    chunk_sort = F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc()
-    earlier = Window.partitionBy(*parts).orderBy(chunk_sort).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        *parts,
-        _CHUNK,
-        *[_FOLD[kind](f"_total_{name}").over(earlier).alias(f"_in_{name}") for name, (kind, _) in folds.items()],
-    )
-    out = _join_keys(out, carried, [*parts, _CHUNK])
-    return out.withColumns(
-        {name: _merge(kind, F.col(f"_in_{name}"), F.col(name)) for name, (kind, _) in folds.items()}
-    ).drop(_CHUNK, _ALL, *[f"_in_{name}" for name in folds])
+    """``Ordered.running`` as a single step."""
+    return Ordered.of(df, keys, order, max_rows).running(folds, reverse, inclusive).table()
 
 
 def _merge(kind: str, carried: Column, here: Column) -> Column:

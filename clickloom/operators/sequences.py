@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordered import HOT_ROWS, over_preceding, running, split_limit
+from clickloom.operators.ordered import HOT_ROWS, Ordered, over_preceding, running
 from clickloom.operators.topn import top_n_per_group
 from clickloom.session import checkpointed
 from clickloom.times import micros, position
@@ -53,13 +53,12 @@ def rise_alert(
     """
     ts = order[0]
     rest = [c for c in order if c not in keys]
-    max_rows = split_limit(df, keys, max_rows)
-    slim = df.select(*keys, *rest, val)
-    seen = over_preceding(slim, keys, order, 1, lambda w: {"_prev": F.lag(val).over(w)}, max_rows=max_rows)
+    seen = Ordered.of(df.select(*keys, *rest, val), keys, order, max_rows)
+    seen = seen.look_back(1, lambda w: {"_prev": F.lag(val).over(w)})
     fall = F.coalesce(F.col(val) < F.col("_prev"), F.lit(True))
     # Falls come in order, so the greatest so far is the latest.
     start = F.when(fall, F.struct(*rest, F.col(val).alias("_low")))
-    runs = running(seen, keys, order, {"_start": ("max", start)}, max_rows=max_rows)
+    runs = seen.running({"_start": ("max", start)}).table()
     begun = F.col("_start")[ts]
     lasting = runs.filter((F.col(ts) >= begun + _span(micros(span))) & (F.col(val) > F.col("_start")["_low"]))
     return lasting.groupBy(*keys, begun.alias("start_ts")).agg(F.min(ts).alias("alert_ts"))
@@ -184,28 +183,16 @@ def burst_alert(
     """
     ts, us = order[0], micros(span)
     rest = [c for c in order if c not in keys]
-    max_rows = split_limit(df, keys, max_rows)
     slim = df.select(*keys, *rest, position(df, ts).alias("_us"), F.coalesce(is_fail, F.lit(False)).alias("_fail"))
-    ends = running(
-        slim,
-        keys,
-        order,
-        {"_ok": ("min", F.when(~F.col("_fail"), F.col("_us")))},
-        reverse=True,
-        inclusive=False,
-        max_rows=max_rows,
-    )
-    seen = over_preceding(
-        ends,
-        keys,
-        order,
-        1,
-        lambda w: {"_last": F.lag(F.when(F.col("_fail"), F.col("_us"))).over(w)},
-        max_rows=max_rows,
-    )
+    success = F.when(~F.col("_fail"), F.col("_us"))
     opens = F.col("_last").isNull() | (F.col("_us") - F.col("_last") > us)
-    chained = running(
-        seen.filter("_fail"), keys, order, {"_chain": ("sum", opens.cast("long"))}, max_rows=max_rows
+    chained = (
+        Ordered.of(slim, keys, order, max_rows)
+        .running({"_ok": ("min", success)}, reverse=True, inclusive=False)
+        .look_back(1, lambda w: {"_last": F.lag(F.when(F.col("_fail"), F.col("_us"))).over(w)})
+        .filter("_fail")
+        .running({"_chain": ("sum", opens.cast("long"))})
+        .table()
     )
     # Failures of the same time are one node with a count; a chain has one success behind it.
     nodes = checkpointed(
@@ -268,30 +255,21 @@ def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int)
         F.struct((F.col("_us") + us).alias("_at"), F.lit(1).alias("_kind")),
     )
     lined = nodes.select(*group, "_us", "_n", "start_ts", "_ok", F.inline(marks))
-    behind = running(
-        lined,
-        group,
-        ["_at", "_kind"],
-        {"_next": ("min", F.when(F.col("_kind") == 0, F.col("_us")))},
-        reverse=True,
-        inclusive=False,
-        max_rows=max_rows,
-    )
-    upto = running(
-        behind,
-        group,
-        ["_at", "_kind"],
-        {"_sum": ("sum", F.when(F.col("_kind") == 0, F.col("_n")).otherwise(F.lit(0)))},
-        max_rows=max_rows,
+    at_node = F.col("_kind") == 0
+    upto = (
+        Ordered.of(lined, group, ["_at", "_kind"], max_rows)
+        .running({"_next": ("min", F.when(at_node, F.col("_us")))}, reverse=True, inclusive=False)
+        .running({"_sum": ("sum", F.when(at_node, F.col("_n")).otherwise(F.lit(0)))})
+        .table()
     )
     # From the probe row: everything up to the window's end; less what came before the window opened.
     per_node = checkpointed(
         upto.groupBy(*group, "_us").agg(
             F.min("start_ts").alias("start_ts"),
             F.min("_ok").alias("_ok"),
-            F.max(F.when(F.col("_kind") == 1, F.col("_next"))).alias("_jump"),
-            F.max(F.when(F.col("_kind") == 1, F.col("_sum"))).alias("_upto"),
-            F.max(F.when(F.col("_kind") == 0, F.col("_sum") - F.col("_n"))).alias("_before"),
+            F.max(F.when(~at_node, F.col("_next"))).alias("_jump"),
+            F.max(F.when(~at_node, F.col("_sum"))).alias("_upto"),
+            F.max(F.when(at_node, F.col("_sum") - F.col("_n"))).alias("_before"),
         )
     )
     starts = per_node.groupBy(*group).agg(F.min("_us").alias("_us"))
