@@ -27,29 +27,40 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default, name: s
     return joined.withColumn(name or value, F.coalesce("_dim_value", F.lit(default))).drop("_dim_key", "_dim_value")
 
 
-def star_left_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+Dim = tuple[DataFrame, str, str]
+
+
+def _left_joins(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
+    return reduce(lambda out, d: out.join(d[0], F.col(d[1]) == F.col(d[2]), "left"), dims, fact)
+
+
+def _checked(dims: Sequence[Dim]) -> list[Dim]:
+    return [(broadcast_if_small(dim), col, key) for dim, col, key in dims]
+
+
+def star_left_join(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     """Left join dimensions given as (table, fact column, dimension key).
 
-    No hint: the planner broadcasts a dimension whose size allows it, and for others the runtime
-    splits skewed partitions of the fact side.
+    Small dimensions are broadcast; for others the fact is shuffled, and the runtime splits the
+    partitions of its hot keys.
     """
-    return reduce(lambda out, d: out.join(d[0], F.col(d[1]) == F.col(d[2]), "left"), dims, fact)
+    return _left_joins(fact, _checked(dims))
 
 
-def star_counts(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]], name: str = "n") -> DataFrame:
-    """Left join dimensions to the fact's key combinations, with the rows of each in ``name``.
+def star_counts(fact: DataFrame, dims: Sequence[Dim], keep: Sequence[str] = (), name: str = "n") -> DataFrame:
+    """Left join dimensions to the fact's key and ``keep`` columns, with rows counted in ``name``.
 
     When every dimension can be broadcast the fact is joined as it is, each row counting 1. Otherwise
-    its key combinations are counted first, so that the joins shuffle each one once and a hot key is
-    no longer hot. Sum ``name`` to count rows.
+    its combinations of these columns are counted first, so that the joins shuffle each one once and a
+    hot key is no longer hot. Sum ``name`` to count rows.
     """
-    sides = [(broadcast_if_small(dim), col, key) for dim, col, key in dims]
-    columns = [col for _, col, _ in dims]
+    sides = _checked(dims)
+    columns = [*keep, *[col for _, col, _ in dims]]
     if all(side is not dim for (side, _, _), (dim, _, _) in zip(sides, dims)):
         rows = fact.select(*columns, F.lit(1).cast("long").alias(name))
     else:
         rows = fact.groupBy(*columns).agg(F.count("*").alias(name))
-    return star_left_join(rows, sides)
+    return _left_joins(rows, sides)
 
 
 def cogroup_counts(tables: dict[str, DataFrame], key: str) -> DataFrame:

@@ -110,7 +110,7 @@ def ad_click_cap(spark: SparkSession, sf: str, cap: int = 2) -> DataFrame:
 def ad_by_province(spark: SparkSession, sf: str, cap: int = 2) -> DataFrame:
     """Clicks below the cap per province and sliding window."""
     passed, _ = sequences.daily_cap(_ads(spark, sf), ["user_id", "event_type"], USER_ORDER, cap)
-    placed = passed.join(user_places(spark, sf), "user_id", "left")
+    placed = joins.star_left_join(passed, [user_places(spark, sf)])
     return slide(
         placed.withColumnRenamed("city", "province"), "ts", "1 hour", "5 minutes", ["province"], {"count": ("count", "*")}
     )
@@ -134,10 +134,9 @@ def blacklist_filter(spark: SparkSession, sf: str, limit: int = 20) -> DataFrame
 
 
 def ad_area_city(spark: SparkSession, sf: str) -> DataFrame:
-    """Clicks per day, area, city and ad; clicks are counted per user before the join."""
-    clicks = with_number(events(spark, sf, "click"), "ad")
-    per_user = clicks.groupBy(F.to_date("ts").alias("day"), "user_id", "ad").agg(F.count("*").alias("n"))
-    placed = per_user.join(user_places(spark, sf), "user_id", "left")
+    """Clicks per day, area, city and ad."""
+    clicks = with_number(events(spark, sf, "click"), "ad").withColumn("day", F.to_date("ts"))
+    placed = joins.star_counts(clicks, [user_places(spark, sf)], keep=["day", "ad"])
     return placed.groupBy("day", "area", "city", "ad").agg(F.sum("n").alias("count"))
 
 

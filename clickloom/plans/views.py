@@ -28,9 +28,8 @@ def places(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def user_places(spark: SparkSession, sf: str) -> DataFrame:
-    """City and area per user, by the customer of the same number."""
+def user_places(spark: SparkSession, sf: str) -> tuple[DataFrame, str, str]:
+    """The dimension of users: city and area of the customer of the same number."""
     customer = load(spark, sf, "customer")
-    return customer.join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("user_id"), "city", "area"
-    )
+    placed = customer.join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    return placed.select("c_custkey", "city", "area"), "user_id", "c_custkey"

@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import aggs, joins, sequences, topn, windows
+from clickloom.operators import aggs, joins, rows, sequences, topn, windows
 from clickloom.sinks.keyed import read_keyed
+from clickloom.sources import tables, text
 from clickloom.sources.tables import load
 from clickloom.streaming import run, stateful
 
@@ -28,8 +29,8 @@ def is_(kind):
 
 @pytest.fixture(scope="module")
 def table(spark, sf_dir):
-    rows = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return rows.withColumn("k", F.get_json_object("props", "$.k").cast("long")).drop("props").cache()
+    events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("long")).drop("props").cache()
 
 
 @pytest.fixture(scope="module")
@@ -49,8 +50,8 @@ def folder(table, tmp_path_factory):
 
 @pytest.fixture
 def stream(spark, table, folder):
-    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return run.with_event_time(rows, "ts", "1 minute")
+    events = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return run.with_event_time(events, "ts", "1 minute")
 
 
 @pytest.fixture
@@ -130,11 +131,11 @@ def test_blacklist(spark, stream, table, tmp_path):
     run.run_stream(stream, run.keep_blacklist(path, "ts", "user_id", "event_type", 2), str(tmp_path / "cp"))
     got = read_keyed(spark, path, keys, "add").filter("event_type != 'flush'")
     n = table.count()
-    rows = [r for r in table.orderBy("event_id").collect()]
+    seen = table.collect()
     counts, blocked = {}, set()
     for i in range(5):
         lo, hi = i * n // 5, (i + 1) * n // 5
-        for r in rows:
+        for r in seen:
             if lo <= r.event_id < hi and r.user_id not in blocked:
                 key = (r.ts.date(), r.user_id, r.event_type)
                 counts[key] = counts.get(key, 0) + 1
@@ -158,12 +159,12 @@ def _sides(df):
 
 
 def _stream_sides(spark, table, folder):
-    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    events = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     # The row far ahead goes to both sides, since the slower side sets the watermark.
-    pay = rows.filter(is_("purchase") | is_("flush")).select(
+    pay = events.filter(is_("purchase") | is_("flush")).select(
         "user_id", F.col("event_id").alias("pay"), F.col("ts").alias("pay_ts")
     )
-    receipt = rows.filter(is_("click") | is_("flush")).select(
+    receipt = events.filter(is_("click") | is_("flush")).select(
         "user_id", F.col("event_id").alias("rec"), F.col("ts").alias("rec_ts")
     )
     return run.with_event_time(pay, "pay_ts", "1 minute"), run.with_event_time(receipt, "rec_ts", "1 minute")
@@ -232,3 +233,49 @@ def test_daily_cap(stream, table, finished):
     cols = ["user_id", "ts", "event_id"]
     same(got.filter("not alert").drop("alert"), passed.select(cols))
     same(got.filter("alert").drop("alert"), alerts.select(cols))
+
+
+def test_stream_word_count_goes_on_after_a_restart(spark, tmp_path):
+    folder, keyed, checkpoint = tmp_path / "lines", str(tmp_path / "words"), str(tmp_path / "cp")
+    folder.mkdir()
+
+    def count():
+        words = rows.explode_words(text.stream_lines(spark, str(folder), files_per_batch=1), "value")
+        run.run_stream(run.running_counts(words, ["word"]), run.keep_keyed(keyed, ["word"]), checkpoint, "update")
+        return dict(map(tuple, read_keyed(spark, keyed, ["word"]).collect()))
+
+    (folder / "1.txt").write_text("hello flink\nhello java")
+    (folder / "2.txt").write_text("hello scala")
+    assert count() == {"hello": 3, "flink": 1, "java": 1, "scala": 1}
+    (folder / "3.txt").write_text("hello spark")
+    assert count() == {"hello": 4, "flink": 1, "java": 1, "scala": 1, "spark": 1}
+
+
+def test_stream_to_csv_file_table(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "sensor.txt").write_text("s_1, 1547718199, 35.8\ns_6, 1547718201, 15.4")
+    readings = text.parse_delimited(
+        text.stream_lines(spark, str(folder)), "id string, timestamp long, temperature double"
+    )
+    run.run_stream(readings.select("id", "temperature"), str(tmp_path / "out"), str(tmp_path / "cp"), fmt="csv")
+    assert sorted(r.value for r in text.read_lines(spark, str(tmp_path / "out")).collect()) == ["s_1,35.8", "s_6,15.4"]
+
+
+def test_clicks_per_area_add_up_over_batches(spark, stream, table, tmp_path):
+    keys = ["day", "event_type"]
+    daily = lambda df: df.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("count"))
+    add = run.keep_keyed(str(tmp_path / "n"), keys, "add")
+    run.run_stream(stream, lambda batch, i: add(daily(batch), i), str(tmp_path / "cp"))
+    got = read_keyed(spark, str(tmp_path / "n"), keys, "add").filter("event_type != 'flush'")
+    same(got, daily(table))
+
+
+def test_given_table_as_stream(spark, sf_dir, finished):
+    events = run.with_event_time(tables.stream(spark, sf_dir, "events"), "ts")
+    got = finished(windows.tumble(events, "ts", "1 day", [], {"n": ("count", "*")}))
+    whole = windows.tumble(load(spark, sf_dir, "events"), "ts", "1 day", [], {"n": ("count", "*")})
+    last = whole.agg(F.max("window_start")).first()[0]
+    # The last day stays open, since nothing later moves the watermark.
+    assert got.count() == whole.count() - 1
+    same(got.select("n"), whole.filter(F.col("window_start") < F.lit(last)).select("n"))
