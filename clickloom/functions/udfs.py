@@ -26,8 +26,8 @@ def register_hash_code(spark: SparkSession, factor: float, name: str = "hash_cod
 
 
 def temperature_avg(col: str | Column) -> Column:
-    """Average as sum over count of the values present."""
-    return F.sum(col) / F.count(col)
+    """Average as sum over count of the values present; a decimal column is summed exactly."""
+    return F.sum(col).cast("double") / F.count(col)
 
 
 def split_words(df: DataFrame, col: str, sep: str, names: tuple[str, str] = ("word", "length")) -> DataFrame:

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.times import micros, position
+from clickloom.times import interval, micros, position
 
 BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting that ``df`` is small; otherwise the join may shuffle."""
-    if df.isStreaming or df.limit(max_rows + 1).count() > max_rows:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows_of: DataFrame | None = None
+) -> DataFrame:
+    """Hint a broadcast after counting that ``df`` is small; otherwise the join may shuffle.
+
+    ``rows_of`` is counted in its place: a table that is cheaper to count and has no fewer rows.
+    """
+    counted = df if rows_of is None else rows_of
+    if counted.isStreaming or counted.count() > max_rows:
         return df
     return F.broadcast(df)
 
@@ -27,19 +34,25 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default, name: s
     return joined.withColumn(name or value, F.coalesce("_dim_value", F.lit(default))).drop("_dim_key", "_dim_value")
 
 
-Dim = tuple[DataFrame, str, str]
+class Dim(NamedTuple):
+    """A dimension: its table, the fact's column, its own key, and what to count for its size."""
+
+    table: DataFrame
+    column: str
+    key: str
+    rows_of: DataFrame | None = None
 
 
 def _left_joins(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    return reduce(lambda out, d: out.join(d[0], F.col(d[1]) == F.col(d[2]), "left"), dims, fact)
+    return reduce(lambda out, d: out.join(d.table, F.col(d.column) == F.col(d.key), "left"), dims, fact)
 
 
 def _checked(dims: Sequence[Dim]) -> list[Dim]:
-    return [(broadcast_if_small(dim), col, key) for dim, col, key in dims]
+    return [d._replace(table=broadcast_if_small(d.table, rows_of=d.rows_of)) for d in dims]
 
 
 def star_left_join(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    """Left join dimensions given as (table, fact column, dimension key).
+    """Left join dimensions, each with one row per key.
 
     Small dimensions are broadcast; for others the fact is shuffled, and the runtime splits the
     partitions of its hot keys.
@@ -55,8 +68,8 @@ def star_counts(fact: DataFrame, dims: Sequence[Dim], keep: Sequence[str] = (),
     hot key is no longer hot. Sum ``name`` to count rows.
     """
     sides = _checked(dims)
-    columns = [*keep, *[col for _, col, _ in dims]]
-    if all(side is not dim for (side, _, _), (dim, _, _) in zip(sides, dims)):
+    columns = [*keep, *[d.column for d in dims]]
+    if all(side.table is not dim.table for side, dim in zip(sides, dims)):
         rows = fact.select(*columns, F.lit(1).cast("long").alias(name))
     else:
         rows = fact.groupBy(*columns).agg(F.count("*").alias(name))
@@ -74,9 +87,7 @@ def cogroup_counts(tables: dict[str, DataFrame], key: str) -> DataFrame:
 
 
 def _bounds(lts: str, rts: str, lo: str, hi: str) -> Column:
-    after = F.col(lts) + F.expr(f"INTERVAL '{micros(lo) / 1e6:.6f}' SECOND")
-    before = F.col(lts) + F.expr(f"INTERVAL '{micros(hi) / 1e6:.6f}' SECOND")
-    return F.col(rts).between(after, before)
+    return F.col(rts).between(F.col(lts) + interval(micros(lo)), F.col(lts) + interval(micros(hi)))
 
 
 def _keys_equal(keys: Sequence[str]) -> Column:

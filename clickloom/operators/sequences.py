@@ -14,16 +14,12 @@ from pyspark.sql import functions as F
 from clickloom.operators.ordered import HOT_ROWS, Ordered, over_preceding, running
 from clickloom.operators.topn import top_n_per_group
 from clickloom.session import checkpointed
-from clickloom.times import micros, position
-
+from clickloom.times import interval, micros, position
 
+# Longest chain of failures that is folded as one array.
 FOLD_ROWS = 1_000
 
 
-def _span(us: int) -> Column:
-    return F.expr(f"INTERVAL '{us / 1e6:.6f}' SECOND")
-
-
 def rolling_reduce(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,7 +56,7 @@ def rise_alert(
     start = F.when(fall, F.struct(*rest, F.col(val).alias("_low")))
     runs = seen.running({"_start": ("max", start)}).table()
     begun = F.col("_start")[ts]
-    lasting = runs.filter((F.col(ts) >= begun + _span(micros(span))) & (F.col(val) > F.col("_start")["_low"]))
+    lasting = runs.filter((F.col(ts) >= begun + interval(micros(span))) & (F.col(val) > F.col("_start")["_low"]))
     return lasting.groupBy(*keys, begun.alias("start_ts")).agg(F.min(ts).alias("alert_ts"))
 
 
@@ -95,7 +91,7 @@ def strict_sequence(
     found = F.col("step_1").isNotNull()
     for i in range(1, count):
         found = found & F.col(f"step_{i + 1}").isNotNull()
-    close = F.col(f"step_{count}")[ts] < F.col("step_1")[ts] + _span(micros(within))
+    close = F.col(f"step_{count}")[ts] < F.col("step_1")[ts] + interval(micros(within))
     return seen.filter(found & close).select(*keys, *[f"step_{i + 1}" for i in range(count)])
 
 
@@ -128,7 +124,7 @@ def followed_by(
         inclusive=False,
         max_rows=max_rows,
     )
-    in_time = F.col("then_row")[ts] < F.col(ts) + _span(micros(within))
+    in_time = F.col("then_row")[ts] < F.col(ts) + interval(micros(within))
     return seen.filter(F.col("_first")).select(
         *keys, row.alias("first_row"), F.when(in_time, F.col("then_row")).alias("then_row")
     )
@@ -143,7 +139,7 @@ def marker_watermark(
     delay, null before the first marker.
     """
     seen = running(df, [], order, {"_top": ("max", F.when(marker, F.col(ts)))}, max_rows=max_rows)
-    seen = seen.withColumn("watermark", F.col("_top") - _span(micros(delay))).drop("_top")
+    seen = seen.withColumn("watermark", F.col("_top") - interval(micros(delay))).drop("_top")
     return seen.withColumn("late", F.coalesce(F.col(ts) <= F.col("watermark"), F.lit(False)))
 
 

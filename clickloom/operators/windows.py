@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ordered import HOT_ROWS, over_preceding
-from clickloom.times import micros
+from clickloom.times import interval, micros
 
 # An aggregate by name, over a column: ("count", "*"), ("sum", "value"), ...
 Aggs = dict[str, tuple[str, str | Column]]
@@ -55,13 +55,10 @@ def slide(
         window = F.window(F.window_time("_pane"), size, every)
         out = _bounds(panes.groupBy(window.alias("_w"), *keys).agg(*merged), keys, list(parts))
     else:
-        step, copies = micros(every), micros(size) // micros(every)
-        back = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-        shifted = panes.select("*", back.alias("_back")).withColumn(
-            "window_start", F.col("_pane.start") - F.expr(f"INTERVAL '{step / 1e6:.6f}' SECOND") * F.col("_back")
-        )
-        length = F.expr(f"INTERVAL '{micros(size) / 1e6:.6f}' SECOND")
-        out = shifted.groupBy("window_start", *keys).agg(*merged)
+        step, length = interval(micros(every)), interval(micros(size))
+        first = F.col("_pane.start") - interval(micros(size) - micros(every))
+        starts = F.explode(F.sequence(first, F.col("_pane.start"), step))
+        out = panes.withColumn("window_start", starts).groupBy("window_start", *keys).agg(*merged)
         out = out.withColumn("window_end", F.col("window_start") + length)
     results = [
         (F.col(f"_sum_{name}") / F.col(f"_count_{name}") if kind == "avg" else F.col(name)).alias(name)

@@ -26,7 +26,7 @@ def rolling_reduce(spark: SparkSession, sf: str) -> DataFrame:
         "event_id",
         "user_id",
         (F.col("first_ts") + F.expr("INTERVAL '1' SECOND") * later).alias("ts"),
-        F.round(F.col("value") + F.when(later > 0, 10.0).otherwise(0.0), 4).alias("value"),
+        (F.col("value") + F.when(later > 0, 10.0).otherwise(0.0)).alias("value"),
     )
 
 

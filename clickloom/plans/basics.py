@@ -33,7 +33,7 @@ def split_column(spark: SparkSession, sf: str) -> DataFrame:
 def scalar_hash(spark: SparkSession, sf: str) -> DataFrame:
     udfs.register_hash_code(spark, 1.23)
     customer = tables.load(spark, sf, "customer")
-    return spark.sql("SELECT c_custkey, c_name, round(hash_code(c_name), 2) AS hash FROM {c}", c=customer)
+    return spark.sql("SELECT c_custkey, c_name, hash_code(c_name) AS hash FROM {c}", c=customer)
 
 
 def split_routes(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,8 +122,8 @@ def take_ordered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def udaf_avg(spark: SparkSession, sf: str) -> DataFrame:
-    average = F.round(udfs.temperature_avg("value"), 4).alias("avg_value")
-    return events(spark, sf).groupBy("user_id").agg(average)
+    exact = F.col("value").cast("decimal(18,2)")
+    return events(spark, sf).groupBy("user_id").agg(udfs.temperature_avg(exact).alias("avg_value"))
 
 
 def top2_flat_agg(spark: SparkSession, sf: str) -> DataFrame:

@@ -70,15 +70,13 @@ def union_counts(spark: SparkSession, sf: str) -> DataFrame:
     return united.groupBy("category").agg(*[F.sum(k).alias(k) for k in KINDS])
 
 
-def _dims(spark: SparkSession, sf: str) -> list[tuple[DataFrame, str, str]]:
+def _dims(spark: SparkSession, sf: str) -> list[joins.Dim]:
     """Product by part, city and area by supplier."""
-    part = load(spark, sf, "part").select("p_partkey", F.col("p_name").alias("product"))
-    supplier = load(spark, sf, "supplier").join(
-        places(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"), "left"
-    )
+    part, supplier = load(spark, sf, "part"), load(spark, sf, "supplier")
+    placed = supplier.join(places(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return [
-        (part, "l_partkey", "p_partkey"),
-        (supplier.select("s_suppkey", "city", "area"), "l_suppkey", "s_suppkey"),
+        joins.Dim(part.select("p_partkey", F.col("p_name").alias("product")), "l_partkey", "p_partkey"),
+        joins.Dim(placed.select("s_suppkey", "city", "area"), "l_suppkey", "s_suppkey", rows_of=supplier),
     ]
 
 

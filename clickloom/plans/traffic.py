@@ -110,7 +110,7 @@ def conversion(df: DataFrame, session: list[str], order: list[str], page: str, f
     counted = steps.groupBy(F.col(page).alias("from_page"), "to_page").agg(
         F.count_if(F.col("_next") == F.col("to_page")).alias("jumps"), F.count("*").alias("visits")
     )
-    return counted.filter(F.col("jumps") > 0).withColumn("rate", F.round(F.col("jumps") / F.col("visits"), 4))
+    return counted.filter(F.col("jumps") > 0).withColumn("rate", F.col("jumps") / F.col("visits"))
 
 
 def page_conversion(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import Dim
 from clickloom.sources.tables import load
 
 USER_ORDER = ["ts", "event_id"]
@@ -28,8 +29,8 @@ def places(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def user_places(spark: SparkSession, sf: str) -> tuple[DataFrame, str, str]:
+def user_places(spark: SparkSession, sf: str) -> Dim:
     """The dimension of users: city and area of the customer of the same number."""
     customer = load(spark, sf, "customer")
     placed = customer.join(places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
-    return placed.select("c_custkey", "city", "area"), "user_id", "c_custkey"
+    return Dim(placed.select("c_custkey", "city", "area"), "user_id", "c_custkey", rows_of=customer)

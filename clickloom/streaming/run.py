@@ -15,6 +15,7 @@ from clickloom.operators.rows import exclude_keys
 from clickloom.operators.sequences import marker_watermark
 from clickloom.operators.topn import top_n_per_group
 from clickloom.sinks.keyed import read_keyed, upsert_keyed
+from clickloom.times import interval, micros
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -112,7 +113,7 @@ def keep_marked(
         before = read_keyed(spark, state, ["id"], before=batch_id)
         if before is not None:
             # One row: the greatest marker time of all batches before.
-            earlier = before.select((F.col("top") - F.expr(f"INTERVAL {delay}")).alias("_earlier"))
+            earlier = before.select((F.col("top") - interval(micros(delay))).alias("_earlier"))
             seen = seen.join(broadcast_if_small(earlier), F.lit(True), "left")
             seen = seen.withColumn("watermark", F.greatest("watermark", "_earlier")).drop("_earlier")
             seen = seen.withColumn("late", F.coalesce(F.col(ts) <= F.col("watermark"), F.lit(False)))

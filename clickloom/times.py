@@ -22,11 +22,9 @@ def micros(duration: str) -> int:
     return round(float(number) * _UNIT_US[unit.rstrip("s")])
 
 
-def interval(us: int | Column) -> Column:
+def interval(us: int) -> Column:
     """A day-time interval of ``us`` microseconds."""
-    us = F.lit(us) if isinstance(us, int) else us
-    seconds = (us.cast("decimal(24,6)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    return F.make_dt_interval(secs=seconds)
+    return F.expr(f"INTERVAL '{us / 1e6:.6f}' SECOND")
 
 
 def position(df: DataFrame, name: str) -> Column:

@@ -98,11 +98,11 @@ ORACLES = {
         counted AS (SELECT from_page, to_page, CAST(count(*) FILTER (nxt = to_page) AS BIGINT) AS jumps,
                     CAST(count(*) AS BIGINT) AS visits
                     FROM pairs JOIN flow ON page = from_page GROUP BY ALL)
-        SELECT *, round(jumps / visits, 4) AS rate FROM counted WHERE jumps > 0""",
+        SELECT *, jumps / visits AS rate FROM counted WHERE jumps > 0""",
     # alerts
     "rolling_reduce": """SELECT event_id, user_id,
         first_value(ts) OVER w + (row_number() OVER w - 1) * INTERVAL 1 SECOND AS ts,
-        round(value + CASE WHEN row_number() OVER w > 1 THEN 10 ELSE 0 END, 4) AS value
+        value + CASE WHEN row_number() OVER w > 1 THEN 10 ELSE 0 END AS value
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
     "jump_alert": """SELECT * FROM (SELECT event_id, user_id, ts, value,
         lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events) t
@@ -200,7 +200,7 @@ ORACLES = {
     "split_column": """SELECT o_orderkey, word, CAST(length(word) AS INTEGER) AS length FROM (
         SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS word FROM orders) t""",
     "scalar_hash": f"""SELECT c_custkey, c_name,
-        round((((h + 2147483648) & 4294967295) - 2147483648) * CAST(1.23 AS DOUBLE), 2) AS hash
+        (((h + 2147483648) & 4294967295) - 2147483648) * CAST(1.23 AS DOUBLE) AS hash
         FROM (SELECT *, {_HASH.format(text="c_name", seed=31, mask=(1 << 32) - 1)} AS h FROM customer) t""",
     "split_routes": "SELECT event_id, value, CASE WHEN value > 30 THEN 'High' ELSE 'Low' END AS route FROM events",
     "side_output": """SELECT event_id, CASE WHEN value >= 32 THEN value END AS value,
@@ -224,7 +224,8 @@ ORACLES = {
     "count_by_value": f"SELECT o_orderpriority, {_COUNT} FROM orders GROUP BY o_orderpriority",
     "group_count": f"SELECT o_custkey, {_COUNT} FROM orders GROUP BY o_custkey",
     "take_ordered": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
-    "udaf_avg": "SELECT user_id, round(avg(value), 4) AS avg_value FROM events GROUP BY user_id",
+    "udaf_avg": """SELECT user_id,
+        CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(value) AS avg_value FROM events GROUP BY user_id""",
     "top2_flat_agg": """SELECT * FROM (SELECT user_id, value,
         row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM events) t
         WHERE rank <= 2""",

@@ -40,4 +40,4 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> None:
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want), f"{len(got)} rows, SQL has {len(want)}"
     assert len(want) > 0
-    pd.testing.assert_frame_equal(_normal(got), _normal(want), check_dtype=False, rtol=0, atol=1e-6)
+    pd.testing.assert_frame_equal(_normal(got), _normal(want), check_dtype=False, rtol=0, atol=0)

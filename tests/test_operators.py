@@ -68,20 +68,20 @@ def test_lookup_with_default_by_broadcast_and_by_shuffle(spark, monkeypatch):
     assert got(joins.lookup(df, dim, "k", "v", 0)) == want
     big = joins.broadcast_if_small(from_rows(spark, [("a", 2), ("c", 1)], "k string, v long"), 1)
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
-    monkeypatch.setattr(joins, "broadcast_if_small", lambda d, n=0: d)
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda d, **_: d)
     assert got(joins.lookup(df, dim, "k", "v", 0)) == want
 
 
 def test_star_counts_with_large_and_small_dimensions(spark, monkeypatch):
     fact = from_rows(spark, [(1, 1), (1, 1), (1, 2), (9, None)], "a long, b long")
     dims = [
-        (from_rows(spark, [(1, "x")], "pa long, p string"), "a", "pa"),
-        (from_rows(spark, [(1, "y"), (2, "z")], "qb long, q string"), "b", "qb"),
+        joins.Dim(from_rows(spark, [(1, "x")], "pa long, p string"), "a", "pa"),
+        joins.Dim(from_rows(spark, [(1, "y"), (2, "z")], "qb long, q string"), "b", "qb"),
     ]
     want = [("x", "y", 2), ("x", "z", 1), (None, None, 1)]
     total = lambda: got(joins.star_counts(fact, dims).groupBy("p", "q").agg(F.sum("n")))
     assert total() == want
-    monkeypatch.setattr(joins, "broadcast_if_small", lambda d, n=0: d)
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda d, **_: d)
     assert total() == want
 
 
@@ -303,4 +303,4 @@ def test_conversion_counts_direct_steps(spark):
 
     df = events(spark, *[("s1", i, p) for i, p in enumerate("1213")], ("s2", 0, "1"), ("s2", 1, "2"), ("s2", 2, "3"))
     out = conversion(df, KEY, ORDER, "v", ["1", "2", "3"])
-    assert got(out) == [("1", "2", 2, 3, 0.6667), ("2", "3", 1, 2, 0.5)]
+    assert got(out) == [("1", "2", 2, 3, 2 / 3), ("2", "3", 1, 2, 0.5)]
