@@ -106,14 +106,15 @@ def interval_join(
 ) -> DataFrame:
     """Join rows of equal keys with ``rts`` in [``lts`` + lo, ``lts`` + hi], both ends included.
 
-    Batch: time buckets as wide as the interval become part of the equi key. A right row is written
-    to the at most two buckets whose left rows it can meet, a left row to one, so a hot key spreads
-    over its buckets and only neighbours in time are compared. ``how`` may be inner, left, left_semi
-    or left_anti. Streams (both sides need watermarks) join on the keys with the range as condition.
+    Time buckets as wide as the interval become part of the equi key. A right row is written to the
+    at most two buckets whose left rows it can meet, a left row to one, so a hot key spreads over its
+    buckets and only neighbours in time are compared. ``how`` may be inner, left, left_semi or
+    left_anti. On streams, which need a watermark on both sides, only inner joins use buckets; outer
+    ones join on the keys with the range as condition.
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = _keys_equal(keys) & _bounds(lts, rts, lo, hi)
-    if left.isStreaming:
+    if left.isStreaming and how != "inner":
         joined = left.join(renamed, on, how)
     else:
         if how not in ("inner", "left", "left_semi", "left_anti"):

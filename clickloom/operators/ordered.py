@@ -46,6 +46,8 @@ def _with_slot(df: DataFrame, ranges: DataFrame, keys: Sequence[str], name: str)
     placed = _join_keys(df, ranges, keys)
     share = (F.col("_pos") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1)
     slot = F.least(F.floor(share * F.col("_slots")), F.col("_slots") - 1)
+    # A missing order value sorts first.
+    slot = F.when(F.col("_pos").isNull() & F.col("_slots").isNotNull(), F.lit(0)).otherwise(slot)
     return placed.withColumn(name, slot).drop("_lo", "_hi", "_slots")
 
 

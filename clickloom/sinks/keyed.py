@@ -29,10 +29,18 @@ def _fold(rows: DataFrame, keys: Sequence[str], mode: str, newest: str | None) -
 
 
 def upsert_keyed(
-    batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], mode: str = "replace", order: str | None = None
+    batch: DataFrame,
+    batch_id: int,
+    path: str,
+    keys: Sequence[str],
+    mode: str = "replace",
+    order: str | None = None,
+    compact_every: int | None = None,
 ) -> None:
     """Write one batch: ``replace`` keeps a key's last row, by ``order`` within a batch; ``add`` sums."""
     _fold(batch, keys, mode, order).write.mode("overwrite").parquet(f"{path}/delta={batch_id:012d}")
+    if compact_every is not None and (batch_id + 1) % compact_every == 0:
+        compact_keyed(batch.sparkSession, path, keys, mode)
 
 
 def _finished(spark: SparkSession, path: str, kind: str) -> list[int]:

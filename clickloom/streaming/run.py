@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions.hashing import poly_hash
+from clickloom.operators.changes import changelog
 from clickloom.operators.joins import broadcast_if_small
 from clickloom.operators.ordered import HOT_ROWS
 from clickloom.operators.rows import exclude_keys
@@ -20,6 +21,9 @@ from clickloom.times import interval, micros
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Batches after which a keyed table is merged, so that reading it stays cheap.
+COMPACT_EVERY = 100
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -60,7 +64,20 @@ def per_batch(change: Callable[[DataFrame], DataFrame], path: str) -> BatchSink:
 
 def keep_keyed(path: str, keys: Sequence[str], mode: str = "replace", order: str | None = None) -> BatchSink:
     """Feed each batch into a keyed table."""
-    return lambda batch, batch_id: upsert_keyed(batch, batch_id, path, keys, mode, order)
+    return lambda batch, batch_id: upsert_keyed(batch, batch_id, path, keys, mode, order, COMPACT_EVERY)
+
+
+def keep_changelog(path: str, state: str, keys: Sequence[str]) -> BatchSink:
+    """Write what each batch of an ``update`` mode aggregate takes back and adds; see ``changelog``."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        before = read_keyed(batch.sparkSession, state, keys, before=batch_id)
+        # Only keys of this batch have changed.
+        old = batch.limit(0) if before is None else before.join(batch.select(*keys), list(keys), "left_semi")
+        changelog(old, batch, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+        upsert_keyed(batch, batch_id, state, keys, compact_every=COMPACT_EVERY)
+
+    return sink
 
 
 def keep_top_n(path: str, part: Sequence[str], order: Sequence[Column], n: int) -> BatchSink:
@@ -82,7 +99,7 @@ def keep_distinct(path: str, name: str = "uv") -> BatchSink:
         counts = batch.groupBy(
             F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")
         ).agg(F.count("*").alias(name))
-        upsert_keyed(counts, batch_id, path, ["window_start", "window_end"], "add")
+        upsert_keyed(counts, batch_id, path, ["window_start", "window_end"], "add", compact_every=COMPACT_EVERY)
 
     return sink
 
@@ -96,7 +113,7 @@ def keep_blacklist(path: str, ts: str, user: str, ad: str, limit: int) -> BatchS
         if counted is not None:
             batch = exclude_keys(batch, counted.filter(F.col("count") >= limit), user)
         daily = batch.groupBy(F.to_date(ts).alias("day"), user, ad).agg(F.count("*").alias("count"))
-        upsert_keyed(daily, batch_id, path, keys, "add")
+        upsert_keyed(daily, batch_id, path, keys, "add", compact_every=COMPACT_EVERY)
 
     return sink
 
@@ -119,6 +136,6 @@ def keep_marked(
             seen = seen.withColumn("late", F.coalesce(F.col(ts) <= F.col("watermark"), F.lit(False)))
             own = own.unionByName(before.select("top", "id")).groupBy("id").agg(F.max("top").alias("top"))
         seen.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
-        upsert_keyed(own.select("id", "top"), batch_id, state, ["id"])
+        upsert_keyed(own.select("id", "top"), batch_id, state, ["id"], compact_every=COMPACT_EVERY)
 
     return sink

@@ -79,6 +79,14 @@ def test_bursts_in_time_are_cut_again(spark):
     same(ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=20), plain)
 
 
+def test_missing_times_come_first(spark):
+    df = spark.range(100).selectExpr("1 AS k", "id", "if(id % 10 = 3, null, timestamp_seconds(id * 7 % 100)) AS ts")
+    folds = {"n": ("sum", F.lit(1)), "low": ("min", F.col("id"))}
+    for back in (False, True):
+        run = lambda m, back=back: ordered.running(df, ["k"], ["ts", "id"], folds, reverse=back, max_rows=m)
+        same(run(15), run(None))
+
+
 def _bursts(times, n, us):
     """(start, count) by hand: times of failures and, negative, of successes."""
     found, window = [], []

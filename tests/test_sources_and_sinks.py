@@ -105,6 +105,20 @@ def test_upsert_replaces_and_adds(spark, tmp_path):
         assert read()["b"] == (10 if mode == "replace" else 12)
 
 
+def test_compacted_now_and_then(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in [0, 1, 2, 1, 2, 3, 3]:
+        batch = text.from_rows(spark, [("a", i), ("b", 1)], "k string, v long")
+        keyed.upsert_keyed(batch, i, path, ["k"], "add", compact_every=2)
+    assert keyed._finished(spark, path, "base") == [1, 2, 3]
+    assert got_dict(keyed.read_keyed(spark, path, ["k"], "add")) == {"a": 6, "b": 4}
+    assert got_dict(keyed.read_keyed(spark, path, ["k"], "add", before=2)) == {"a": 1, "b": 2}
+
+
+def got_dict(df):
+    return dict(map(tuple, df.collect()))
+
+
 def test_upsert_keeps_the_newest_of_a_batch(spark, tmp_path):
     rows = text.from_rows(spark, [("a", 1, 9), ("a", 3, 4), ("a", 2, 8)], "k string, at long, v long")
     keyed.upsert_keyed(rows, 0, str(tmp_path / "t"), ["k"], order="at")

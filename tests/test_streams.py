@@ -13,6 +13,7 @@ from clickloom.streaming import run, stateful
 
 USER, ORDER = ["user_id"], ["ts", "event_id"]
 LAST = dt.datetime(2024, 6, 1)
+FILES = 3
 
 
 def same(a, b):
@@ -27,6 +28,14 @@ def is_(kind):
     return F.col("event_type") == kind
 
 
+@pytest.fixture(scope="module", autouse=True)
+def two_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def table(spark, sf_dir):
     events = load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -35,11 +44,11 @@ def table(spark, sf_dir):
 
 @pytest.fixture(scope="module")
 def folder(table, tmp_path_factory):
-    """Five files, each with rows of its own stretch of time in mixed order, then a row far ahead."""
+    """Files, each with rows of its own stretch of time in mixed order, then a row far ahead."""
     path = str(tmp_path_factory.mktemp("events"))
     n = table.count()
-    for i in range(5):
-        part = table.filter((F.col("event_id") >= i * n // 5) & (F.col("event_id") < (i + 1) * n // 5))
+    for i in range(FILES):
+        part = table.filter((F.col("event_id") >= i * n // FILES) & (F.col("event_id") < (i + 1) * n // FILES))
         part.orderBy(F.hash("event_id")).coalesce(1).write.mode("append").parquet(path)
     ahead = table.limit(1).withColumns(
         {"ts": F.lit(LAST), "user_id": F.lit(-1).cast("long"), "event_type": F.lit("flush")}
@@ -117,11 +126,20 @@ def test_running_counts(spark, stream, table, tmp_path):
     same(got, table.groupBy("event_type").count())
 
 
+def test_changelog_of_running_counts(spark, stream, table, tmp_path):
+    sink = run.keep_changelog(str(tmp_path / "log"), str(tmp_path / "state"), ["event_type"])
+    run.run_stream(run.running_counts(stream, ["event_type"]), sink, str(tmp_path / "cp"), "update")
+    log = spark.read.parquet(str(tmp_path / "log")).filter("event_type != 'flush'")
+    assert log.filter("not added").count() == 5 * (FILES - 1)
+    net = log.groupBy("event_type").agg(F.sum(F.when(F.col("added"), F.col("count")).otherwise(-F.col("count"))).alias("count"))
+    same(net, table.groupBy("event_type").count())
+
+
 def test_per_batch(spark, stream, table, tmp_path):
     sink = run.per_batch(lambda b: b.groupBy("event_type").count(), str(tmp_path / "n"))
     run.run_stream(stream, sink, str(tmp_path / "cp"))
     got = spark.read.parquet(str(tmp_path / "n"))
-    assert got.select("batch").distinct().count() == 6
+    assert got.select("batch").distinct().count() == FILES + 1
     total = got.filter("event_type != 'flush'").groupBy("event_type").agg(F.sum("count").alias("count"))
     same(total, table.groupBy("event_type").count())
 
@@ -133,8 +151,8 @@ def test_blacklist(spark, stream, table, tmp_path):
     n = table.count()
     seen = table.collect()
     counts, blocked = {}, set()
-    for i in range(5):
-        lo, hi = i * n // 5, (i + 1) * n // 5
+    for i in range(FILES):
+        lo, hi = i * n // FILES, (i + 1) * n // FILES
         for r in seen:
             if lo <= r.event_id < hi and r.user_id not in blocked:
                 key = (r.ts.date(), r.user_id, r.event_type)
