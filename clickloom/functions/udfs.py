@@ -58,9 +58,10 @@ def city_remark(
 
     Shares are whole percents; other is 100 less the named shares, only if there are more cities.
     Rows, or their ``weight`` if they are counts, are added up per city first, so what a group collects
-    is one number per city.
+    is one number per city. A missing city shows as ``null``.
     """
-    per_city = df.groupBy(*keys, city).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
+    named_city = F.coalesce(F.col(city), F.lit("null")).alias(city)
+    per_city = df.groupBy(*keys, named_city).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     best = F.sort_array(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col(city).alias("city"))))
     grouped = per_city.groupBy(*keys).agg(
         F.sum("_n").alias("count"), F.count("*").alias("_cities"), F.slice(best, 1, top).alias("_top")

@@ -168,7 +168,7 @@ def access_log(spark: SparkSession, sf: str) -> DataFrame:
         " ",
         F.concat(F.lit("10.0.0."), "k"),
         F.lit("-"),
-        F.col("user_id").cast("string"),
+        F.coalesce(F.col("user_id").cast("string"), F.lit("-")),
         F.date_format("ts", text.ACCESS_LOG_TIME),
         F.lit("+0000"),
         F.lit("GET"),

@@ -45,7 +45,7 @@ _PAYS = "(SELECT user_id, event_id AS pay_event, ts AS pay_ts FROM events WHERE
 _RECEIPTS = "(SELECT user_id, event_id AS receipt_event, ts AS receipt_ts FROM events WHERE event_type = 'click')"
 _NEAR = "p.user_id = r.user_id AND receipt_ts BETWEEN pay_ts - INTERVAL 1 HOUR AND pay_ts + INTERVAL 1 HOUR"
 _REMARK = f"""
-    WITH per_city AS (SELECT area, product, city, count(*) AS n FROM {_SALES} s GROUP BY ALL),
+    WITH per_city AS (SELECT area, product, coalesce(city, 'null') AS city, count(*) AS n FROM {_SALES} s GROUP BY ALL),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY area, product ORDER BY n DESC, city) AS rn,
                  sum(n) OVER (PARTITION BY area, product) AS total,
                  count(*) OVER (PARTITION BY area, product) AS cities FROM per_city),
@@ -70,7 +70,7 @@ ORACLES = {
     "uv_exact": f"""SELECT {_HOUR}, CAST(count(DISTINCT user_id) AS BIGINT) AS uv
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
     "uv_bitmap": f"""SELECT {_HOUR}, CAST(count(DISTINCT {_HASH.format(
-        text="CAST(user_id AS VARCHAR)", seed=61, mask=(1 << 29) - 1)}) AS BIGINT) AS uv
+        text="CAST(user_id AS VARCHAR)", seed=61, mask=(1 << 29) - 1)}) FILTER (user_id IS NOT NULL) AS BIGINT) AS uv
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
     "marketing_total": f"""SELECT *, 'app' AS behavior, 'total' AS channel FROM (
         {_slide("SELECT ts FROM events WHERE event_type <> 'error'", 12, "5 MINUTE", "", _COUNT)}) t""",
@@ -127,12 +127,12 @@ ORACLES = {
         w(user_id, run, start_ts) AS (
             SELECT user_id, run, min(ts) FROM f GROUP BY ALL
             UNION
-            SELECT f.user_id, f.run, min(f.ts) FROM w JOIN f ON f.user_id = w.user_id AND f.run = w.run
+            SELECT f.user_id, f.run, min(f.ts) FROM w JOIN f ON f.user_id IS NOT DISTINCT FROM w.user_id AND f.run = w.run
               AND f.ts > w.start_ts + INTERVAL 6 HOUR GROUP BY ALL)
         SELECT w.user_id, w.start_ts, CAST(count(*) AS BIGINT) AS n_fails
-        FROM w JOIN f ON f.user_id = w.user_id AND f.run = w.run
+        FROM w JOIN f ON f.user_id IS NOT DISTINCT FROM w.user_id AND f.run = w.run
           AND f.ts BETWEEN w.start_ts AND w.start_ts + INTERVAL 6 HOUR
-        WHERE NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = w.user_id AND s.event_type <> 'error'
+        WHERE NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id IS NOT DISTINCT FROM w.user_id AND s.event_type <> 'error'
           AND s.ts BETWEEN w.start_ts AND w.start_ts + INTERVAL 6 HOUR)
         GROUP BY ALL HAVING count(*) >= 2""",
     "login_fail_cep": """
@@ -143,7 +143,7 @@ ORACLES = {
     "order_pay": """
         WITH pairs AS (SELECT o.user_id, o.event_id AS order_event, o.ts AS order_ts,
             (SELECT min_by(p.event_id, p.ts) FROM events p
-             WHERE p.user_id = o.user_id AND p.event_type = 'purchase'
+             WHERE p.user_id IS NOT DISTINCT FROM o.user_id AND p.event_type = 'purchase'
                AND (p.ts > o.ts OR (p.ts = o.ts AND p.event_id > o.event_id))
                AND p.ts < o.ts + INTERVAL 12 HOUR) AS pay_event
           FROM events o WHERE o.event_type = 'signup')
@@ -164,8 +164,9 @@ ORACLES = {
     "ad_blacklist": f"""SELECT user_id, max(n) AS max_count, CAST(count(*) AS BIGINT) AS times FROM (
         SELECT CAST(ts AS DATE) AS day, user_id, {K} % 4 AS ad, CAST(count(*) AS BIGINT) AS n
         FROM events WHERE event_type = 'click' GROUP BY ALL) t WHERE n >= 2 GROUP BY user_id""",
-    "blacklist_filter": """SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' AND user_id NOT IN (
-        SELECT user_id FROM events WHERE event_type = 'click' GROUP BY user_id HAVING count(*) >= 20)""",
+    "blacklist_filter": """SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' AND NOT EXISTS (
+        SELECT 1 FROM (SELECT user_id FROM events WHERE event_type = 'click' GROUP BY user_id HAVING count(*) >= 20) b
+        WHERE b.user_id = events.user_id)""",
     "ad_area_city": f"""SELECT CAST(ts AS DATE) AS day, area, city, {K} AS ad, {_COUNT}
         FROM events e LEFT JOIN {_USER_PLACES} u ON e.user_id = u.user_id
         WHERE event_type = 'click' GROUP BY ALL""",
@@ -240,7 +241,7 @@ ORACLES = {
     "delimited_lines": """SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
         ts FROM events""",
     "csv_messages": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
-    "access_log": f"""SELECT '10.0.0.' || {K} AS ip, CAST(user_id AS VARCHAR) AS user_id,
+    "access_log": f"""SELECT '10.0.0.' || {K} AS ip, coalesce(CAST(user_id AS VARCHAR), '-') AS user_id,
         date_trunc('second', ts) AS event_time, 'GET' AS method, '/' || {K} AS url
         FROM events WHERE event_type = 'view'""",
     "documents_json": """SELECT CAST(c_custkey AS VARCHAR) AS id, '{"c_name":"' || c_name || '","c_nationkey":"'
