@@ -18,6 +18,8 @@ from clickloom.times import interval, micros, position
 
 # Longest chain of failures that is folded as one array.
 FOLD_ROWS = 1_000
+# Ranks up to which the optimizer limits groups before the shuffle, by default.
+GROUP_LIMIT = 1_000
 
 
 def rolling_reduce(
@@ -144,16 +146,19 @@ def marker_watermark(
 
 
 def daily_cap(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cap: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cap: int, max_rows: int | None = HOT_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(passed, alerts): the first ``cap`` rows per key and day, and the one row that broke the cap.
 
-    Only the first ``cap + 1`` rows of a key and day matter, so that is all each task passes on.
+    Only the first ``cap + 1`` rows of a key and day matter. Up to ``GROUP_LIMIT`` of them, that is all
+    each task passes on; for higher caps rows are numbered with hot keys split.
     """
     day = F.date_trunc("day", F.col(order[0])).cast(df.schema[order[0]].dataType)
-    first = top_n_per_group(
-        df.withColumn("day", day), [*keys, "day"], [F.col(c) for c in order], cap + 1, rank="_nth"
-    )
+    dated, group = df.withColumn("day", day), [*keys, "day"]
+    if cap < GROUP_LIMIT:
+        first = top_n_per_group(dated, group, [F.col(c) for c in order], cap + 1, rank="_nth")
+    else:
+        first = running(dated, group, order, {"_nth": ("sum", F.lit(1))}, max_rows=max_rows)
     passed = first.filter(F.col("_nth") <= cap).drop("_nth", "day")
     alerts = first.filter(F.col("_nth") == cap + 1).drop("_nth")
     return passed, alerts

@@ -1,7 +1,8 @@
 """Top rows of a table, per group and per window.
 
 A ranking filter against a constant lets the optimizer keep the best rows of each input partition
-before the shuffle, so a hot group sends n rows per partition and not all of its rows.
+before the shuffle, so a hot group sends n rows per partition and not all of its rows. It does so up to
+``spark.sql.optimizer.windowGroupLimitThreshold``, which is 1000 by default.
 """
 
 from __future__ import annotations

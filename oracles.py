@@ -16,7 +16,7 @@ def _slide(source: str, size_panes: int, every: str, keys: str, aggs: str) -> st
 def _top(counts: str, item: str, n: int) -> str:
     return f"""
     SELECT * FROM (
-      SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, {item}) AS rank
+      SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY count DESC, {item}) AS INTEGER) AS rank
       FROM ({counts}) c) t
     WHERE rank <= {n}"""
 
@@ -172,7 +172,7 @@ ORACLES = {
         WHERE event_type = 'click' GROUP BY ALL""",
     # products
     "ad_top3_by_province": """SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY province ORDER BY times DESC, ad) AS rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY province ORDER BY times DESC, ad) AS INTEGER) AS rank FROM (
           SELECT n_name AS province, o_orderpriority AS ad, CAST(count(*) AS BIGINT) AS times
           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
           GROUP BY ALL) c) t WHERE rank <= 3""",
@@ -183,15 +183,15 @@ ORACLES = {
     "category_top10": f"SELECT * FROM ({_CATEGORIES}) c ORDER BY clicks DESC, orders DESC, pays DESC, category LIMIT 10",
     "star_left_join": f"SELECT * FROM {_SALES} s",
     "area_product_top3": f"""SELECT * FROM (
-        SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank FROM (
+        SELECT *, CAST(rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS INTEGER) AS rank FROM (
           SELECT area, product, CAST(count(*) AS BIGINT) AS click_count FROM {_SALES} s GROUP BY ALL) c) t
         WHERE rank <= 3""",
     "city_remark": f"{_REMARK} SELECT * FROM remarked",
     "area_product_remark": f"""{_REMARK}
-        SELECT * FROM (SELECT *, rank() OVER (PARTITION BY area ORDER BY count DESC) AS rank FROM remarked) t
+        SELECT * FROM (SELECT *, CAST(rank() OVER (PARTITION BY area ORDER BY count DESC) AS INTEGER) AS rank FROM remarked) t
         WHERE rank <= 3""",
     "rank_top3": f"""SELECT * FROM (
-        SELECT *, rank() OVER (PARTITION BY p_brand ORDER BY count DESC) AS rank FROM (
+        SELECT *, CAST(rank() OVER (PARTITION BY p_brand ORDER BY count DESC) AS INTEGER) AS rank FROM (
           SELECT p_brand, p_type, {_COUNT} FROM part GROUP BY ALL) c) t WHERE rank <= 3""",
     # basics
     "word_count": f"""SELECT word, {_COUNT} FROM (
@@ -228,7 +228,7 @@ ORACLES = {
     "udaf_avg": """SELECT user_id,
         CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(value) AS avg_value FROM events GROUP BY user_id""",
     "top2_flat_agg": """SELECT * FROM (SELECT user_id, value,
-        row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM events) t
+        CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) t
         WHERE rank <= 2""",
     "retract_changelog": """
         WITH prev AS (SELECT user_id, CAST(count(*) AS BIGINT) AS count FROM events

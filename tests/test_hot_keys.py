@@ -79,6 +79,13 @@ def test_bursts_in_time_are_cut_again(spark):
     same(ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=20), plain)
 
 
+def test_high_caps_number_rows_with_hot_keys_split(spark):
+    df = spark.range(1200).selectExpr("1 AS k", "timestamp_micros(id * 1000) AS ts", "id")
+    passed, alerts = sequences.daily_cap(df, ["k"], ["ts", "id"], 1000, max_rows=100)
+    assert passed.agg(F.count("*"), F.max("id")).first() == (1000, 999)
+    assert [r.id for r in alerts.collect()] == [1000]
+
+
 def test_missing_times_come_first(spark):
     df = spark.range(100).selectExpr("1 AS k", "id", "if(id % 10 = 3, null, timestamp_seconds(id * 7 % 100)) AS ts")
     folds = {"n": ("sum", F.lit(1)), "low": ("min", F.col("id"))}

@@ -5,6 +5,15 @@ from oracle import compare, duck
 
 import __spark_entry__ as contract
 
+TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
@@ -15,9 +24,12 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, con, sf_dir):
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    df = QUERIES[name](spark, sf_dir)
+    got = df.toPandas()
     if name in ORACLES:
         compare(got, con.execute(ORACLES[name]).df())
+        described = con.execute(f"DESCRIBE {ORACLES[name].strip()}").fetchall()
+        assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == {r[0]: r[1] for r in described}
     else:
         assert len(got) > 0
 
