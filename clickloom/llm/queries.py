@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.packing import pack_documents
+from clickloom.llm.shared import shared_folder
 from clickloom.llm.substring_dedup import remove_repeated_words
 from clickloom.llm.suffix_dedup import remove_repeated_bytes
+from clickloom.llm.token_files import read_documents, write_token_files
 from clickloom.sources.tables import load
 
 
+def byte_bpe() -> str:
+    """The tokenizer of the production queries; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
     out = remove_repeated_words(docs, window=50)
@@ -22,5 +32,15 @@ def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup)}
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark)
+    write_token_files(load(spark, sf, "documents").select("doc_id", "text"), folder, byte_bpe(), end_id=0)
+    return read_documents(spark, folder)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(load(spark, sf, "documents").select("doc_id", "text"), byte_bpe(), capacity=2048, end_id=0)
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup, op9_token_files, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
