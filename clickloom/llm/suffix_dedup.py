@@ -22,6 +22,7 @@ from clickloom.llm.repeats import Spans, by_bucket, without_repeats
 from clickloom.llm.substring_dedup import covered, n_runs
 
 _SPREAD = A.mix(np.arange(1, 257, dtype=np.uint64))
+_AGAIN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class BlindTrie:
@@ -156,7 +157,8 @@ class SuffixAnchors:
             return none, none, np.zeros(0, np.uint64), none, none
         at, first, last = anchor[start[edges[:-1]]], start[edges[:-1]], start[edges[1:] - 1]
         text = np.searchsorted(texts.offsets, first, "right") - 1
-        return text, at - texts.offsets[text], hashes[at], at - last, at - first
+        # Anchors have small hashes; mixed once more, their keys spread evenly over the buckets.
+        return text, at - texts.offsets[text], A.mix(hashes[at] + _AGAIN), at - last, at - first
 
     def anchors(self, texts: A.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         text, place, key, _, _ = self._chosen(texts)
