@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm import language_id, quality
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.shared import shared_folder
+from clickloom.llm.sharding import read_shards, write_shards
 from clickloom.llm.substring_dedup import remove_repeated_words
 from clickloom.llm.suffix_dedup import remove_repeated_bytes
 from clickloom.llm.token_files import read_documents, write_token_files
@@ -20,6 +22,15 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Learned on the documents outside the held-out fourth."""
+    docs = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language_id.train(docs.filter(~held_out))
+    out = language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return out.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
     out = remove_repeated_words(docs, window=50)
@@ -32,6 +43,28 @@ def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    forest = quality.fit(docs, load(spark, sf, "labels"))
+    return quality.judge(docs, forest).select("row.doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
+def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    folder = shared_folder(spark)
+    write_shards(docs, folder, shards=8)
+    text = F.coalesce("row.text", F.lit(""))
+    return read_shards(spark, folder, docs).select(
+        "row.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)
     write_token_files(load(spark, sf, "documents").select("doc_id", "text"), folder, byte_bpe(), end_id=0)
@@ -42,5 +75,16 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(load(spark, sf, "documents").select("doc_id", "text"), byte_bpe(), capacity=2048, end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_suffix_dedup, op9_token_files, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language_id,
+        op2_substring_dedup,
+        op4_suffix_dedup,
+        op7_quality_rules,
+        op8_sharding,
+        op9_token_files,
+        op10_best_fit_packing,
+    )
+}
 ORACLES: dict[str, str] = {}
