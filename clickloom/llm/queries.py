@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import language_id, quality
+from clickloom.llm import chat, language_id, quality
+from clickloom.llm.decontamination import find_contamination
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.shared import shared_folder
 from clickloom.llm.sharding import read_shards, write_shards
@@ -37,12 +38,33 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row.doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = load(spark, sf, "documents"), load(spark, sf, "benchmark")
+    found = find_contamination(docs.select("doc_id", "text"), items.select("item_id", "text"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
     out = remove_repeated_bytes(docs, length=200)
     return out.select("row.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    turns = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    # One conversation more, made of the format's own control strings.
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.read_back(chat.format_conversations(turns.unionByName(more)))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
     forest = quality.fit(docs, load(spark, sf, "labels"))
@@ -80,11 +102,61 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_substring_dedup,
+        op3_decontamination,
         op4_suffix_dedup,
+        op5_chat_formatting,
         op7_quality_rules,
         op8_sharding,
         op9_token_files,
         op10_best_fit_packing,
     )
 }
-ORACLES: dict[str, str] = {}
+#: Words between blanks, as a list; a null text has none.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Lower-cased words of letters and digits.
+_ALNUM = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def _escaped(column: str) -> str:
+    once = rf"regexp_replace(coalesce({column}, ''), '(<\\*)(/?s>)', '\1\\\2', 'g')"
+    return rf"regexp_replace({once}, '(\[\\*)(/?INST\])', '\1\\\2', 'g')"
+
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        s AS (SELECT doc_id, unnest(generate_series(1, len(w) - 49)) AS i, w FROM d WHERE len(w) >= 50),
+        windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
+        later AS (SELECT doc_id, i FROM windows JOIN (SELECT h, min(doc_id) AS least FROM windows GROUP BY h) USING (h) WHERE doc_id > least),
+        gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS k FROM later),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS t FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+        b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+        bs AS (SELECT item_id, least(len(w), 10) AS n, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0),
+        bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM bs),
+        lengths AS (SELECT DISTINCT n FROM bw),
+        ds AS (SELECT doc_id, n, w, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lengths WHERE len(w) >= n),
+        hits AS (SELECT doc_id, i, n, item_id FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM ds) JOIN bw USING (n, t)),
+        words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS t
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(t, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op5_chat_formatting": f"""
+        WITH turns AS (
+            SELECT conv_id::BIGINT AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length('<s>[INST] ') + length({_escaped("role")}) + length(' [/INST] ') + length({_escaped("text")}) + length('</s>'))::BIGINT
+                   AS formatted_chars
+        FROM turns GROUP BY conv_id""",
+}
