@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import chat, language_id, quality
 from clickloom.llm.decontamination import find_contamination
+from clickloom.llm.jaccard import similar_groups
 from clickloom.llm.packing import pack_documents
 from clickloom.llm.shared import shared_folder
 from clickloom.llm.sharding import read_shards, write_shards
@@ -65,6 +66,10 @@ def op5_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(more)))
 
 
+def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_groups(load(spark, sf, "documents").select("doc_id", "text"), words=3, percent=90)
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
     forest = quality.fit(docs, load(spark, sf, "labels"))
@@ -105,6 +110,7 @@ QUERIES = {
         op3_decontamination,
         op4_suffix_dedup,
         op5_chat_formatting,
+        op6_jaccard_join,
         op7_quality_rules,
         op8_sharding,
         op9_token_files,
@@ -159,4 +165,18 @@ ORACLES: dict[str, str] = {
                sum(length('<s>[INST] ') + length({_escaped("role")}) + length(' [/INST] ') + length({_escaped("text")}) + length('</s>'))::BIGINT
                    AS formatted_chars
         FROM turns GROUP BY conv_id""",
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM w WHERE len(w) > 0),
+        sets AS MATERIALIZED (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 2], ' ') || least(len(w), 3)) AS h FROM s),
+        sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b USING (h) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS MATERIALIZED (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common.n >= 90 * (x.n + y.n - common.n)),
+        ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)""",
 }
