@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,18 +58,21 @@ def city_remark(
     """Rows per group and a remark: the shares of the two most frequent cities, the rest as other.
 
     Shares are whole percents; other is 100 less the named shares, only if there are more cities.
-    Rows, or their ``weight`` if they are counts, are added up per city first, so what a group collects
-    is one number per city. A missing city shows as ``null``.
+    Rows, or their ``weight`` if they are counts, are added up per city first. Of a group only its best
+    cities, found by rank, and two totals come together. A missing city shows as ``null``.
     """
     named_city = F.coalesce(F.col(city), F.lit("null")).alias(city)
     per_city = df.groupBy(*keys, named_city).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
-    best = F.sort_array(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col(city).alias("city"))))
-    grouped = per_city.groupBy(*keys).agg(
-        F.sum("_n").alias("count"), F.count("*").alias("_cities"), F.slice(best, 1, top).alias("_top")
-    )
-    share = lambda x: F.floor(-x["n"] * 100 / F.col("count"))
+    totals = per_city.groupBy(*keys).agg(F.sum("_n").alias("count"), F.count("*").alias("_cities"))
+    best = top_n_per_group(per_city, keys, [F.desc("_n"), F.asc(city)], top, rank="_rank")
+    ranked = F.sort_array(F.collect_list(F.struct(F.col("_rank"), F.col("_n").alias("n"), F.col(city).alias("city"))))
+    named_best = best.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(ranked.alias("_top"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+    grouped = totals.join(named_best, same)
+    share = lambda x: F.floor(x["n"] * 100 / F.col("count"))
     named = F.array_join(F.transform("_top", lambda x: F.concat_ws(" ", x["city"], share(x).cast("string"), F.lit("%"))), ",")
     given = F.aggregate("_top", F.lit(0).cast("long"), lambda a, x: a + share(x))
+    # Fixed value: the report's word for other cities.
     other = F.when(F.col("_cities") > top, F.concat(F.lit(",其它 "), (100 - given).cast("string"), F.lit(" %")))
     remark = F.concat(named, F.coalesce(other, F.lit("")))
     return grouped.select(*keys, "count", remark.alias("city_remark"))

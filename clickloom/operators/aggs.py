@@ -38,15 +38,20 @@ def kind_counts(df: DataFrame, key: str, kind: str, kinds: dict[str, str]) -> Da
     return df.groupBy(key).agg(*[F.count_if(F.col(kind) == value).alias(name) for name, value in kinds.items()])
 
 
-def action_counts(df: DataFrame, kinds: dict[str, Column], key: str = "category") -> DataFrame:
+def action_counts(
+    df: DataFrame, kinds: dict[str, Column], key: str = "category", weight: str | None = None
+) -> DataFrame:
     """Count keys that each row names per kind, singly or as an array, in one shuffle.
 
-    ``kinds`` maps a counter's name to an array column of keys. One row may raise several counters.
+    ``kinds`` maps a counter's name to an array column of keys. One row may raise several counters, by
+    one or by its ``weight``, if rows are counts.
     """
+    raised = F.col(weight) if weight else F.lit(1).cast("long")
     named = F.array(*[F.struct(F.lit(name).alias("kind"), keys.alias("keys")) for name, keys in kinds.items()])
-    given = df.select(F.inline(named)).filter(F.col("keys").isNotNull())
-    flat = given.select("kind", F.explode("keys").alias(key)).filter(F.col(key).isNotNull())
-    return kind_counts(flat, key, "kind", {name: name for name in kinds})
+    given = df.select(raised.alias("_n"), F.inline(named)).filter(F.col("keys").isNotNull())
+    flat = given.select("_n", "kind", F.explode("keys").alias(key)).filter(F.col(key).isNotNull())
+    per_kind = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("_n"))), F.lit(0).cast("long")).alias(k) for k in kinds]
+    return flat.groupBy(key).agg(*per_kind)
 
 
 def windowed_distinct(

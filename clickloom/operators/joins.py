@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from clickloom.operators.ordered import HOT_ROWS, Ordered
 from clickloom.times import interval, micros, position
 
-BROADCAST_ROWS = 500_000
+#: Bytes of a table that may be broadcast, as Spark keeps rows: eight for a number and more for texts.
+BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes that a row of ``df`` takes in memory, by Spark's own estimate for its types."""
+    return int(df._jdf.queryExecution().analyzed().schema().defaultSize()) + 8
 
 
 def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows_of: DataFrame | None = None
+    df: DataFrame, max_bytes: int = BROADCAST_BYTES, rows_of: DataFrame | None = None
 ) -> DataFrame:
-    """Hint a broadcast after counting that ``df`` is small; otherwise the join may shuffle.
+    """Hint a broadcast after finding that ``df`` is small in bytes; otherwise the join may shuffle.
 
-    ``rows_of`` is counted in its place: a table that is cheaper to count and has no fewer rows.
+    Texts are counted with their true lengths where ``df`` itself is counted. ``rows_of`` is counted in
+    its place: a table that is cheaper to count and has no fewer rows.
     """
-    counted = df if rows_of is None else rows_of
-    if counted.isStreaming or counted.count() > max_rows:
+    if df.isStreaming:
         return df
-    return F.broadcast(df)
+    if rows_of is not None:
+        size = rows_of.count() * row_bytes(df)
+    else:
+        texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+        fixed = row_bytes(df.select(*[f"`{f.name}`" for f in df.schema if f.dataType.typeName() not in ("string", "binary")]))
+        size = df.agg(F.sum(reduce(lambda a, b: a + b, texts, F.lit(fixed + 8 * len(texts))).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default, name: str | None = None) -> DataFrame:
@@ -76,12 +93,14 @@ def star_counts(fact: DataFrame, dims: Sequence[Dim], keep: Sequence[str] = (),
     return _left_joins(rows, sides)
 
 
-def cogroup_counts(tables: dict[str, DataFrame], key: str) -> DataFrame:
+def cogroup_counts(tables: dict[str, DataFrame], key: str, weight: str | None = None) -> DataFrame:
     """Rows per key of several tables side by side, 0 where a table lacks the key.
 
-    Every table is counted before the join, so the join sees one row per key.
+    Every table is counted before the join, so the join sees one row per key. ``weight`` is added up
+    where rows are counts.
     """
-    counted = [df.groupBy(key).agg(F.count("*").alias(name)) for name, df in tables.items()]
+    n = F.sum(weight) if weight else F.count("*")
+    counted = [df.groupBy(key).agg(n.alias(name)) for name, df in tables.items()]
     joined = reduce(lambda a, b: a.join(b, key, "full_outer"), counted)
     return joined.fillna(0, list(tables))
 
@@ -131,25 +150,88 @@ def interval_join(
 
 
 def reconcile(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, tolerance: str
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    lts: str,
+    rts: str,
+    tolerance: str,
+    max_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Matched pairs and the rows of either side that met no partner, told apart by ``status``.
+    """Match rows one to one: each is used up by its first partner within ``tolerance``.
+
+    The rows of both sides of a key are taken in time order, at equal times left ones first, then by
+    their other columns. A row meets the earliest open row of the other side that is no further back
+    than the tolerance, or stays open itself. ``status`` is ``matched``, ``left_only`` or ``right_only``;
+    columns of a missing partner are null. A row without a time meets nobody. ``interval_join`` gives
+    all pairs; ``streaming.stateful.reconcile`` is the form for streams.
 
-    ``status`` is ``matched``, ``left_only`` or ``right_only``. Keys are filled from either side;
-    other columns of a missing partner are null.
+    Where nothing happens for longer than the tolerance all open rows have expired, so a key falls into
+    stretches that do not depend on each other, and a stretch is a task's smallest unit.
     """
-    if left.isStreaming:
-        renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-        on = _keys_equal(keys) & _bounds(lts, rts, f"-{tolerance}", tolerance)
-        both = left.join(renamed, on, "full_outer")
-        status = (
-            F.when(F.col(rts).isNull(), "left_only").when(F.col(lts).isNull(), "right_only").otherwise("matched")
+    reach = micros(tolerance)
+    l_cols, r_cols = ([c for c in df.columns if c not in keys] for df in (left, right))
+    none_l = F.lit(None).cast(left.select(F.struct(*l_cols).alias("x")).schema["x"].dataType)
+    none_r = F.lit(None).cast(right.select(F.struct(*r_cols).alias("x")).schema["x"].dataType)
+    sides = [
+        df.select(*keys, position(df, ts).alias("_us"), F.lit(side).alias("_side"), l.alias("_l"), r.alias("_r"))
+        for df, ts, side, l, r in (
+            (left, lts, 0, F.struct(*l_cols), none_r),
+            (right, rts, 1, none_l, F.struct(*r_cols)),
         )
-        filled = {k: F.coalesce(F.col(k), F.col(f"_r_{k}")) for k in keys}
-        return both.withColumn("status", status).withColumns(filled).drop(*[f"_r_{k}" for k in keys])
-
-    # The left join keeps left rows without a partner; the anti join adds the right ones.
-    met = interval_join(left, right, keys, lts, rts, f"-{tolerance}", tolerance, "left")
-    met = met.withColumn("status", F.when(F.col(rts).isNull(), "left_only").otherwise("matched"))
-    alone = interval_join(right, left, keys, rts, lts, f"-{tolerance}", tolerance, "left_anti")
-    return met.unionByName(alone.withColumn("status", F.lit("right_only")), allowMissingColumns=True)
+    ]
+    order = ["_us", "_side", "_l", "_r"]
+    gap = F.col("_us") - F.col("_last") > reach
+    stretches = (
+        Ordered.of(sides[0].unionByName(sides[1]), keys, order, max_rows)
+        .look_back(1, lambda w: {"_last": F.lag("_us").over(w)})
+        .running({"_stretch": ("sum", F.coalesce(gap, F.lit(True)).cast("long"))})
+        .table()
+        .drop("_last")
+    )
+    ordered = stretches.repartition(*keys, "_stretch").sortWithinPartitions(*keys, "_stretch", *order)
+    out = T.StructType([*[ordered.schema[k] for k in keys], ordered.schema["_l"], ordered.schema["_r"], T.StructField("status", T.StringType())])
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in out])
+    matched = ordered.select(*keys, *order, "_stretch").mapInArrow(_match(list(keys), reach, to_arrow_schema(out)), out)
+    return matched.select(*keys, *[F.col("_l")[c].alias(c) for c in l_cols], *[F.col("_r")[c].alias(c) for c in r_cols], "status")
+
+
+def _match(keys: list[str], reach: int, schema: pa.Schema):
+    only = ("left_only", "right_only")
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: deque = deque()  # (time, side, row) of the present stretch, all of one side
+        stretch, done = None, []
+
+        def alone(row: tuple) -> None:
+            _, side, values = row
+            done.append((*stretch[:-1], None if side else values, values if side else None, only[side]))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = (*(row[k] for k in keys), row["_stretch"])
+                if here != stretch:
+                    while waiting:
+                        alone(waiting.popleft())
+                    stretch = here
+                us, side = row["_us"], row["_side"]
+                own = (us, side, row["_r"] if side else row["_l"])
+                if us is None:
+                    alone(own)
+                    continue
+                while waiting and waiting[0][0] < us - reach:
+                    alone(waiting.popleft())
+                if waiting and waiting[0][1] != side:
+                    partner = waiting.popleft()[2]
+                    done.append((*stretch[:-1], *((partner, own[2]) if side else (own[2], partner)), "matched"))
+                else:
+                    waiting.append(own)
+            if done:
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in done], schema=schema)
+                done.clear()
+        while waiting:
+            alone(waiting.popleft())
+        if done:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in done], schema=schema)
+
+    return match

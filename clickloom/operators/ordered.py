@@ -1,14 +1,16 @@
 """Ordered work per key that does not need one key to fit into one task.
 
 Window functions put all rows of a key into one task. That is the right plan for nearly every key and
-the wrong one for a key that holds a large part of the table. The functions here first count rows per
-key. Without a key above ``max_rows`` they are plain window functions. Otherwise the timeline of each
-hot key is cut into chunks, the window runs per (key, chunk), and what a chunk needs to know of
-earlier ones comes in from the side: the last rows before it (``Ordered.look_back``) or the aggregate
-of all earlier chunks (``Ordered.running``).
-
-Hot keys number at most rows/max_rows and their slots at most ``SLOTS_PER_CHUNK`` times as many, so
-these side tables have a proven bound and may be broadcast.
+the wrong one for a key that holds a large part of the table. The functions here count rows per key
+first. Keys above ``max_rows`` are cut into chunks at quantiles of their whole order, so that rows of
+equal time are cut too; the window runs per (key, chunk), and what a chunk needs to know of earlier
+ones comes in from the side: the last rows before it (``Ordered.look_back``) or the aggregate of all
+earlier chunks (``Ordered.running``). Without a key all rows are one, and are always cut.
+
+The result has the same columns and types either way.
+
+Hot keys number at most rows/max_rows, and so do their chunks, which bounds the side tables that are
+broadcast.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from clickloom.session import checkpointed
-from clickloom.times import position
 
 HOT_ROWS = 10_000_000
-SLOTS_PER_CHUNK = 8
+#: Rows of a chunk that are drawn to find where it ends.
+DRAWN = 64
 
 _CHUNK = "_chunk"
 _HALO = "_halo"
@@ -32,61 +34,48 @@ _ALL = "_all_rows"
 _FOLD: dict[str, Callable[..., Column]] = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def _join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join a bounded side table on keys that may be null; the side's keys are dropped."""
+def _join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a bounded side table on keys that may be null; the side's keys are dropped."""
     renamed = side.select(*[F.col(k).alias(f"_side_{k}") if k in keys else F.col(k) for k in side.columns])
     match = F.lit(True)
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_side_{k}"))
-    return df.join(F.broadcast(renamed), match, "left").drop(*[f"_side_{k}" for k in keys])
-
-
-def _with_slot(df: DataFrame, ranges: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Number the equal parts of each range in ``ranges`` from 0; rows outside all ranges get null."""
-    placed = _join_keys(df, ranges, keys)
-    share = (F.col("_pos") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1)
-    slot = F.least(F.floor(share * F.col("_slots")), F.col("_slots") - 1)
-    # A missing order value sorts first.
-    slot = F.when(F.col("_pos").isNull() & F.col("_slots").isNotNull(), F.lit(0)).otherwise(slot)
-    return placed.withColumn(name, slot).drop("_lo", "_hi", "_slots")
+    return df.join(F.broadcast(renamed), match, how).drop(*[f"_side_{k}" for k in keys])
 
 
-def _ranges(sized: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    slots = F.ceil(F.col("_n") / max_rows) * SLOTS_PER_CHUNK
-    return checkpointed(sized.select(*keys, "_lo", "_hi", slots.alias("_slots")))
+def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """The keys above ``max_rows``; at most rows/max_rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
 
 
-def _sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], order: str, max_rows: int | None) -> DataFrame | None:
+def split_hot(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int, hot: DataFrame | None = None
+) -> DataFrame | None:
     """Add ``_chunk``, null for keys of normal size; None when no key is above ``max_rows``.
 
-    Slots cut a hot key's time span evenly, and a slot that is still too full is cut again, so a burst
-    is spread too. Neighbouring slots are then joined into chunks by their row counts. Chunk numbers
-    rise with ``order`` and rows of equal ``order`` share a chunk.
+    ``order`` must be a total order within each key, of any types that sort. Chunks are numbered in
+    that order and have about ``max_rows`` rows. ``hot`` names the hot keys where they are known, and
+    spares the count.
     """
-    if max_rows is None:
+    hot = checkpointed(hot_keys(df, keys, max_rows) if hot is None else hot.select(*keys).distinct())
+    if hot.isEmpty():
         return None
-    sized = _sizes(df.select(*keys, position(df, order).alias("_pos")), keys).filter(F.col("_n") > max_rows)
-    if sized.isEmpty():
-        return None
-    parts, placed = list(keys), df.withColumn("_pos", position(df, order))
-    slots: list[str] = []
-    while True:
-        slots.append(f"_slot{len(slots)}")
-        placed = _with_slot(placed, _ranges(sized, parts, max_rows), parts, slots[-1])
-        parts = [*keys, *slots]
-        # Checkpointed, so that the next round and the chunks do not count again.
-        counts = checkpointed(_sizes(placed.filter(F.col(slots[0]).isNotNull()).select(*parts, "_pos"), parts))
-        sized = counts.filter((F.col("_n") > 2 * max_rows) & (F.col("_hi") > F.col("_lo")))
-        if sized.isEmpty():
-            break
-    in_order = Window.partitionBy(*keys).orderBy(*slots).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(in_order), F.lit(0))
-    chunks = checkpointed(counts.select(*parts, F.floor(before / max_rows).alias(_CHUNK)))
-    return _join_keys(placed, chunks, parts).drop("_pos", *slots)
+    # The rows drawn are those of some hashes of their place in the order, so that every run draws the same.
+    place = F.struct(*order)
+    every = max(1, max_rows // DRAWN)
+    per_chunk = max(1, max_rows // every)
+    slim = df.select(*keys, *[c for c in order if c not in keys])
+    drawn = _join_keys(slim, hot, keys, "inner").filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
+    in_order = F.sort_array(F.collect_list(place))
+    chosen = F.expr(f"transform(sequence({per_chunk}, size(_drawn), {per_chunk}), i -> _drawn[i - 1])")
+    enough = F.size("_drawn") >= per_chunk
+    bounds = drawn.groupBy(*keys).agg(in_order.alias("_drawn")).select(*keys, F.when(enough, chosen).alias("_bounds"))
+    # A chunk ends before the bound that the next one starts with.
+    passed = F.size(F.filter("_bounds", lambda b: b <= place))
+    placed = _join_keys(df, checkpointed(_join_keys(hot.withColumn("_hot", F.lit(True)), bounds, keys)), keys)
+    return placed.withColumn(_CHUNK, F.when(F.col("_hot"), F.when(F.col("_bounds").isNull(), 0).otherwise(passed))).drop(
+        "_hot", "_bounds"
+    )
 
 
 def _sorts(order: Sequence[str], reverse: bool) -> list[Column]:
@@ -103,13 +92,27 @@ class Ordered:
     split: bool
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = HOT_ROWS) -> Ordered:
+    def of(
+        cls,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        max_rows: int | None = HOT_ROWS,
+        hot: DataFrame | None = None,
+    ) -> Ordered:
         """``order`` must be a total order within each key; without keys all rows are one key.
 
-        ``max_rows=None`` takes it as known that no key is hot.
+        ``max_rows=None`` takes it as known that no key is hot. ``hot`` names the hot keys if known.
         """
         parts, whole = (list(keys), df) if keys else ([_ALL], df.withColumn(_ALL, F.lit(0)))
-        chunked = split_hot(whole, parts, order[0], max_rows)
+        chunked = None
+        if max_rows is not None:
+            if not keys:
+                # Enough chunks for all tasks, however few rows there are.
+                tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                max_rows = max(1, min(max_rows, -(-df.count() // tasks)))
+                hot = df.sparkSession.range(1).select(F.lit(0).alias(_ALL))
+            chunked = split_hot(whole, parts, order, max_rows, hot)
         if chunked is None:
             return cls(df, list(keys), list(order), False)
         return cls(chunked, parts, list(order), True)
@@ -166,7 +169,8 @@ class Ordered:
     ) -> Ordered:
         """Add running ``sum``, ``min`` or ``max`` columns from the key's first row on.
 
-        ``inclusive=False`` leaves the current row out; ``reverse`` folds from the last row back.
+        ``inclusive=False`` leaves the current row out; ``reverse`` folds from the last row back. The
+        last digits of a sum of doubles depend on where a hot key is cut; sum decimals if they matter.
         """
         here = Window.partitionBy(*self._parts).orderBy(*_sorts(self.order, reverse))
         here = here.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -175,6 +179,7 @@ class Ordered:
             return self._with(out)
 
         # Each chunk is given the folds of all the ones before it.
+        plain = {name: out.schema[name].dataType for name in folds}
         totals = (
             self.rows.filter(F.col(_CHUNK).isNotNull())
             .groupBy(*self._parts)
@@ -187,7 +192,9 @@ class Ordered:
             *[_FOLD[k](f"_total_{name}").over(earlier).alias(f"_in_{name}") for name, (k, _) in folds.items()],
         )
         out = _join_keys(out, carried, self._parts)
-        merged = {name: _merge(kind, F.col(f"_in_{name}"), F.col(name)) for name, (kind, _) in folds.items()}
+        merged = {
+            name: _merge(kind, F.col(f"_in_{name}"), F.col(name)).cast(plain[name]) for name, (kind, _) in folds.items()
+        }
         return self._with(out.withColumns(merged).drop(*[f"_in_{name}" for name in folds]))
 
 

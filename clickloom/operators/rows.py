@@ -8,7 +8,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.joins import broadcast_if_small
 from clickloom.operators.ordered import HOT_ROWS, over_preceding
 
 
@@ -72,13 +71,23 @@ def adjacent_pairs(
 
 
 def exclude_keys(df: DataFrame, blocked: DataFrame, key: str) -> DataFrame:
-    """Drop rows whose key is in the block list; rows without a key stay."""
-    return df.join(broadcast_if_small(blocked.select(key).distinct()), key, "left_anti")
+    """Drop rows whose key is in the block list; rows without a key stay.
 
+    The list is computed once, in the join; its true size decides at run time whether it is broadcast.
+    """
+    return df.join(blocked.select(key).distinct(), key, "left_anti")
 
-def route_partitions(df: DataFrame, key: str, rules: dict[str, int], default: int, n: int) -> DataFrame:
-    """Send rows to the partition their key names; other keys go to ``default``."""
+
+def route_partitions(
+    df: DataFrame, key: str, rules: dict[str, int], default: int, n: int, tasks_each: int = 1, spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Send rows to the partition their key names; other keys go to ``default``.
+
+    With ``tasks_each`` a partition is dealt to that many tasks, by the hash of ``spread_by`` (all columns
+    by default): route ``r`` has the tasks from ``r * tasks_each`` on.
+    """
     target = F.lit(default)
     for value, number in rules.items():
         target = F.when(F.col(key) == value, F.lit(number)).otherwise(target)
-    return df.repartitionById(n, target)
+    part = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(tasks_each)).cast("int")
+    return df.repartitionById(n * tasks_each, target * tasks_each + part)

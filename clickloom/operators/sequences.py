@@ -18,8 +18,8 @@ from clickloom.times import interval, micros, position
 
 # Longest chain of failures that is folded as one array.
 FOLD_ROWS = 1_000
-# Ranks up to which the optimizer limits groups before the shuffle, by default.
-GROUP_LIMIT = 1_000
+# The setting that names the ranks up to which the optimizer limits groups before the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def rolling_reduce(
@@ -44,22 +44,20 @@ def jump_alert(
 def rise_alert(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, span: str, max_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Runs in which a key's value rises, without a fall, for at least ``span``.
+    """Alerts when a key's value has not fallen for ``span`` since it rose.
 
-    A run starts at a key's first row or at a fall. ``alert_ts`` is the first row of the run that is
-    at least the span behind its start and higher.
+    A rise arms a timer, if none is armed; a fall up to its end clears it. The timer fires ``span``
+    after the rise, whether or not another reading comes, and the next rise behind it arms it again.
+    ``start_ts`` is the rise and ``alert_ts`` the moment of the alert. The first reading is no rise, and
+    one beside a missing value is neither rise nor fall.
     """
-    ts = order[0]
     rest = [c for c in order if c not in keys]
     seen = Ordered.of(df.select(*keys, *rest, val), keys, order, max_rows)
-    seen = seen.look_back(1, lambda w: {"_prev": F.lag(val).over(w)})
-    fall = F.coalesce(F.col(val) < F.col("_prev"), F.lit(True))
-    # Falls come in order, so the greatest so far is the latest.
-    start = F.when(fall, F.struct(*rest, F.col(val).alias("_low")))
-    runs = seen.running({"_start": ("max", start)}).table()
-    begun = F.col("_start")[ts]
-    lasting = runs.filter((F.col(ts) >= begun + interval(micros(span))) & (F.col(val) > F.col("_start")["_low"]))
-    return lasting.groupBy(*keys, begun.alias("start_ts")).agg(F.min(ts).alias("alert_ts"))
+    seen = seen.look_back(1, lambda w: {"_prev": F.lag(val).over(w)}).table()
+    moved = seen.filter(F.col(val) != F.col("_prev")).select(*keys, *rest, (F.col(val) > F.col("_prev")).alias("_rise"))
+    # A window of rises that no fall clears is a timer that fires.
+    fired = burst_alert(moved, keys, order, F.col("_rise"), 1, span, max_rows)
+    return fired.select(*keys, "start_ts", (F.col("start_ts") + interval(micros(span))).alias("alert_ts"))
 
 
 def strict_sequence(
@@ -150,12 +148,12 @@ def daily_cap(
 ) -> tuple[DataFrame, DataFrame]:
     """(passed, alerts): the first ``cap`` rows per key and day, and the one row that broke the cap.
 
-    Only the first ``cap + 1`` rows of a key and day matter. Up to ``GROUP_LIMIT`` of them, that is all
-    each task passes on; for higher caps rows are numbered with hot keys split.
+    Only the first ``cap + 1`` rows of a key and day matter. Up to the optimizer's limit of ranks, that is
+    all each task passes on; for higher caps rows are numbered with hot keys split.
     """
     day = F.date_trunc("day", F.col(order[0])).cast(df.schema[order[0]].dataType)
     dated, group = df.withColumn("day", day), [*keys, "day"]
-    if cap < GROUP_LIMIT:
+    if cap < int(df.sparkSession.conf.get(GROUP_LIMIT)):
         first = top_n_per_group(dated, group, [F.col(c) for c in order], cap + 1, rank="_nth")
     else:
         first = running(dated, group, order, {"_nth": ("sum", F.lit(1))}, max_rows=max_rows)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import udfs
 from clickloom.operators import aggs, joins, topn
+from clickloom.operators.changes import materialize
 from clickloom.plans.views import places
 from clickloom.sources.tables import load
 
@@ -26,13 +27,18 @@ def ad_top3_by_province(spark: SparkSession, sf: str) -> DataFrame:
     return topn.top_n_per_group(counts, ["province"], [F.desc("times"), F.asc("ad")], 3)
 
 
-def _by_brand(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines with their part's brand, for the queries that count per kind."""
+def _per_part(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines counted per part and kind, in one pass, with the part's brand: the fact is counted before it is joined."""
+    lines = load(spark, sf, "lineitem").groupBy("l_partkey", "l_returnflag").agg(F.count("*").alias("n"))
     part = load(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("category"))
-    lines = load(spark, sf, "lineitem").select("l_partkey", "l_returnflag")
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
+def _per_brand(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines counted per category and kind; a few rows, which the forms below arrange in their ways."""
+    return _per_part(spark, sf).groupBy("category", "l_returnflag").agg(F.sum("n").alias("n"))
+
+
 def category_actions(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks, orders and payments per category, counted per part before the join."""
     lines = load(spark, sf, "lineitem").select("l_partkey", "l_returnflag")
@@ -49,23 +55,23 @@ def category_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 def category_explode(spark: SparkSession, sf: str) -> DataFrame:
     """The same counts from rows that name categories per kind as arrays."""
-    lines = _by_brand(spark, sf)
     named = {name: F.when(F.col("l_returnflag") == v, F.array("category")) for name, v in KINDS.items()}
-    return aggs.action_counts(lines, named)
+    return aggs.action_counts(_per_brand(spark, sf), named, weight="n")
 
 
 def cogroup_counts(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _by_brand(spark, sf)
-    tables = {name: lines.filter(F.col("l_returnflag") == v) for name, v in KINDS.items()}
-    return joins.cogroup_counts(tables, "category")
+    """One table per kind, set side by side by category."""
+    counted = materialize(_per_brand(spark, sf), "checkpoint")
+    tables = {name: counted.filter(F.col("l_returnflag") == v) for name, v in KINDS.items()}
+    return joins.cogroup_counts(tables, "category", weight="n")
 
 
 def union_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """One table per kind, counted, set beside zeros for the other kinds, united and summed."""
-    lines, united = _by_brand(spark, sf), None
+    """One table per kind, set beside zeros for the other kinds, united and summed."""
+    counted, united = materialize(_per_brand(spark, sf), "checkpoint"), None
     for name, value in KINDS.items():
-        counted = lines.filter(F.col("l_returnflag") == value).groupBy("category").agg(F.count("*").alias("n"))
-        padded = counted.select("category", *[(F.col("n") if k == name else F.lit(0).cast("long")).alias(k) for k in KINDS])
+        own = counted.filter(F.col("l_returnflag") == value)
+        padded = own.select("category", *[(F.col("n") if k == name else F.lit(0).cast("long")).alias(k) for k in KINDS])
         united = padded if united is None else united.unionByName(padded)
     return united.groupBy("category").agg(*[F.sum(k).alias(k) for k in KINDS])
 
@@ -100,8 +106,14 @@ def city_remark(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def area_product_remark(spark: SparkSession, sf: str) -> DataFrame:
-    """The top products of each area with the shares of their cities."""
-    return topn.top_by_rank(city_remark(spark, sf), ["area"], [F.desc("count")], 3)
+    """The top products of each area with the shares of their cities; remarks are made for these only."""
+    sales = joins.star_counts(load(spark, sf, "lineitem"), _dims(spark, sf))
+    per_city = materialize(sales.groupBy("area", "product", "city").agg(F.sum("n").alias("n")), "checkpoint")
+    counts = per_city.groupBy("area", "product").agg(F.sum("n").alias("count"))
+    best = topn.top_by_rank(counts, ["area"], [F.desc("count")], 3).drop("count")
+    same = F.col("s.area").eqNullSafe(F.col("b.area")) & F.col("s.product").eqNullSafe(F.col("b.product"))
+    chosen = per_city.alias("s").join(best.alias("b"), same).select("s.*", "b.rank")
+    return udfs.city_remark(chosen, ["area", "product", "rank"], "city", weight="n")
 
 
 def rank_top3(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,9 +19,9 @@ def hot_items(spark: SparkSession, sf: str, size="6 hours", every="30 minutes",
 
 
 def hot_urls(spark: SparkSession, sf: str, size="1 hour", every="5 minutes", n=3) -> DataFrame:
-    """The most viewed URLs of each sliding window."""
-    views = with_number(events(spark, sf, "view"), "k").withColumn("url", F.concat(F.lit("/"), F.col("k")))
-    return window_top_n(views, "ts", size, every, "url", n)
+    """The most requested URLs of each sliding window; every event is a line of the log."""
+    hits = with_number(events(spark, sf), "k").withColumn("url", F.concat(F.lit("/"), F.col("k")))
+    return window_top_n(hits, "ts", size, every, "url", n)
 
 
 def pv_hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,10 +36,16 @@ def uv_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     return bitmap_distinct(events(spark, sf, "view"), "ts", "1 hour", "user_id", name="uv")
 
 
-def uv_approx(spark: SparkSession, sf: str) -> DataFrame:
-    views = events(spark, sf, "view").select(F.window("ts", "1 day").alias("w"), "user_id")
-    days = approx_distinct(views, ["w"], "user_id", name="uv")
-    return days.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
+def uv_approx(spark: SparkSession, sf: str, rsd: float = 0.02) -> DataFrame:
+    """Whether each day's approximate number of visitors is within five deviations of the exact one."""
+    views = events(spark, sf, "view")
+    days = approx_distinct(views.select(F.window("ts", "1 day").alias("w"), "user_id"), ["w"], "user_id", rsd, "uv")
+    days = days.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
+    exact = windowed_distinct(views, "ts", "1 day", "user_id", name="exact")
+    off = F.abs(F.col("uv") - F.col("exact"))
+    return days.join(exact, ["window_start", "window_end"]).select(
+        "window_start", "window_end", (off <= F.greatest(5 * rsd * F.col("exact"), F.lit(1.0))).alias("within_bound")
+    )
 
 
 def marketing_total(spark: SparkSession, sf: str, size="1 hour", every="5 minutes") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +25,16 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 # Batches after which a keyed table is merged, so that reading it stays cheap.
 COMPACT_EVERY = 100
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """A batch that is used several times is computed once."""
+    batch = batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -32,22 +43,45 @@ def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFra
     return df.withWatermark(ts, delay)
 
 
-def run_stream(
-    df: DataFrame, sink: BatchSink | str, checkpoint: str, mode: str = "append", fmt: str = "parquet", **options: str
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep streaming state on disk, which timers and large state need; once for a session, before its streams."""
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+
+
+def start_stream(
+    df: DataFrame,
+    sink: BatchSink | str,
+    checkpoint: str,
+    mode: str = "append",
+    fmt: str = "parquet",
+    every: str | None = None,
+    **options: str,
 ) -> StreamingQuery:
-    """Process what is there in micro-batches, then stop; the checkpoint lets a restart go on.
+    """Start a stream and return it while it runs.
 
-    ``sink`` is a function of (batch, batch id) or the path that ``fmt`` writes to.
+    ``sink`` is a function of (batch, batch id) or the path that ``fmt`` writes to. ``every`` is the time
+    between micro-batches, such as ``"3 seconds"``; without it one follows the other. The checkpoint
+    lets a restart go on.
     """
-    # Timers and large state need the disk-backed store.
-    df.sparkSession.conf.set(_PROVIDER, _ROCKSDB)
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).options(**options)
-    writer = writer.foreachBatch(sink) if callable(sink) else writer.format(fmt).option("path", sink)
-    query = writer.trigger(availableNow=True).start()
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder that all machines share")
+    return _writer(df, sink, checkpoint, mode, fmt, options).trigger(processingTime=every or "0 seconds").start()
+
+
+def run_stream(
+    df: DataFrame, sink: BatchSink | str, checkpoint: str, mode: str = "append", fmt: str = "parquet", **options: str
+) -> StreamingQuery:
+    """Process what is there in micro-batches, then stop; the checkpoint lets a restart go on."""
+    query = _writer(df, sink, checkpoint, mode, fmt, options).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def _writer(df: DataFrame, sink: BatchSink | str, checkpoint: str, mode: str, fmt: str, options: dict[str, str]):
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).options(**options)
+    return writer.foreachBatch(sink) if callable(sink) else writer.format(fmt).option("path", sink)
+
+
 def running_counts(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     """Counts per key over all the stream so far, for ``update`` or ``complete`` mode."""
     return df.groupBy(*keys).agg(F.count("*").alias(name))
@@ -71,11 +105,12 @@ def keep_changelog(path: str, state: str, keys: Sequence[str]) -> BatchSink:
     """Write what each batch of an ``update`` mode aggregate takes back and adds; see ``changelog``."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        before = read_keyed(batch.sparkSession, state, keys, before=batch_id)
-        # Only keys of this batch have changed.
-        old = batch.limit(0) if before is None else before.join(batch.select(*keys), list(keys), "left_semi")
-        changelog(old, batch, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
-        upsert_keyed(batch, batch_id, state, keys, compact_every=COMPACT_EVERY)
+        with _kept(batch) as batch:
+            # Only keys of this batch have changed.
+            before = read_keyed(batch.sparkSession, state, keys, before=batch_id, of=batch)
+            old = batch.limit(0) if before is None else before.join(batch.select(*keys), list(keys), "left_semi")
+            changelog(old, batch, keys).write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+            upsert_keyed(batch, batch_id, state, keys, compact_every=COMPACT_EVERY)
 
     return sink
 
@@ -124,6 +159,10 @@ def keep_marked(
     """Write each batch with the watermark of its markers and the greatest one of earlier batches."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        with _kept(batch) as batch:
+            write(batch, batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = marker_watermark(batch, order, ts, marker, delay, max_rows)
         own = batch.agg(F.max(F.when(marker, F.col(ts))).alias("top")).withColumn("id", F.lit(0))

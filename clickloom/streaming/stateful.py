@@ -28,8 +28,8 @@ _US = "at_us"  # names with a leading underscore are not kept in the processor's
 class InOrder(StatefulProcessor):
     """Holds a key's rows back until the watermark has passed them, then runs ``step`` on them."""
 
-    def __init__(self, step: Step, keys: list[str], order: list[str], out: list[str]):
-        self.step, self.keys, self.order, self.out = step, keys, order, out
+    def __init__(self, step: Step, keys: list[str], order: list[str], out: list[str], times: list[str]):
+        self.step, self.keys, self.order, self.out, self.times = step, keys, order, out, times
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -42,7 +42,8 @@ class InOrder(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for pdf in rows:
-            records = pdf.to_dict("records")
+            # What is missing is None, as in a table; pandas would make it a number that is none.
+            records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
             self.waiting.appendList([(json.dumps(r, default=_plain),) for r in records])
             low = int(pdf[_US].min())
             first = low if first is None else min(first, low)
@@ -53,7 +54,7 @@ class InOrder(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         held = [json.loads(r[0]) for r in self.waiting.get()] if self.waiting.exists() else []
-        due = sorted((r for r in held if r[_US] < watermark), key=lambda r: [r[c] for c in self.order])
+        due = sorted((r for r in held if r[_US] < watermark), key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
         rest = [r for r in held if r[_US] >= watermark]
         if due:
             self.waiting.clear()
@@ -68,6 +69,8 @@ class InOrder(StatefulProcessor):
         found = pd.DataFrame(results, columns=[c for c in self.out if c not in self.keys])
         for name, value in zip(self.keys, key):
             found.insert(0, name, value)
+        for name in self.times:
+            found[name] = pd.to_datetime(found[name], unit="us", utc=True)
         yield found[self.out]
 
     def close(self) -> None:
@@ -79,19 +82,32 @@ def _plain(value):
 
 
 def _in_order(
-    df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], step: Step, out: dict[str, T.DataType | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    order: Sequence[str],
+    step: Step,
+    out: dict[str, T.DataType | str],
+    event_time: str | None = None,
 ) -> DataFrame:
-    """Run ``step`` per key; times are microseconds inside and in columns that ``out`` types as ``us``."""
+    """Run ``step`` per key; times are microseconds inside and in columns that ``out`` types as ``us``.
+
+    ``event_time`` names the result's event time, which later windows and joins then go by.
+    """
     names = [*keys, *out]
+    kinds = {"us": "bigint", "time": "timestamp"}
     inner = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField(n, T.LongType() if t == "us" else T.StructType.fromDDL(f"x {t}")[0].dataType) for n, t in out.items()]
+        [df.schema[k] for k in keys] + [T.StructType.fromDDL(f"`{n}` {kinds.get(t, t)}")[0] for n, t in out.items()]
     )
     by_time = [_US if c == ts else c for c in order]
     # The event time stays in the row for the watermark; the step reads microseconds.
     rows = df.withColumn(_US, F.unix_micros(ts))
     found = rows.groupBy(*keys).transformWithStateInPandas(
-        InOrder(step, list(keys), by_time, names), inner, "Append", "EventTime"
+        InOrder(step, list(keys), by_time, names, [n for n, t in out.items() if t == "time"]),
+        inner,
+        "Append",
+        "EventTime",
+        eventTimeColumnName=event_time or "",
     )
     return found.withColumns({n: F.timestamp_micros(n) for n, t in out.items() if t == "us"})
 
@@ -107,7 +123,8 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, va
         last, found = memory.get("last", []), []
         for r in rows:
             last = [*last, r["v"]][-(n + 1) :]
-            found.append({**_time(r, order), "count": len(last), "avg": sum(last) / len(last)})
+            there = [v for v in last if v is not None]
+            found.append({**_time(r, order), "count": len(last), "avg": sum(there) / len(there) if there else None})
         return {"last": last}, found, None
 
     out = {**_order_types(df, order), "count": "bigint", "avg": "double"}
@@ -121,8 +138,9 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     def step(memory, rows, watermark):
         found = []
         for r in rows:
-            memory["v"] = fold(memory["v"], r["v"]) if "v" in memory else r["v"]
-            found.append({**_time(r, order), kind: memory["v"]})
+            if r["v"] is not None:
+                memory["v"] = fold(memory["v"], r["v"]) if "v" in memory else r["v"]
+            found.append({**_time(r, order), kind: memory.get("v")})
         return memory, found, None
 
     out = {**_order_types(df, order), kind: df.schema[val].dataType.simpleString()}
@@ -135,7 +153,7 @@ def jump_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: st
     def step(memory, rows, watermark):
         found = []
         for r in rows:
-            if "last" in memory and abs(r["v"] - memory["last"]) > threshold:
+            if memory.get("last") is not None and r["v"] is not None and abs(r["v"] - memory["last"]) > threshold:
                 found.append({**_time(r, order), val: r["v"], "previous": memory["last"]})
             memory["last"] = r["v"]
         return memory, found, None
@@ -145,24 +163,72 @@ def jump_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: st
 
 
 def rise_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, span: str) -> DataFrame:
-    """Runs in which a key's value rises, without a fall, for at least ``span``."""
+    """Alerts when a key's value has not fallen for ``span`` since it rose; the timer fires by itself."""
     us = micros(span)
 
     def step(memory, rows, watermark):
         found = []
+
+        def fire(before):
+            if memory.get("armed") is not None and memory["armed"] + us < before:
+                found.append({"start_ts": memory["armed"], "alert_ts": memory["armed"] + us})
+                memory["armed"] = None
+
         for r in rows:
-            if not memory or r["v"] < memory["last"]:
-                memory = {"start": r[_US], "low": r["v"], "told": False}
-            memory["last"] = r["v"]
-            if not memory["told"] and r["v"] > memory["low"] and r[_US] >= memory["start"] + us:
-                memory["told"] = True
-                found.append({"start_ts": memory["start"], "alert_ts": r[_US]})
-        return memory, found, None
+            fire(r[_US])
+            value, last = r["v"], memory.get("last")
+            if value is not None and last is not None:
+                if value < last:
+                    memory["armed"] = None
+                elif value > last and memory.get("armed") is None:
+                    memory["armed"] = r[_US]
+            memory["last"] = value
+        fire(watermark)
+        armed = memory.get("armed")
+        return memory, found, None if armed is None else armed + us
 
     out = {"start_ts": "us", "alert_ts": "us"}
     return _in_order(_slim(df, keys, order, v=F.col(val)), keys, order[0], order, step, out)
 
 
+def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, tolerance: str) -> DataFrame:
+    """Match rows of two streams one to one; see ``joins.reconcile``. Rows of equal time go by their JSON."""
+    reach = micros(tolerance)
+    l_cols, r_cols = ([c for c in df.columns if c not in keys] for df in (left, right))
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    both = [
+        df.select(*keys, F.col(ts).alias("ts"), F.lit(side).alias("side"), F.to_json(F.struct(*cols), exact).alias("row"))
+        for df, ts, side, cols in ((left, lts, 0, l_cols), (right, rts, 1, r_cols))
+    ]
+
+    def step(memory, rows, watermark):
+        waiting, found = memory.get("open", []), []
+
+        def alone(row):
+            found.append({"l": None if row[1] else row[2], "r": row[2] if row[1] else None, "status": ("left_only", "right_only")[row[1]]})
+
+        def expire(before):
+            while waiting and waiting[0][0] + reach < before:
+                alone(waiting.pop(0))
+
+        for r in rows:
+            expire(r[_US])
+            if waiting and waiting[0][1] != r["side"]:
+                partner = waiting.pop(0)[2]
+                l, r_ = (partner, r["row"]) if r["side"] else (r["row"], partner)
+                found.append({"l": l, "r": r_, "status": "matched"})
+            else:
+                waiting.append([r[_US], int(r["side"]), r["row"]])
+        expire(watermark)
+        return {"open": waiting}, found, waiting[0][0] + reach if waiting else None
+
+    out = {"l": "string", "r": "string", "status": "string"}
+    found = _in_order(both[0].union(both[1]), keys, "ts", ["ts", "side", "row"], step, out)
+    kinds = [df.select(*cols).schema for df, cols in ((left, l_cols), (right, r_cols))]
+    parsed = found.withColumns({c: F.from_json(c, kind, exact) for c, kind in zip("lr", kinds)})
+    return parsed.select(*keys, *[F.col("l")[c].alias(c) for c in l_cols], *[F.col("r")[c].alias(c) for c in r_cols], "status")
+
+
 def burst_alert(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], is_fail: Column, n: int, span: str
 ) -> DataFrame:
@@ -246,7 +312,10 @@ def followed_by(
 
 
 def daily_cap(df: DataFrame, keys: Sequence[str], order: Sequence[str], cap: int) -> DataFrame:
-    """Rows up to the cap per key and day with ``alert`` false, and the one that broke it with true."""
+    """Rows up to the cap per key and day with ``alert`` false, and the one that broke it with true.
+
+    The rows keep their event time, so that windows can follow.
+    """
     day_us = micros("1 day")
 
     def step(memory, rows, watermark):
@@ -260,8 +329,8 @@ def daily_cap(df: DataFrame, keys: Sequence[str], order: Sequence[str], cap: int
                 found.append({**_time(r, order), "alert": memory["n"] > cap})
         return memory, found, None
 
-    out = {**_order_types(df, order), "alert": "boolean"}
-    return _in_order(_slim(df, keys, order), keys, order[0], order, step, out)
+    out = {**_order_types(df, order), order[0]: "time", "alert": "boolean"}
+    return _in_order(_slim(df, keys, order), keys, order[0], order, step, out, event_time=order[0])
 
 
 def _order_types(df: DataFrame, order: Sequence[str]) -> dict[str, str]:

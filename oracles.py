@@ -63,12 +63,14 @@ ORACLES = {
         "item_id", 3,
     ),
     "hot_urls": _top(
-        _slide(f"SELECT ts, '/' || {K} AS url FROM events WHERE event_type = 'view'", 12, "5 MINUTE", "url", _COUNT),
+        _slide(f"SELECT ts, '/' || {K} AS url FROM events", 12, "5 MINUTE", "url", _COUNT),
         "url", 3,
     ),
     "pv_hourly": f"SELECT {_HOUR}, CAST(count(*) AS BIGINT) AS pv FROM events WHERE event_type = 'view' GROUP BY ALL",
     "uv_exact": f"""SELECT {_HOUR}, CAST(count(DISTINCT user_id) AS BIGINT) AS uv
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
+    "uv_approx": """SELECT DISTINCT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+        time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, true AS within_bound FROM events WHERE event_type = 'view'""",
     "uv_bitmap": f"""SELECT {_HOUR}, CAST(count(DISTINCT {_HASH.format(
         text="CAST(user_id AS VARCHAR)", seed=61, mask=(1 << 29) - 1)}) FILTER (user_id IS NOT NULL) AS BIGINT) AS uv
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
@@ -108,13 +110,18 @@ ORACLES = {
         lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events) t
         WHERE abs(value - previous) > 50""",
     "rise_alert": """
-        WITH a AS (SELECT *, coalesce(value < lag(value) OVER w, true) AS falls FROM events
-                   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-        b AS (SELECT *, count(*) FILTER (falls) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM a),
-        c AS (SELECT *, first_value(ts) OVER w AS start_ts, first_value(value) OVER w AS low FROM b
-              WINDOW w AS (PARTITION BY user_id, run ORDER BY ts, event_id))
-        SELECT user_id, start_ts, min(ts) AS alert_ts FROM c
-        WHERE ts >= start_ts + INTERVAL 12 HOUR AND value > low GROUP BY user_id, run, start_ts""",
+        WITH RECURSIVE a AS (SELECT *, value > lag(value) OVER w AS rise, value < lag(value) OVER w AS fall FROM events
+                             WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        b AS (SELECT *, count(*) FILTER (fall) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM a),
+        r AS (SELECT user_id, run, ts FROM b WHERE rise),
+        w(user_id, run, start_ts) AS (
+            SELECT user_id, run, min(ts) FROM r GROUP BY ALL
+            UNION
+            SELECT r.user_id, r.run, min(r.ts) FROM w JOIN r ON r.user_id IS NOT DISTINCT FROM w.user_id AND r.run = w.run
+              AND r.ts > w.start_ts + INTERVAL 12 HOUR GROUP BY ALL)
+        SELECT user_id, start_ts, start_ts + INTERVAL 12 HOUR AS alert_ts FROM w
+        WHERE NOT EXISTS (SELECT 1 FROM b f WHERE f.fall AND f.user_id IS NOT DISTINCT FROM w.user_id
+          AND f.run > w.run AND f.ts BETWEEN w.start_ts AND w.start_ts + INTERVAL 12 HOUR)""",
     "marker_watermark": f"""
         WITH a AS (SELECT event_id, {K} AS k, ts, event_type FROM events),
         b AS (SELECT *, max(CASE WHEN event_type = 'error' THEN ts END) OVER (ORDER BY k, event_id)
@@ -151,10 +158,28 @@ ORACLES = {
           CASE WHEN pay_event IS NULL THEN 'order time out' ELSE 'order pay successfully' END AS result FROM pairs""",
     "interval_join": f"""SELECT p.user_id, pay_event, pay_ts, receipt_event, receipt_ts
         FROM {_PAYS} p JOIN {_RECEIPTS} r ON {_NEAR}""",
-    "reconcile": f"""SELECT coalesce(p.user_id, r.user_id) AS user_id, pay_event, pay_ts, receipt_event, receipt_ts,
-        CASE WHEN receipt_event IS NULL THEN 'left_only' WHEN pay_event IS NULL THEN 'right_only'
-             ELSE 'matched' END AS status
-        FROM {_PAYS} p FULL OUTER JOIN {_RECEIPTS} r ON {_NEAR}""",
+    "reconcile": f"""
+        WITH RECURSIVE both_sides AS (
+            SELECT user_id, pay_ts AS ts, 0 AS side, pay_event AS event FROM {_PAYS} p
+            UNION ALL SELECT user_id, receipt_ts, 1, receipt_event FROM {_RECEIPTS} r),
+        e AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, side, event) AS i FROM both_sides),
+        s(user_id, i, waiting, side, used) AS (
+            SELECT DISTINCT user_id, 0::BIGINT, []::STRUCT(ts TIMESTAMP, event BIGINT)[], 0, NULL::STRUCT(a BIGINT, b BIGINT) FROM e
+            UNION ALL
+            SELECT user_id, i, CASE WHEN met THEN still[2:] ELSE list_append(still, {{'ts': ts, 'event': event}}) END,
+                   CASE WHEN met THEN open_side ELSE side END, CASE WHEN met THEN {{'a': still[1].event, 'b': event}} END
+            FROM (SELECT e.*, s.side AS open_side, list_filter(waiting, lambda x: x.ts >= e.ts - INTERVAL 1 HOUR) AS still,
+                         len(list_filter(waiting, lambda x: x.ts >= e.ts - INTERVAL 1 HOUR)) > 0 AND s.side <> e.side AS met
+                  FROM s JOIN e ON e.user_id IS NOT DISTINCT FROM s.user_id AND e.i = s.i + 1) t),
+        pairs AS (SELECT CASE WHEN x.side = 0 THEN used.a ELSE used.b END AS pay_event,
+                         CASE WHEN x.side = 0 THEN used.b ELSE used.a END AS receipt_event
+                  FROM s JOIN both_sides x ON x.event = used.a WHERE used IS NOT NULL)
+        SELECT p.user_id, p.pay_event, pay_ts, r.receipt_event, receipt_ts, 'matched' AS status
+        FROM pairs JOIN {_PAYS} p USING (pay_event) JOIN {_RECEIPTS} r ON r.receipt_event = pairs.receipt_event
+        UNION ALL SELECT user_id, pay_event, pay_ts, NULL, NULL, 'left_only' FROM {_PAYS} p
+                  WHERE pay_event NOT IN (SELECT pay_event FROM pairs)
+        UNION ALL SELECT user_id, NULL, NULL, receipt_event, receipt_ts, 'right_only' FROM {_RECEIPTS} r
+                  WHERE receipt_event NOT IN (SELECT receipt_event FROM pairs)""",
     "ad_click_cap": f"SELECT user_id, event_type, CAST(ts AS DATE) AS day, event_id FROM {_CAPPED} c WHERE nth = 3",
     "ad_by_province": _slide(
         f"""SELECT ts, city AS province FROM {_CAPPED} c LEFT JOIN {_USER_PLACES} u ON c.user_id = u.user_id
@@ -214,7 +239,7 @@ ORACLES = {
         lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS second FROM events) t
         WHERE second IS NOT NULL""",
     "broadcast_lookup": """SELECT c_custkey, c_nationkey, coalesce(n_name, 'none') AS n_name FROM customer
-        LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 0) n ON c_nationkey = n_nationkey""",
+        LEFT JOIN nation ON c_nationkey = n_nationkey + 3""",
     "keyed_max": f"SELECT user_id, max({K}) AS max_k, min({K}) AS min_k FROM events GROUP BY user_id",
     "keyed_int_avg": f"SELECT user_id, CAST(sum({K}) // count({K}) AS BIGINT) AS avg_k FROM events GROUP BY user_id",
     "two_stage_agg": f"""SELECT user_id, CAST(sum(top) AS BIGINT) AS sum_of_max FROM (
@@ -242,8 +267,8 @@ ORACLES = {
         ts FROM events""",
     "csv_messages": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "access_log": f"""SELECT '10.0.0.' || {K} AS ip, coalesce(CAST(user_id AS VARCHAR), '-') AS user_id,
-        date_trunc('second', ts) AS event_time, 'GET' AS method, '/' || {K} AS url
-        FROM events WHERE event_type = 'view'""",
+        date_trunc('second', ts) AS event_time, 'GET' AS method, '/' || {K} AS url FROM events""",
+    "table_views": "SELECT c_nationkey AS nation, CAST(count(*) AS BIGINT) AS customers FROM customer GROUP BY c_nationkey",
     "documents_json": """SELECT CAST(c_custkey AS VARCHAR) AS id, '{"c_name":"' || c_name || '","c_nationkey":"'
         || c_nationkey || '","c_mktsegment":"' || c_mktsegment || '"}' AS source FROM customer""",
 }

@@ -64,21 +64,65 @@ def test_split_equals_plain(skewed, case):
     same(CASES[case](skewed, 60), CASES[case](skewed, NONE_HOT))
 
 
-def test_bursts_in_time_are_cut_again(spark):
+def test_bursts_in_time_are_cut(spark):
     """300 of a key's rows within a second, the others over a month."""
     rare = spark.range(100).selectExpr("1 AS k", "id * 25920L * 1000000L AS us", "id")
     dense = spark.range(300).selectExpr("1 AS k", "1000000000000L + id * 3000L AS us", "1000 + id AS id")
     cold = spark.range(10).selectExpr("2 AS k", "id AS us", "5000 + id AS id")
     df = rare.union(dense).union(cold).withColumn("ts", F.timestamp_micros("us"))
-    chunks = ordered.split_hot(df, ["k"], "ts", 20)
+    chunks = ordered.split_hot(df, ["k"], ["ts", "id"], 20)
     sizes = {(r.k, r._chunk): r["count"] for r in chunks.groupBy("k", "_chunk").count().collect()}
     assert sizes.pop((2, None)) == 10
     assert sum(sizes.values()) == 400
-    assert max(sizes.values()) <= 60
+    assert max(sizes.values()) <= 40
     plain = ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=None)
     same(ordered.running(df, ["k"], ["ts", "id"], {"n": ("sum", F.lit(1))}, max_rows=20), plain)
 
 
+@pytest.mark.parametrize("first", ["id % 5", "date_add(DATE'2024-01-01', int(id % 3))", "double(id % 4)", "'same'", "if(id % 2 = 0, null, id % 3)"])
+def test_equal_first_values_are_cut(spark, first):
+    """2,000 rows of a few first values of any type, cut by the rest of their order."""
+    df = spark.range(2_000).selectExpr("1 AS k", f"{first} AS o", "id")
+    chunks = ordered.split_hot(df, ["k"], ["o", "id"], 20).groupBy("_chunk").count()
+    assert chunks.agg(F.max("count")).first()[0] <= 40 and chunks.count() >= 50
+    folds = {"n": ("sum", F.lit(1)), "low": ("min", F.col("id"))}
+    for back in (False, True):
+        run = lambda m, back=back: ordered.running(df, ["k"], ["o", "id"], folds, reverse=back, max_rows=m)
+        same(run(20), run(None))
+
+
+def test_chunks_of_drawn_rows(spark):
+    df = spark.range(20_000).selectExpr("1 AS k", "hash(id) % 7 AS o", "id")
+    sizes = ordered.split_hot(df, ["k"], ["o", "id"], 1_000).groupBy("_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2_000 and 10 <= sizes.count() <= 40
+
+
+def test_types_do_not_depend_on_the_number_of_rows(spark):
+    df = spark.range(200).selectExpr("1 AS k", "id", "CAST(id AS DECIMAL(18,2)) AS d", "int(id) AS i", "float(id) AS f")
+    folds = {f"{kind}_{c}": (kind, F.col(c)) for kind in ("sum", "min", "max") for c in "dif"}
+    cut, plain = (ordered.running(df, ["k"], ["id"], folds, max_rows=m) for m in (20, None))
+    assert cut.schema.simpleString() == plain.schema.simpleString()
+    same(cut, plain)
+
+
+def test_without_a_key_no_task_has_all_rows(spark):
+    df = spark.range(400).selectExpr("id", "id % 3 AS o")
+    out = ordered.running(df, [], ["o", "id"], {"n": ("sum", F.lit(1))})
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange SinglePartition" in line]
+    assert all("HashAggregate" in line for line in below)  # only the totals of the chunks meet
+    assert out.agg(F.max("n"), F.countDistinct("n")).first() == (400, 400)
+
+
+def test_known_hot_keys(spark):
+    df = spark.range(300).selectExpr("id % 2 AS k", "id")
+    hot = spark.range(1).selectExpr("1L AS k")
+    cut = ordered.Ordered.of(df, ["k"], ["id"], 30, hot)
+    assert {r.k for r in cut.rows.filter("_chunk > 0").collect()} == {1}
+    run = cut.running({"n": ("sum", F.lit(1))}).table()
+    same(run, ordered.running(df, ["k"], ["id"], {"n": ("sum", F.lit(1))}, max_rows=None))
+
+
 def test_high_caps_number_rows_with_hot_keys_split(spark):
     df = spark.range(1200).selectExpr("1 AS k", "timestamp_micros(id * 1000) AS ts", "id")
     passed, alerts = sequences.daily_cap(df, ["k"], ["ts", "id"], 1000, max_rows=100)

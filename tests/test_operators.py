@@ -31,8 +31,8 @@ KEY, ORDER = ["k"], ["ts", "id"]
 
 
 def test_word_count_drops_empty_words(spark):
-    df = from_rows(spark, [("hello  flink",), ("hello java",), ("hello",)], "value string")
-    assert got(aggs.word_count(rows.explode_words(df, "value"))) == [("flink", 1), ("hello", 3), ("java", 1)]
+    df = from_rows(spark, [("pear  plum",), ("pear quince",), ("pear",)], "value string")
+    assert got(aggs.word_count(rows.explode_words(df, "value"))) == [("pear", 3), ("plum", 1), ("quince", 1)]
 
 
 def test_routes(spark):
@@ -56,9 +56,9 @@ def test_exclude_keys_keeps_rows_without_key(spark):
 
 
 def test_route_partitions(spark):
-    df = from_rows(spark, [("nab",), ("cba",), ("wba",), ("xyz",)], "k string")
-    placed = rows.route_partitions(df, "k", {"nab": 0, "cba": 1}, 2, 3).withColumn("p", F.spark_partition_id())
-    assert got(placed) == [("cba", 1), ("nab", 0), ("wba", 2), ("xyz", 2)]
+    df = from_rows(spark, [("north",), ("south",), ("west",), ("east",)], "k string")
+    placed = rows.route_partitions(df, "k", {"north": 0, "south": 1}, 2, 3).withColumn("p", F.spark_partition_id())
+    assert got(placed) == [("east", 2), ("north", 0), ("south", 1), ("west", 2)]
 
 
 def test_lookup_with_default_by_broadcast_and_by_shuffle(spark, monkeypatch):
@@ -66,7 +66,7 @@ def test_lookup_with_default_by_broadcast_and_by_shuffle(spark, monkeypatch):
     dim = from_rows(spark, [("a", 2)], "k string, v long")
     want = [("a", 1, 2), ("b", 1, 0), (None, 1, 0)]
     assert got(joins.lookup(df, dim, "k", "v", 0)) == want
-    big = joins.broadcast_if_small(from_rows(spark, [("a", 2), ("c", 1)], "k string, v long"), 1)
+    big = joins.broadcast_if_small(from_rows(spark, [("a", 2), ("c", 1)], "k string, v long"), 40)
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
     monkeypatch.setattr(joins, "broadcast_if_small", lambda d, **_: d)
     assert got(joins.lookup(df, dim, "k", "v", 0)) == want
@@ -125,23 +125,36 @@ def test_interval_join_by_hand(spark, left, right, lo, width):
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(left=seconds, right=seconds)
-def test_reconcile_accounts_for_every_row(spark, left, right):
+def test_reconcile_uses_rows_up(spark, left, right):
     l, r = _sides(spark, left, right)
-    out = joins.reconcile(l, r, KEY, "l_ts", "r_ts", "5 seconds").collect()
-    by = lambda s: [x for x in out if x.status == s]
-    assert all(abs((x.l_ts - x.r_ts).total_seconds()) <= 5 for x in by("matched"))
-    paired_l, paired_r = {x.l for x in by("matched")}, {x.r for x in by("matched")}
-    assert sorted(paired_l) + [] == sorted(set(range(len(left))) - {x.l for x in by("left_only")})
-    assert sorted(paired_r) == sorted(set(range(len(right))) - {x.r for x in by("right_only")})
-    assert len(by("left_only")) == len({x.l for x in by("left_only")})
+    want, waiting = [], {}
+    order = sorted([(t, 0, i, k) for i, (k, t) in enumerate(left)] + [(t, 1, i, k) for i, (k, t) in enumerate(right)])
+    for t, side, i, k in order:
+        queue = waiting.setdefault(k, [])
+        open_ = [q for q in queue if q[0] >= t - 5]
+        if open_ and open_[0][1] != side:
+            queue.remove(open_[0])
+            want.append((open_[0][2], i, "matched") if side else (i, open_[0][2], "matched"))
+        else:
+            waiting[k] = [*open_, (t, side, i)]
+            want += [_alone(q) for q in queue if q not in open_]
+    want += [_alone(q) for queue in waiting.values() for q in queue]
+    for max_rows in (None, 4):
+        out = joins.reconcile(l, r, KEY, "l_ts", "r_ts", "5 seconds", max_rows)
+        assert got(out, "l", "r", "status") == sorted(want, key=str)
+
+
+def _alone(open_row):
+    _, side, i = open_row
+    return (None, i, "right_only") if side else (i, None, "left_only")
 
 
 def test_keyed_aggregates(spark):
-    df = from_rows(spark, [("a", 1), ("a", 2), ("b", 3), ("b", 1), ("b", 2), ("a", 4)], "k string, v long")
-    assert got(aggs.int_avg(df, KEY, "v")) == [("a", 2), ("b", 2)]
-    halves = from_rows(spark, [("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("b", 0, 3)], "k string, part long, v long")
+    df = from_rows(spark, [("p", 7), ("p", 2), ("q", 9), ("q", 4), ("q", 6), ("p", 10)], "k string, v long")
+    assert got(aggs.int_avg(df, KEY, "v")) == [("p", 6), ("q", 6)]
+    halves = from_rows(spark, [("p", 0, 3), ("p", 0, 8), ("p", 1, 5), ("q", 0, 4)], "k string, part long, v long")
     total = aggs.two_stage_agg(halves, KEY, ["part"], F.max("v").alias("top"), F.sum("top").alias("s"))
-    assert got(total) == [("a", 5), ("b", 3)]
+    assert got(total) == [("p", 13), ("q", 4)]
 
 
 def test_action_counts_count_each_kind_by_itself(spark):
@@ -244,10 +257,16 @@ def test_jump_alert_is_silent_on_the_first_reading(spark):
     assert got(sequences.jump_alert(df, KEY, ORDER, "v", 10), "k", "v", "previous") == [("a", 46.0, 35.0)]
 
 
-def test_rise_alert(spark):
-    df = events(spark, *[("a", s, v) for s, v in ((0, 5.0), (4, 6.0), (8, 6.0), (12, 7.0), (20, 8.0), (21, 1.0), (40, 1.0))])
-    out = sequences.rise_alert(df, KEY, ORDER, "v", "10 seconds")
-    assert got(out) == [("a", at(0), at(12))]
+def test_rise_alert_is_a_timer(spark):
+    run = lambda *r: got(sequences.rise_alert(events(spark, *[("a", s, v) for s, v in r]), KEY, ORDER, "v", "10 seconds"))
+    # Armed at 4, fired at 14, armed again by the rise at 20.
+    assert run((0, 5.0), (4, 6.0), (8, 6.0), (12, 7.0), (20, 8.0), (21, 1.0), (40, 1.0)) == [("a", at(4), at(14))]
+    # A fall at the very end still clears; a key that is silent after its rise is told.
+    assert run((0, 1.0), (1, 2.0), (11, 1.5), (12, 2.0)) == [("a", at(12), at(22))]
+    assert run((0, 1.0)) == []
+    assert run((0, 1.0), (1, None), (2, 5.0)) == []
+    # A rise of 35 seconds fires three times.
+    assert run(*[(s, float(s)) for s in range(36)]) == [("a", at(s), at(s + 10)) for s in (1, 12, 23, 34)]
 
 
 def test_burst_is_cleared_by_success_and_closes_on_time(spark):

@@ -198,7 +198,7 @@ def test_interval_join(spark, table, folder, finished):
 def test_reconcile(spark, table, folder, finished):
     pay, receipt = _stream_sides(spark, table, folder)
     args = (USER, "pay_ts", "rec_ts", "5 hours")
-    got = no_flush(finished(joins.reconcile(pay, receipt, *args)))
+    got = no_flush(finished(stateful.reconcile(pay, receipt, *args)))
     same(got, joins.reconcile(*_sides(table), *args))
 
 
@@ -245,6 +245,62 @@ def test_followed_by(stream, table, finished):
     same(no_flush(got), want.select("user_id", F.col("first_row.ts").alias("first_ts"), F.col("then_row.ts").alias("then_ts")))
 
 
+def test_windows_of_capped_rows(stream, table, finished):
+    """The cap keeps the event time, so windows per place follow."""
+    place = table.sparkSession.range(0, 2_000).selectExpr("id AS place_of", "concat('place ', id % 5) AS place")
+
+    def windows_of(passed):
+        placed = passed.join(place, F.col("user_id") == F.col("place_of"))
+        return windows.slide(placed, "ts", "1 hour", "10 minutes", ["place"], {"n": ("count", "*")})
+
+    got = finished(windows_of(stateful.daily_cap(stream, USER, ORDER, 1).filter("not alert")))
+    passed, _ = sequences.daily_cap(table, USER, ORDER, 1)
+    same(got, windows_of(passed))
+
+
+@pytest.mark.parametrize("case", ["rolling", "reduce", "jump", "rise"])
+def test_missing_values(spark, table, tmp_path, finished, case):
+    """Nulls in values and in what breaks ties are treated as in tables."""
+    gaps = table.withColumns({"value": F.when(F.col("event_id") % 4 > 0, F.col("value")), "tie": F.when(F.col("event_id") % 3 > 0, F.col("event_id"))})
+    gaps = gaps.withColumn("k", F.when(F.col("event_id") % 5 > 0, F.col("k"))).drop("event_type")
+    path = str(tmp_path / "gaps")
+    gaps.unionByName(gaps.limit(1).withColumns({"ts": F.lit(LAST), "user_id": F.lit(-1).cast("long")})).coalesce(1).write.parquet(path)
+    stream = run.with_event_time(spark.readStream.schema(gaps.schema).parquet(path), "ts", "1 minute")
+    order = ["ts", "tie"]
+    if case == "rolling":
+        got, want = stateful.rolling(stream, USER, order, 2, "k"), windows.rolling(gaps, USER, order, 2, {"count": ("count", "*"), "avg": ("avg", "k")})
+    elif case == "reduce":
+        got, want = stateful.rolling_reduce(stream, USER, order, "k", "max"), sequences.rolling_reduce(gaps, USER, order, {"max": ("max", F.col("k"))})
+    elif case == "jump":
+        got, want = stateful.jump_alert(stream, USER, order, "value", 50.0), sequences.jump_alert(gaps, USER, order, "value", 50.0)
+    else:
+        got, want = stateful.rise_alert(stream, USER, order, "value", "12 hours"), sequences.rise_alert(gaps, USER, order, "value", "12 hours")
+    found = no_flush(finished(got))
+    same(found, want.select(found.columns))
+
+
+def test_running_stream_with_an_interval(spark, table, folder, tmp_path):
+    events = spark.readStream.schema(table.schema).parquet(folder)
+    path = str(tmp_path / "n")
+    query = run.start_stream(run.running_counts(events, ["event_type"]), run.keep_keyed(path, ["event_type"]), str(tmp_path / "cp"), "update", every="1 second")
+    assert query.isActive
+    query.processAllAvailable()
+    query.stop()
+    same(read_keyed(spark, path, ["event_type"]).filter("event_type != 'flush'"), table.groupBy("event_type").count())
+    with pytest.raises(ValueError):
+        run.start_stream(events, path, "")
+
+
+def test_late_rows_change_panes(spark, stream, table, tmp_path):
+    """120 windows over each row, by panes in a keyed table."""
+    keys = ["pane_start", "event_type"]
+    panes = windows.pane_counts(stream, "ts", "10 minutes", "5 seconds", ["event_type"], "n")
+    run.run_stream(panes, run.keep_keyed(str(tmp_path / "panes"), keys), str(tmp_path / "cp"), "update")
+    kept = read_keyed(spark, str(tmp_path / "panes"), keys).filter("event_type != 'flush'")
+    got = windows.windows_of_panes(kept, "10 minutes", "5 seconds", ["event_type"], "n")
+    same(got, windows.slide(table, "ts", "10 minutes", "5 seconds", ["event_type"], {"n": ("count", "*")}))
+
+
 def test_daily_cap(stream, table, finished):
     got = finished(stateful.daily_cap(stream, USER, ORDER, 1))
     passed, alerts = sequences.daily_cap(table, USER, ORDER, 1)
@@ -262,22 +318,22 @@ def test_stream_word_count_goes_on_after_a_restart(spark, tmp_path):
         run.run_stream(run.running_counts(words, ["word"]), run.keep_keyed(keyed, ["word"]), checkpoint, "update")
         return dict(map(tuple, read_keyed(spark, keyed, ["word"]).collect()))
 
-    (folder / "1.txt").write_text("hello flink\nhello java")
-    (folder / "2.txt").write_text("hello scala")
-    assert count() == {"hello": 3, "flink": 1, "java": 1, "scala": 1}
-    (folder / "3.txt").write_text("hello spark")
-    assert count() == {"hello": 4, "flink": 1, "java": 1, "scala": 1, "spark": 1}
+    (folder / "1.txt").write_text("pear plum\npear quince")
+    (folder / "2.txt").write_text("pear sloe")
+    assert count() == {"pear": 3, "plum": 1, "quince": 1, "sloe": 1}
+    (folder / "3.txt").write_text("pear fig")
+    assert count() == {"pear": 4, "plum": 1, "quince": 1, "sloe": 1, "fig": 1}
 
 
 def test_stream_to_csv_file_table(spark, tmp_path):
     folder = tmp_path / "lines"
     folder.mkdir()
-    (folder / "sensor.txt").write_text("s_1, 1547718199, 35.8\ns_6, 1547718201, 15.4")
+    (folder / "sensor.txt").write_text("m_4, 1700000004, 21.5\nm_9, 1700000011, 9.25")
     readings = text.parse_delimited(
         text.stream_lines(spark, str(folder)), "id string, timestamp long, temperature double"
     )
     run.run_stream(readings.select("id", "temperature"), str(tmp_path / "out"), str(tmp_path / "cp"), fmt="csv")
-    assert sorted(r.value for r in text.read_lines(spark, str(tmp_path / "out")).collect()) == ["s_1,35.8", "s_6,15.4"]
+    assert sorted(r.value for r in text.read_lines(spark, str(tmp_path / "out")).collect()) == ["m_4,21.5", "m_9,9.25"]
 
 
 def test_clicks_per_area_add_up_over_batches(spark, stream, table, tmp_path):
