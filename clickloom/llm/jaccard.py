@@ -6,8 +6,8 @@ are parts, so one part at least is equal, and they share a tile. In a tile, bitm
 bound the intersection from above before sorted arrays of shingles are intersected.
 
 A tile of many near copies is not compared all with all. First every set is compared with the smallest
-document of its tiles, which connects nearly all of them. Only sets of a tile that are still not
-connected are then compared with one another, in blocks.
+document of its tiles, which connects nearly all of them. Only sets that are then not connected with
+most of their tiles are compared with the others, in blocks.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from clickloom.llm.shared import buckets_for, staged
 
 #: Tile entries that a task gathers before it sends them on.
 GATHER = 600_000
-#: Sets of a tile that are compared within one task; larger tiles are cut into pairs of blocks.
-BLOCK = 256
+#: Sets of either side that meet in one task; larger groups are cut into blocks.
+BLOCK = 512
 #: Parts beyond those that similar sets may differ in: so many may be empty.
 SLACK = 2
 
@@ -230,13 +230,16 @@ def _verify(percent: int):
     return verify
 
 
-def _compare_tile(percent: int):
+def _compare_block(percent: int):
+    """Links between documents of one block that stand apart and another block's documents, of other components.
+
+    A link between two components is enough.
+    """
+
     def compare(table: pa.Table) -> pa.Table:
-        """Links that connect what is not connected yet; a link between two components is enough."""
         table = table.combine_chunks()
-        docs, parts, other = (table.column(c).to_pylist() for c in ("doc", "component", "block"))
+        docs, parts, apart = (table.column(c).to_pylist() for c in ("doc", "component", "apart"))
         sets, bits = (_numbers(table.column(c)) for c in ("shingles", "bits"))
-        first, second = table.column("i")[0].as_py() if len(docs) else 0, table.column("j")[0].as_py() if len(docs) else 0
         parent = {p: p for p in parts}
 
         def root(p: int) -> int:
@@ -245,16 +248,26 @@ def _compare_tile(percent: int):
                 p = parent[p]
             return p
 
-        size = np.array([len(s) for s in sets])
-        low = min((len(b) for b in bits), default=1)
-        table_bits = np.array([folded(b, low) for b in bits]).reshape(len(bits), low)
+        size, words = np.array([len(s) for s in sets]), np.array([len(b) for b in bits])
+        levels: dict[int, np.ndarray] = {}
+
+        def level(n: int) -> np.ndarray:
+            if n not in levels:
+                levels[n] = np.array([folded(b, n) if len(b) >= n else np.zeros(n, np.uint64) for b in bits])
+            return levels[n]
+
+        other = np.flatnonzero(~np.array(apart, bool))
         links = []
-        for x in range(len(docs)):
-            # Bit counts of all others at once; what they allow is intersected.
-            most = np.minimum(size[x] - np.bitwise_count(table_bits[x] & ~table_bits).sum(1), size - np.bitwise_count(table_bits & ~table_bits[x]).sum(1))
-            for y in np.flatnonzero((100 + percent) * most >= percent * (size + size[x])):
-                across = first == second or other[x] != other[y]
-                if y > x and across and root(parts[x]) != root(parts[y]) and linked(sets[x], bits[x], sets[y], bits[y], percent):
+        for x in np.flatnonzero(apart):
+            near = other[(percent * size[other] <= 100 * size[x]) & (percent * size[x] <= 100 * size[other])]
+            if not len(near):
+                continue
+            # Bit counts of all of them at once; what they allow is intersected.
+            n = int(min(words[x], words[near].min()))
+            own, them = folded(bits[x], n), level(n)[near]
+            most = np.minimum(size[x] - np.bitwise_count(own & ~them).sum(1), size[near] - np.bitwise_count(them & ~own).sum(1))
+            for y in near[(100 + percent) * most >= percent * (size[near] + size[x])]:
+                if root(parts[x]) != root(parts[y]) and linked(sets[x], bits[x], sets[y], bits[y], percent):
                     parent[root(parts[x])] = root(parts[y])
                     links.append((docs[x], docs[y]))
         return pa.table({"a": pa.array([k[0] for k in links], pa.int64()), "b": pa.array([k[1] for k in links], pa.int64())})
@@ -262,6 +275,37 @@ def _compare_tile(percent: int):
     return compare
 
 
+def _late_links(members: DataFrame, so_far: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that the comparisons with the smallest documents have missed.
+
+    They are between documents of one tile that are not connected. Tiles with such documents that have a
+    document in common form a group. In a group one component is the largest; its documents need no
+    comparison with each other. All others stand apart: block by block they meet the blocks of the whole
+    group, so that a group with few of them costs little more than reading it, whatever its size.
+    """
+    placed = members.join(so_far.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    placed = staged(placed)
+    # Of two documents in a tile one is the smallest, and they have been compared.
+    seen = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("centre"))
+    open_tiles = seen.filter("size > 2 AND low <> high").select("key", "centre")
+    in_open = staged(placed.join(open_tiles, "key").select("doc", "component", "centre").distinct())
+    groups = components(in_open.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).select(F.col("node").alias("doc"), F.col("component").alias("group"))
+    grouped = staged(in_open.select("doc", "component").distinct().join(groups, "doc"))
+
+    parts = grouped.groupBy("group", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("group").agg(F.sum("n").alias("all"), F.max(F.struct("n", (-F.col("component")).alias("first"))).alias("most"))
+    largest = largest.select("group", "all", (F.col("all") - F.col("most.n")).alias("apart"), (-F.col("most.first")).alias("largest"))
+    sized = grouped.join(largest, "group")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("doc"), blocks(n)).cast("int")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    everyone = sized.select("group", numbers("apart").alias("i"), block("all").alias("j"), "doc", "component", F.lit(False).alias("apart"))
+    standing = sized.filter(F.col("component") != F.col("largest"))
+    standing = standing.select("group", block("apart").alias("i"), numbers("all").alias("j"), "doc", "component", F.lit(True).alias("apart"))
+    met = everyone.unionByName(standing).join(sets, "doc")
+    return staged(met.groupBy("group", "i", "j").applyInArrow(_compare_block(percent), "a long, b long"))
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row of ``docs``.
 
@@ -300,23 +344,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = staged(pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "a_bits", "b_set", "b_bits").mapInArrow(_verify(percent), "a long, b long"))
     so_far = staged(components(links.unionByName(equal.select(F.col("doc").alias("a"), F.col("least").alias("b")))))
 
-    # Tiles with sets that are not connected. Two sets have been compared, as one is the smallest.
-    placed = members.join(so_far.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    placed = staged(placed)
-    hashed = F.xxhash64("doc")
-    open_tiles = (
-        placed.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(0xFFFFFFFF)).alias("s"))
-        .filter("size > 2 AND low <> high")
-        .groupBy("size", "x", "s")  # tiles of the same sets are one
-        .agg(F.min("key").alias("key"))
-    )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    in_blocks = placed.join(open_tiles.select("key", blocks.alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    with_other = in_blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    to_compare = with_other.select("key", F.least("block", "to").alias("i"), F.greatest("block", "to").alias("j"), "block", "doc", "component")
-    late = to_compare.join(sets, "doc").groupBy("key", "i", "j").applyInArrow(_compare_tile(percent), "a long, b long")
-    late = staged(late)
+    late = _late_links(members, so_far, sets, percent)
     if late.isEmpty():
         grouped = so_far
     else:
