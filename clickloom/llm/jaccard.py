@@ -126,13 +126,16 @@ def linked(a: np.ndarray, a_bits: np.ndarray, b: np.ndarray, b_bits: np.ndarray,
     return (100 + percent) * int((b[at] == a).sum()) >= need
 
 
-_STATS = "kind int, bucket int, payload binary, doc long, n long, d1 long, d2 long"
-_MEMBERS = "key long, doc long"
+#: Bits of a tile's key that are sent; its bucket tells more. Keys that agree by chance only cost a comparison.
+KEY_BITS = 40
+
+_SENT = "kind int, bucket int, payload binary, doc long, n long, d1 long, d2 long"
+_MET = "kind int, key long, doc long, n long, d1 long, d2 long"
 _SETS = "doc long, bits binary, shingles binary"
 
 
 def _send(words: int, percent: int, buckets: int):
-    names = [f.split()[0] for f in _STATS.split(", ")]
+    names = [f.split()[0] for f in _SENT.split(", ")]
     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
 
     def batch_of(rows: int, **columns) -> pa.RecordBatch:
@@ -151,7 +154,7 @@ def _send(words: int, percent: int, buckets: int):
             for bucket, here in by_bucket(A.bucket_of(key[at], buckets)):
                 here = at[here]
                 here = here[np.argsort(doc[here], kind="stable")]
-                sent.append((kind, bucket, A.pack(doc[here], key[here])))
+                sent.append((kind, bucket, A.pack(doc[here], key[here] & A.U((1 << KEY_BITS) - 1))))
         kind, bucket, payload = zip(*sent, strict=True)
         yield batch_of(len(kind), kind=kind, bucket=bucket, payload=payload)
 
@@ -168,7 +171,8 @@ def _send(words: int, percent: int, buckets: int):
                     size[who] = np.diff(edges)
                     d1[who] = np.add.reduceat(A.mix(key), edges[:-1]).view(np.int64)
                     d2[who] = np.add.reduceat(A.mix(key + A.U(0x9E3779B97F4A7C15)), edges[:-1]).view(np.int64)
-                yield batch_of(len(docs), kind=np.ones(len(docs), np.int32), doc=docs, n=size, d1=d1, d2=d2)
+                bucket = A.spark_hash(docs, buckets).astype(np.int32)
+                yield batch_of(len(docs), kind=np.ones(len(docs), np.int32), bucket=bucket, doc=docs, n=size, d1=d1, d2=d2)
                 at, tile = tile_keys(text, key, percent)
                 if len(at):
                     parts.append((docs[at], tile))
@@ -183,10 +187,13 @@ def _send(words: int, percent: int, buckets: int):
 
 
 def _members(table: pa.Table) -> pa.Table:
-    """Documents of the tiles that have two or more."""
+    """Documents of the tiles of a bucket that have two or more; what is known of documents passes."""
+    kinds = np.asarray(table.column("kind"))
+    passing = table.filter(pa.array(kinds == 1)).select(["kind", "doc", "n", "d1", "d2"])
     docs, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     alone = []
-    for kind, payload in zip(table.column("kind").to_pylist(), table.column("payload").to_pylist(), strict=True):
+    tiles = table.filter(pa.array(kinds != 1))
+    for kind, payload in zip(tiles.column("kind").to_pylist(), tiles.column("payload").to_pylist(), strict=True):
         doc, key = A.unpack(payload)
         if kind == 2:
             docs.append(doc)
@@ -200,7 +207,13 @@ def _members(table: pa.Table) -> pa.Table:
         more = order[np.repeat(np.diff(edges) > 1, np.diff(edges))]
         docs.append(doc[more])
         keys.append(key[more])
-    return pa.table({"key": pa.array(np.concatenate(keys).view(np.int64)), "doc": pa.array(np.concatenate(docs))})
+    doc, key = np.concatenate(docs), np.concatenate(keys)
+    whole = key | A.U(table.column("bucket")[0].as_py() << KEY_BITS)
+    none = pa.nulls(len(doc), pa.int64())
+    found = [pa.array(np.zeros(len(doc), np.int32)), pa.array(whole.view(np.int64)), pa.array(doc), none, none, none]
+    names = ["kind", "key", "doc", "n", "d1", "d2"]
+    known = [passing.column(c) if c != "key" else pa.nulls(len(passing), pa.int64()) for c in names]
+    return pa.concat_tables([pa.table(found, names=names), pa.table(known, names=names)])
 
 
 def _sets(words: int):
@@ -325,7 +338,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     named = texts.filter("doc IS NOT NULL")
     buckets = buckets_for(named, "text")
-    first = staged(named.mapInArrow(_send(words, percent, buckets), _STATS), "kind")
+    sent = named.mapInArrow(_send(words, percent, buckets), _SENT)
+    first = staged(sent.groupBy("bucket").applyInArrow(_members, _MET), "kind")
     stats = first.filter("kind = 1").select("doc", "n", "d1", "d2")
 
     # Classes of equal sets, each by its smallest document.
@@ -333,8 +347,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal = staged(stats.join(classes, ["n", "d1", "d2"]).select("doc", "least").distinct())
     speakers = equal.filter("doc = least").select("doc").distinct()
 
-    tiles = first.filter("kind <> 1").select("bucket", "kind", "payload").groupBy("bucket").applyInArrow(_members, _MEMBERS)
-    members = staged(tiles.join(speakers, "doc", "left_semi").distinct())
+    members = staged(first.filter("kind = 0").select("key", "doc").join(speakers, "doc", "left_semi").distinct())
     centres = members.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("size")).filter("size > 1")
     pairs = staged(members.join(centres, "key").filter("doc <> centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct())
 
