@@ -65,6 +65,13 @@ def tumble_min(spark: SparkSession, sf: str) -> DataFrame:
     return tumble(events(spark, sf), "ts", "1 hour", ["event_type"], {"min_value": ("min", "value")})
 
 
+def processing_tumble(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per window of the time at which they are processed: all of a table at once, so one window each."""
+    counted = tumble(events(spark, sf), F.current_timestamp(), "1 hour", ["event_type"], {"count": ("count", "*")})
+    length = F.unix_micros("window_end") - F.unix_micros("window_start")
+    return counted.select("event_type", "count", (length == 3_600_000_000).alias("is_an_hour"))
+
+
 def slide_count(spark: SparkSession, sf: str) -> DataFrame:
     aggs = {"count": ("count", "*"), "max_value": ("max", "value"), "min_value": ("min", "value")}
     return slide(events(spark, sf), "ts", "1 hour", "30 minutes", ["event_type"], aggs)
@@ -128,6 +135,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         hot_items, hot_urls, pv_hourly, uv_exact, uv_bitmap, uv_approx, marketing_total, marketing_by_channel,
-        tumble_min, slide_count, sql_tumble, sql_hop, recent_clicks, over_rows, page_conversion,
+        tumble_min, processing_tumble, slide_count, sql_tumble, sql_hop, recent_clicks, over_rows, page_conversion,
     )
 }

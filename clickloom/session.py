@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "clickloom", **conf) -> Spa
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -30,7 +33,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and cut its lineage.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a session that names
-    none (a local test) gets a folder of its own.
+    none (a local test) gets a folder of its own, which goes when the program ends. Elsewhere Spark's
+    setting ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes checkpoints no longer used.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
@@ -40,5 +44,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="clickloom-checkpoint-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=True)

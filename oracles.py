@@ -81,6 +81,7 @@ ORACLES = {
         12, "5 MINUTE", "behavior, channel", _COUNT,
     ),
     "tumble_min": f"SELECT {_HOUR}, event_type, min(value) AS min_value FROM events GROUP BY ALL",
+    "processing_tumble": f"SELECT event_type, {_COUNT}, true AS is_an_hour FROM events GROUP BY event_type",
     "slide_count": _slide(
         "SELECT ts, event_type, value FROM events", 2, "30 MINUTE", "event_type",
         f"{_COUNT}, max(value) AS max_value, min(value) AS min_value",
