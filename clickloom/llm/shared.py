@@ -14,6 +14,8 @@ from clickloom.session import checkpointed
 #: Bytes of text that one bucket of an exchange is meant to hold.
 BUCKET_BYTES = 64 << 20
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder's path below the one that the session names in ``spark.checkpoint.dir``.
@@ -25,7 +27,17 @@ def shared_folder(spark: SparkSession) -> str:
     if root is None:
         checkpointed(spark.range(0))  # a local session gets its folder; a cluster is told what is missing
         root = sc.getCheckpointDir()
-    return f"{root}/{uuid.uuid4().hex}"
+    path = f"{root}/{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables that operators have written between their steps; results that read them end too."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _made:
+        path = hadoop.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
