@@ -14,6 +14,8 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "append") ->
     df.write.mode(mode).option("sep", sep).csv(path)
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **properties: str) -> None:
-    """Batched inserts, one connection per partition."""
-    df.write.jdbc(url, table, mode=mode, properties=properties)
+def write_jdbc(
+    df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 8, **properties: str
+) -> None:
+    """Batched inserts, one connection per partition and at most ``connections`` of them."""
+    df.write.jdbc(url, table, mode=mode, properties={"numPartitions": str(connections), **properties})

@@ -140,15 +140,24 @@ def keep_distinct(path: str, name: str = "uv") -> BatchSink:
 
 
 def keep_blacklist(path: str, ts: str, user: str, ad: str, limit: int) -> BatchSink:
-    """Count clicks per day, user and ad, leaving out users who reached ``limit`` in an earlier batch."""
-    keys = ["day", user, ad]
+    """Count clicks per day, user and ad, leaving out users who reached ``limit`` in an earlier batch.
+
+    Blocked users are a keyed table of their own beside ``path``, so a batch reads only the buckets of its
+    users there and of its counts here.
+    """
+    keys, blocked_path = ["day", user, ad], f"{path}_blocked"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        counted = read_keyed(batch.sparkSession, path, keys, "add", before=batch_id)
-        if counted is not None:
-            batch = exclude_keys(batch, counted.filter(F.col("count") >= limit), user)
-        daily = batch.groupBy(F.to_date(ts).alias("day"), user, ad).agg(F.count("*").alias("count"))
-        upsert_keyed(daily, batch_id, path, keys, "add", compact_every=COMPACT_EVERY)
+        spark = batch.sparkSession
+        with _kept(batch) as batch:
+            blocked = read_keyed(spark, blocked_path, [user], before=batch_id, of=batch)
+            rest = batch if blocked is None else exclude_keys(batch, blocked, user)
+            daily = rest.groupBy(F.to_date(ts).alias("day"), user, ad).agg(F.count("*").alias("count"))
+            upsert_keyed(daily, batch_id, path, keys, "add", compact_every=COMPACT_EVERY)
+            counted = read_keyed(spark, path, keys, "add", of=daily)
+            if counted is not None:
+                over = counted.filter(F.col("count") >= limit).select(user, F.lit(True).alias("blocked")).distinct()
+                upsert_keyed(over, batch_id, blocked_path, [user], compact_every=COMPACT_EVERY)
 
     return sink
 

@@ -171,4 +171,4 @@ def test_jdbc_goes_through_the_batch_writer():
             calls.append((url, table, mode, properties))
 
     files.write_jdbc(Fake(), "jdbc:x", "t", user="u")
-    assert calls == [("jdbc:x", "t", "append", {"user": "u"})]
+    assert calls == [("jdbc:x", "t", "append", {"numPartitions": "8", "user": "u"})]
