@@ -226,17 +226,19 @@ def _folded_windows(nodes: DataFrame, group: list[str], us: int) -> DataFrame:
     """As ``_greedy_windows``, for groups small enough to be one array each."""
     row = F.struct("_us", "start_ts", "_ok", F.col("_n").alias("n_fails"))
     arrays = nodes.groupBy(*group).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
-    none_yet = F.slice("_rows", 1, 0)
+    kind = arrays.schema["_rows"].dataType.elementType
+    none_yet = F.struct(F.slice("_rows", 1, 0).alias("closed"), F.lit(None).cast(kind).alias("open"))
 
-    def add(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
-        same = (F.size(done) > 0) & (x["_us"] <= F.get(done, F.size(done) - 1)["_us"] + us)
+    def add(so_far: Column, x: Column) -> Column:
+        last = so_far["open"]
+        same = last.isNotNull() & (x["_us"] <= last["_us"] + us)
         grown = F.struct(last["_us"], last["start_ts"], last["_ok"], (last["n_fails"] + x["n_fails"]).alias("n_fails"))
-        return F.when(
-            same, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))
-        ).otherwise(F.concat(done, F.array(x)))
+        # The array grows when a window closes, not with every row.
+        closed = F.when(same | last.isNull(), so_far["closed"]).otherwise(F.concat(so_far["closed"], F.array(last)))
+        return F.struct(closed.alias("closed"), F.when(same, grown).otherwise(x).alias("open"))
 
-    return arrays.select(*group, F.inline(F.aggregate("_rows", none_yet, add)))
+    done = F.aggregate("_rows", none_yet, add, lambda d: F.concat(d["closed"], F.array(d["open"])))
+    return arrays.select(*group, F.inline(done))
 
 
 def _greedy_windows(nodes: DataFrame, group: list[str], us: int, max_rows: int) -> DataFrame:
