@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.llm.shared import staged
@@ -16,21 +16,24 @@ def components(links: DataFrame) -> DataFrame:
     others link to are aggregated before the shuffle, and their part of a join is split by Spark.
     Without links the result is empty.
     """
-    edges = staged(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = _fingerprint(edges)
+    edges, state = _kept(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        edges = staged(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct())
-        before, state = state, _fingerprint(edges)
+        handed = F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), F.col("m")))
+        small = large.join(least, "u").select(F.inline(handed)).filter("v <> m")
+        before = state
+        edges, state = _kept(small.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         if state == before:
             break
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _kept(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a table, and what tells them from others, seen while they are written."""
+    seen = Observation()
+    told = edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+    return staged(told), seen.get

@@ -291,19 +291,17 @@ def _compare_block(percent: int):
 def _late_links(members: DataFrame, so_far: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that the comparisons with the smallest documents have missed.
 
-    They are between documents of one tile that are not connected. Tiles with such documents that have a
-    document in common form a group. In a group one component is the largest; its documents need no
+    They are between documents of one tile that are not connected. All tiles with such documents and the
+    same smallest document are one group. In a group one component is the largest; its documents need no
     comparison with each other. All others stand apart: block by block they meet the blocks of the whole
     group, so that a group with few of them costs little more than reading it, whatever its size.
     """
     placed = members.join(so_far.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     placed = staged(placed)
     # Of two documents in a tile one is the smallest, and they have been compared.
-    seen = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("centre"))
-    open_tiles = seen.filter("size > 2 AND low <> high").select("key", "centre")
-    in_open = staged(placed.join(open_tiles, "key").select("doc", "component", "centre").distinct())
-    groups = components(in_open.select(F.col("doc").alias("a"), F.col("centre").alias("b"))).select(F.col("node").alias("doc"), F.col("component").alias("group"))
-    grouped = staged(in_open.select("doc", "component").distinct().join(groups, "doc"))
+    seen = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("group"))
+    open_tiles = seen.filter("size > 2 AND low <> high").select("key", "group")
+    grouped = staged(placed.join(open_tiles, "key").select("doc", "component", "group").distinct())
 
     parts = grouped.groupBy("group", "component").agg(F.count("*").alias("n"))
     largest = parts.groupBy("group").agg(F.sum("n").alias("all"), F.max(F.struct("n", (-F.col("component")).alias("first"))).alias("most"))
@@ -344,11 +342,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Classes of equal sets, each by its smallest document.
     classes = stats.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("least"))
-    equal = staged(stats.join(classes, ["n", "d1", "d2"]).select("doc", "least").distinct())
-    speakers = equal.filter("doc = least").select("doc").distinct()
+    equal = staged(stats.join(classes, ["n", "d1", "d2"]).select("doc", "least"))
+    speakers = equal.filter("doc = least").select("doc")
 
-    members = staged(first.filter("kind = 0").select("key", "doc").join(speakers, "doc", "left_semi").distinct())
-    centres = members.groupBy("key").agg(F.min("doc").alias("centre"), F.count("*").alias("size")).filter("size > 1")
+    members = staged(first.filter("kind = 0").select("key", "doc").join(speakers, "doc", "left_semi"))
+    centres = members.groupBy("key").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).filter("centre < last")
     pairs = staged(members.join(centres, "key").filter("doc <> centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct())
 
     needed = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
@@ -361,7 +359,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if late.isEmpty():
         grouped = so_far
     else:
-        grouped = components(late.unionByName(so_far.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        # Components are joined where a late link leads from one to another.
+        named = {s: so_far.select(F.col("node").alias(s), F.col("component").alias(f"{s}_part")) for s in "ab"}
+        between = late.join(named["a"], "a", "left").join(named["b"], "b", "left")
+        between = between.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
+        joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("root"))
+        nodes = so_far.unionByName(between.select(F.explode(F.array("a", "b")).alias("node"), F.col("node").alias("component")))
+        grouped = nodes.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component")).distinct()
     known = stats.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles")).join(grouped, F.col("doc_id") == F.col("node"), "left")
     known = known.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     nameless = texts.filter("doc IS NULL").select("text").mapInArrow(_count_only(words), "n_shingles long")
