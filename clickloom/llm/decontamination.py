@@ -19,12 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
+from clickloom.llm.bitmap import bitmap_of, passes
 from clickloom.llm.shared import staged
 
-#: Bits of the bitmap (512 KiB), in rows of 4 KiB as Spark builds them.
-BITMAP_BITS = 1 << 22
-_ROW_BITS = 1 << 15
-
 
 def _hashes(texts: A.Texts) -> tuple[A.Words, dict[str, np.ndarray]]:
     """The words of texts and two hashes of each."""
@@ -81,8 +78,7 @@ def _doc_windows(window: int, gram: int, lengths: list[int], bitmap: np.ndarray)
                 yield pa.RecordBatch.from_arrays(stats, names=names)
                 for n in lengths:
                     start, mark, h1, h2 = _hashed(words, hashes, n, window, gram)
-                    bit = (mark % A.U(BITMAP_BITS)).astype(np.int64)
-                    may = np.flatnonzero(bitmap[bit >> 3] >> (bit & 7) & 1)
+                    may = np.flatnonzero(passes(bitmap, mark))
                     text = words.text[start[may]]
                     size, at = len(may), pa.array(text)
                     yield pa.RecordBatch.from_arrays(
@@ -101,17 +97,6 @@ def _doc_windows(window: int, gram: int, lengths: list[int], bitmap: np.ndarray)
     return cut
 
 
-def _bitmap(marks: DataFrame) -> np.ndarray:
-    """A bit for each mark; at most 128 rows of 4 KiB come to the driver, whatever the benchmark's size."""
-    bit = F.pmod(F.col("mark"), F.lit(BITMAP_BITS))
-    # Signed and unsigned remainders agree, as the number of bits is a power of two.
-    rows = marks.select(F.floor(bit / _ROW_BITS).cast("int").alias("row"), F.pmod(bit, F.lit(_ROW_BITS)).alias("bit"))
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in rows.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
-        out[r["row"] * _ROW_BITS // 8 : (r["row"] + 1) * _ROW_BITS // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
-
-
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -140,7 +125,7 @@ def find_contamination(
     marks = windows.select("n", "mark").distinct()
     lengths = sorted(r["n"] for r in marks.select("n").distinct().collect())  # ``window`` numbers at most
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
-    found = staged(texts.mapInArrow(_doc_windows(window, gram, lengths, _bitmap(marks)), _FOUND), "kind")
+    found = staged(texts.mapInArrow(_doc_windows(window, gram, lengths, bitmap_of(marks)), _FOUND), "kind")
 
     # Fingerprints are joined, and with them the whole windows compared.
     hits = found.filter("kind = 1").select("doc", "tie", "start", "n", "mark", "h1", "h2").join(known, ["n", "mark", "h1", "h2"])

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
+from clickloom.llm.bitmap import bitmap_of, passes
 from clickloom.llm.graph import components
 from clickloom.llm.repeats import by_bucket
 from clickloom.llm.shared import buckets_for, staged
@@ -28,6 +29,8 @@ from clickloom.llm.shared import buckets_for, staged
 GATHER = 600_000
 #: Sets of either side that meet in one task; larger groups are cut into blocks.
 BLOCK = 512
+#: Bits of the bitmap of documents whose texts are read again (2 MiB).
+WANTED_BITS = 1 << 24
 #: Parts beyond those that similar sets may differ in: so many may be empty.
 SLACK = 2
 
@@ -229,6 +232,20 @@ def _sets(words: int):
     return sets
 
 
+def _only(bitmap: np.ndarray):
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes(bitmap, A.mix(np.asarray(batch.column("doc")).view(np.uint64)))))
+
+    return only
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        mark = A.mix(np.asarray(batch.column("doc")).view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(mark)], names=["mark"])
+
+
 def _numbers(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
 
@@ -349,8 +366,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     centres = members.groupBy("key").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).filter("centre < last")
     pairs = staged(members.join(centres, "key").filter("doc <> centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct())
 
-    needed = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    sets = staged(named.join(needed, "doc", "left_semi").mapInArrow(_sets(words), _SETS))
+    needed = staged(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct())
+    # Few texts are needed again: a bitmap drops most others where they are read, the join the rest.
+    wanted = bitmap_of(needed.mapInArrow(_marks, "mark long"), WANTED_BITS)
+    some = named.mapInArrow(_only(wanted), named.schema)
+    sets = staged(some.join(needed, "doc", "left_semi").mapInArrow(_sets(words), _SETS))
     a, b = (sets.select(F.col("doc").alias(s), F.col("shingles").alias(f"{s}_set"), F.col("bits").alias(f"{s}_bits")) for s in "ab")
     links = staged(pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "a_bits", "b_set", "b_bits").mapInArrow(_verify(percent), "a long, b long"))
     so_far = staged(components(links.unionByName(equal.select(F.col("doc").alias("a"), F.col("least").alias("b")))))

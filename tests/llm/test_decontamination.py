@@ -1,6 +1,8 @@
 import random
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,8 +12,6 @@ from clickloom.llm import decontamination as D
 
 from .conftest import sentence
 
-import re
-
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -64,7 +64,7 @@ def test_messy_rows(spark, messy, window, gram):
 
 def test_full_bitmap(spark, messy, monkeypatch):
     """A bitmap that is full of the benchmark's marks lets all pass, and the join alone decides."""
-    monkeypatch.setattr(D, "_bitmap", lambda marks: 0xFF + D.np.zeros(D.BITMAP_BITS // 8, D.np.uint8))
+    monkeypatch.setattr(D, "bitmap_of", lambda marks: np.full(1 << 19, 0xFF, np.uint8))
     few = messy.filter("length(text) < 3000")
     rows = [(r["doc_id"], r["text"]) for r in few.select("doc_id", "text").collect()]
     items = [(1, rows[5][1]), (2, "no such words")]
