@@ -31,7 +31,7 @@ GATHER = 600_000
 BLOCK = 512
 #: Bits of the bitmap of documents whose texts are read again (2 MiB).
 WANTED_BITS = 1 << 24
-#: Parts beyond those that similar sets may differ in: so many may be empty.
+#: At least so many parts more than similar sets may differ in: as many may be empty.
 SLACK = 2
 
 
@@ -66,36 +66,49 @@ def shingles(texts: A.Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
     return text[new], key[new]
 
 
-def tile_keys(text: np.ndarray, key: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the text and key of every tile that its set is in."""
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def tile_keys(text: np.ndarray, key: np.ndarray, percent: int) -> tuple[Rows, Rows]:
+    """Every tile that a set is in, and how many of its tiles it must share to have a partner at all.
+
+    Both are given by the number of the text, the step from its own band of sizes to that of the
+    partner, and the tile's key or the number.
+    """
     edges = A.group_edges(text)
     size = np.diff(edges)
-    out_text, out_key = [], []
+    none = np.zeros(0, np.int64)
+    tiles, needs = [(none, none, np.zeros(0, np.uint64))], [(none, none, none)]
     own = np.searchsorted(BANDS, size, "right") - 1
     step = 0
     while True:
         # Partners of the own band and of those above with sets that are not too large.
         in_band = np.flatnonzero(BANDS[own + step] * percent <= 100 * size)
         if not len(in_band):
-            return np.concatenate([np.zeros(0, np.int64), *out_text]), np.concatenate([np.zeros(0, np.uint64), *out_key])
-        band = own[in_band] + step
-        parts = (100 - percent) * 2 * (BANDS[band + 1] - 1) // (100 + percent) + 1 + SLACK
-        members = np.repeat(in_band, size[in_band])
-        at = np.arange(len(members)) - np.repeat(np.cumsum(size[in_band]) - size[in_band], size[in_band]) + edges[:-1][members]
-        part = ((key[at] >> A.U(32)) * np.repeat(parts, size[in_band]).astype(A.U) >> A.U(32)).astype(np.int64)
+            return tuple(map(np.concatenate, zip(*tiles, strict=True))), tuple(map(np.concatenate, zip(*needs, strict=True)))
+        band, n = own[in_band] + step, size[in_band]
+        largest = BANDS[band + 1] - 1
+        differ = (100 - percent) * 2 * largest // (100 + percent)
+        # Half as many parts more: then similar sets share a good part of their tiles, and others do not.
+        spare = np.maximum(SLACK, (differ + 1) // 2)
+        parts = differ + 1 + spare
+        members = np.repeat(in_band, n)
+        at = np.arange(len(members)) - np.repeat(np.cumsum(n) - n, n) + edges[:-1][members]
+        part = ((key[at] >> A.U(32)) * np.repeat(parts, n).astype(A.U) >> A.U(32)).astype(np.int64)
         where = A.group_edges(members, part)
-        if len(members):
-            content = np.add.reduceat(A.mix(key[at] + A.U(0xA0761D6478BD642F)), where[:-1])
-            who, part = members[where[:-1]], part[where[:-1]]
-            salt = (own[who] + step).astype(A.U) << A.U(40) | part.astype(A.U)
-            out_text.append(text[edges[:-1]][who])
-            out_key.append(A.mix(content ^ A.mix(salt)))
-            # Two sets may be equal in empty parts only if both have so many; then these count too.
-            filled = np.bincount(who, minlength=len(size))[in_band]
-            for i in np.flatnonzero(parts - filled > SLACK):
-                empty = np.setdiff1d(np.arange(parts[i]), part[who == in_band[i]]).astype(A.U)
-                out_text.append(np.full(len(empty), text[edges[in_band[i]]]))
-                out_key.append(A.mix(A.mix(A.U(band[i]) << A.U(40) | empty)))
+        content = np.add.reduceat(A.mix(key[at] + A.U(0xA0761D6478BD642F)), where[:-1])
+        who, part = members[where[:-1]], part[where[:-1]]
+        salt = (own[who] + step).astype(A.U) << A.U(40) | part.astype(A.U)
+        tiles.append((text[edges[:-1]][who], np.full(len(who), step), A.mix(content ^ A.mix(salt))))
+        # Two sets may be equal in empty parts only if both have so many; then these count too.
+        filled = np.bincount(who, minlength=len(size))[in_band]
+        for i in np.flatnonzero(parts - filled > spare):
+            empty = np.setdiff1d(np.arange(parts[i]), part[who == in_band[i]]).astype(A.U)
+            tiles.append((np.full(len(empty), text[edges[in_band[i]]]), np.full(len(empty), step), A.mix(A.mix(A.U(band[i]) << A.U(40) | empty))))
+        # A partner of this band differs in no more parts than this; all others are shared, or empty in both.
+        partner = np.minimum(largest, 100 * n // percent)
+        most = (100 - percent) * (n + partner) // (100 + percent)
+        needs.append((text[edges[:-1]][in_band], np.full(len(n), step), np.maximum(1, filled - most)))
         step += 1
 
 
@@ -133,7 +146,7 @@ def linked(a: np.ndarray, a_bits: np.ndarray, b: np.ndarray, b_bits: np.ndarray,
 KEY_BITS = 40
 
 _SENT = "kind int, bucket int, payload binary, doc long, n long, d1 long, d2 long"
-_MET = "kind int, key long, doc long, n long, d1 long, d2 long"
+_MET = "kind int, key long, step long, doc long, n long, d1 long, d2 long"
 _SETS = "doc long, bits binary, shingles binary"
 
 
@@ -144,10 +157,10 @@ def _send(words: int, percent: int, buckets: int):
     def batch_of(rows: int, **columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(rows, k) for c, k in zip(names, kinds, strict=True)], names=names)
 
-    def flush(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        doc, key = (np.concatenate(c) for c in zip(*parts, strict=True))
+    def flush(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        doc, step, key = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.lexsort((doc, key))
-        doc, key = doc[order], key[order]
+        doc, step, key = doc[order], step[order], key[order]
         edges = A.group_edges(key)
         first, size = edges[:-1], np.diff(edges)
         # Of equal keys here the smallest document goes on; all of them are known to be members.
@@ -157,7 +170,7 @@ def _send(words: int, percent: int, buckets: int):
             for bucket, here in by_bucket(A.bucket_of(key[at], buckets)):
                 here = at[here]
                 here = here[np.argsort(doc[here], kind="stable")]
-                sent.append((kind, bucket, A.pack(doc[here], key[here] & A.U((1 << KEY_BITS) - 1))))
+                sent.append((kind, bucket, A.pack(doc[here], step[here].astype(np.uint8), key[here] & A.U((1 << KEY_BITS) - 1))))
         kind, bucket, payload = zip(*sent, strict=True)
         yield batch_of(len(kind), kind=kind, bucket=bucket, payload=payload)
 
@@ -176,9 +189,12 @@ def _send(words: int, percent: int, buckets: int):
                     d2[who] = np.add.reduceat(A.mix(key + A.U(0x9E3779B97F4A7C15)), edges[:-1]).view(np.int64)
                 bucket = A.spark_hash(docs, buckets).astype(np.int32)
                 yield batch_of(len(docs), kind=np.ones(len(docs), np.int32), bucket=bucket, doc=docs, n=size, d1=d1, d2=d2)
-                at, tile = tile_keys(text, key, percent)
+                (at, step, tile), (which, need_step, need) = tile_keys(text, key, percent)
                 if len(at):
-                    parts.append((docs[at], tile))
+                    # Which step and how many tiles go in the places of the hashes.
+                    wanted = docs[which]
+                    yield batch_of(len(which), kind=np.full(len(which), 3, np.int32), bucket=A.spark_hash(wanted, buckets).astype(np.int32), doc=wanted, n=need, d1=need_step)
+                    parts.append((docs[at], step, tile))
                     n += len(at)
                 if n >= GATHER:
                     yield from flush(parts)
@@ -192,31 +208,24 @@ def _send(words: int, percent: int, buckets: int):
 def _members(table: pa.Table) -> pa.Table:
     """Documents of the tiles of a bucket that have two or more; what is known of documents passes."""
     kinds = np.asarray(table.column("kind"))
-    passing = table.filter(pa.array(kinds == 1)).select(["kind", "doc", "n", "d1", "d2"])
-    docs, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    alone = []
-    tiles = table.filter(pa.array(kinds != 1))
+    passing = table.filter(pa.array((kinds == 1) | (kinds == 3)))
+    none_yet = (np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint64))
+    found, alone = [none_yet], [none_yet]
+    tiles = table.filter(pa.array((kinds == 0) | (kinds == 2)))
     for kind, payload in zip(tiles.column("kind").to_pylist(), tiles.column("payload").to_pylist(), strict=True):
-        doc, key = A.unpack(payload)
-        if kind == 2:
-            docs.append(doc)
-            keys.append(key)
-        else:
-            alone.append((doc, key))
-    if alone:
-        doc, key = (np.concatenate(c) for c in zip(*alone, strict=True))
-        order = np.argsort(key, kind="stable")
-        edges = A.group_edges(key[order])
-        more = order[np.repeat(np.diff(edges) > 1, np.diff(edges))]
-        docs.append(doc[more])
-        keys.append(key[more])
-    doc, key = np.concatenate(docs), np.concatenate(keys)
+        (found if kind == 2 else alone).append(tuple(A.unpack(payload)))
+    doc, step, key = (np.concatenate(c) for c in zip(*alone, strict=True))
+    order = np.argsort(key, kind="stable")
+    edges = A.group_edges(key[order])
+    more = order[np.repeat(np.diff(edges) > 1, np.diff(edges))]
+    found.append((doc[more], step[more], key[more]))
+    doc, step, key = (np.concatenate(c) for c in zip(*found, strict=True))
     whole = key | A.U(table.column("bucket")[0].as_py() << KEY_BITS)
     none = pa.nulls(len(doc), pa.int64())
-    found = [pa.array(np.zeros(len(doc), np.int32)), pa.array(whole.view(np.int64)), pa.array(doc), none, none, none]
-    names = ["kind", "key", "doc", "n", "d1", "d2"]
-    known = [passing.column(c) if c != "key" else pa.nulls(len(passing), pa.int64()) for c in names]
-    return pa.concat_tables([pa.table(found, names=names), pa.table(known, names=names)])
+    met = [pa.array(np.zeros(len(doc), np.int32)), pa.array(whole.view(np.int64)), pa.array(step.astype(np.int64)), pa.array(doc), none, none, none]
+    names = ["kind", "key", "step", "doc", "n", "d1", "d2"]
+    known = [passing.column(c) if c not in ("key", "step") else pa.nulls(len(passing), pa.int64()) for c in names]
+    return pa.concat_tables([pa.table(met, names=names), pa.table(known, names=names)])
 
 
 def _sets(words: int):
@@ -362,7 +371,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal = staged(stats.join(classes, ["n", "d1", "d2"]).select("doc", "least"))
     speakers = equal.filter("doc = least").select("doc")
 
-    members = staged(first.filter("kind = 0").select("key", "doc").join(speakers, "doc", "left_semi"))
+    # A document that shares fewer tiles than a partner would is in no pair: passages in common are not enough.
+    met = first.filter("kind = 0").select("key", "step", "doc")
+    needs = first.filter("kind = 3").select("doc", F.col("d1").alias("step"), F.col("n").alias("need"))
+    shared = met.groupBy("doc", "step").agg(F.count("*").alias("tiles"))
+    enough = shared.join(needs, ["doc", "step"]).filter("tiles >= need").select("doc", "step").distinct()
+    members = staged(met.join(enough, ["doc", "step"], "left_semi").join(speakers, "doc", "left_semi").select("key", "doc"))
     centres = members.groupBy("key").agg(F.min("doc").alias("centre"), F.max("doc").alias("last")).filter("centre < last")
     pairs = staged(members.join(centres, "key").filter("doc <> centre").select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct())
 

@@ -105,9 +105,14 @@ def test_similar_sets_share_a_tile(common, added, left, percent, spread):
     both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
     similar = 100 * both >= percent * union
     assert J.linked(a, J.bitmap(a), b, J.bitmap(b), percent) == similar
-    text, key = J.tile_keys(np.repeat([3, 7], [len(a), len(b)]), np.concatenate((a, b)), percent)
+    (text, step, key), (who, of_step, need) = J.tile_keys(np.repeat([3, 7], [len(a), len(b)]), np.concatenate((a, b)), percent)
     if similar:
-        assert set(key[text == 3].tolist()) & set(key[text == 7].tolist())
+        shared = set(key[text == 3].tolist()) & set(key[text == 7].tolist())
+        assert shared
+        for t in (3, 7):  # and as many of one step as a set must share
+            in_step = {s: n for w, s, n in zip(who.tolist(), of_step.tolist(), need.tolist(), strict=True) if w == t}
+            met = Counter(s for w, s, k in zip(text.tolist(), step.tolist(), key.tolist(), strict=True) if w == t and k in shared)
+            assert any(met[s] >= n for s, n in in_step.items())
 
 
 def test_shingles():
