@@ -22,7 +22,7 @@ from clickloom.llm import arrays as A
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Scored words that a worker keeps; all are dropped when there are more.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 
 def words_in(text: str) -> list[str]:

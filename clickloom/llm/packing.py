@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from clickloom.llm import arrays as A
 from clickloom.llm.shared import staged
 from clickloom.llm.token_files import with_end
-from clickloom.llm.tokens import encoder
+from clickloom.llm.tokens import STEP_BYTES, encoder
 
 #: A filling: lengths in falling order, and how many sequences are filled that way.
 Filling = tuple[tuple[int, ...], int]
@@ -214,7 +214,7 @@ def _cut_pieces(path: str, capacity: int, end_id: int):
         encode, part, row0 = encoder(path), TaskContext.get().partitionId(), 0
         seen = np.zeros(capacity + 1, np.int64)  # pieces of each length that this task has met
         for batch in batches:
-            for some in A.slices(batch, "text"):
+            for some in A.slices(batch, "text", STEP_BYTES):
                 flat, first = with_end(*encode.ids(A.texts_of(some.column("text"))), end_id)
                 size = np.diff(first)
                 number = -(-size // capacity)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
 from clickloom.llm.shared import _shuffles_go_after_use, buckets_for
-from clickloom.llm.tokens import bits_for, encoder
+from clickloom.llm.tokens import STEP_BYTES, bits_for, encoder
 
 #: Ids after which a block is closed; a document is never cut.
 BLOCK_IDS = 1 << 16
@@ -93,7 +93,7 @@ def _write_blocks(path: str, end_id: int):
             )
 
         for batch in batches:
-            for piece in A.slices(batch, "text"):
+            for piece in A.slices(batch, "text", STEP_BYTES):
                 flat, first = with_end(*encode.ids(A.texts_of(piece.column("text"))), end_id)
                 for i, doc in enumerate(piece.column("doc_id").to_pylist()):
                     docs.append(doc)

@@ -8,7 +8,6 @@ special token's string) go to the library whole, and so does everything for othe
 
 from __future__ import annotations
 
-import json
 from functools import lru_cache
 from itertools import repeat
 
@@ -17,8 +16,10 @@ import numpy as np
 from clickloom.llm import arrays as A
 
 #: Pieces whose ids a worker keeps; all are dropped when there are more.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 _JOINED = 2_000
+#: Bytes of text in one step, which bounds a worker's memory.
+STEP_BYTES = 2 << 20
 _LETTER = A.byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _SPACE = A.byte_class((0x09, 0x0D), (0x1C, 0x20))
 # UTF-8 bytes that are no part of ASCII or of U+00C0 to U+024F.
@@ -37,17 +38,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        spec = json.loads(self.tokenizer.to_str())
-        before = spec.get("pre_tokenizer") or {}
+        model, before = self.tokenizer.model, str(self.tokenizer.pre_tokenizer)
         self.line_break = self.tokenizer.token_to_id("Ċ")
-        special = [t["content"] for t in spec.get("added_tokens", [])]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_pieces = (
-            spec.get("normalizer") is None
-            and before.get("type") == "ByteLevel"
-            and before.get("use_regex", True)
-            and not before.get("add_prefix_space")
-            and spec["model"].get("type") == "BPE"
-            and not spec["model"].get("dropout")
+            self.tokenizer.normalizer is None
+            and before.startswith("ByteLevel(")
+            and "add_prefix_space=False" in before
+            and "use_regex=True" in before
+            and type(model).__name__ == "BPE"
+            and not model.dropout
             and self.line_break is not None
             and all(s.startswith("<|") for s in special)
         )
