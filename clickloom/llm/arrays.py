@@ -76,6 +76,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         total += size
     if len(sizes) > start:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # a worker lives on for other stages
 
 
 @dataclass

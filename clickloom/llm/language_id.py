@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Scored words that a worker keeps; all are dropped when there are more.
 KEPT_WORDS = 100_000
+#: Bytes of text in one step, which bounds a worker's memory.
+STEP_BYTES = 1 << 20
 
 
 def words_in(text: str) -> list[str]:
@@ -180,14 +183,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     from pyspark.sql.pandas.types import to_arrow_schema
 
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_ngrams
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index(text_col)
     out = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in A.slices(batch, "text"):
+            # The text is in the row; it is not sent twice.
+            text = pc.struct_field(batch.column("row"), [at]).cast(pa.string())
+            batch = pa.RecordBatch.from_arrays([batch.column("row"), text], names=["row", "text"])
+            for part in A.slices(batch, "text", STEP_BYTES):
                 languages, scores = model.predict(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], schema=schema)
 

@@ -43,6 +43,8 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_pieces = (
             self.tokenizer.normalizer is None
+            and self.tokenizer.truncation is None
+            and self.tokenizer.padding is None
             and before.startswith("ByteLevel(")
             and "add_prefix_space=False" in before
             and "use_regex=True" in before
