@@ -111,6 +111,28 @@ def test_forest_finds_what_is_unusual():
     assert one == scores[0]
 
 
+def test_given_labels_held_out(spark, sf_dir):
+    """Learned on half of the labels, most of the bad rows of the other half that pass the base rules go, and few good ones."""
+    docs, labels = load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "labels")
+    half = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    forest = quality.fit(docs, labels.filter(half))
+    told = quality.judge(docs, forest).select("row.doc_id", "base_failed", "kept").join(labels.filter(~half), "doc_id").toPandas()
+    told = told[~told.base_failed]
+    bad, good = told[told.quality == 0], told[told.quality == 1]
+    assert len(bad) and (~bad.kept.astype(bool)).mean() >= 0.9
+    assert (~good.kept.astype(bool)).mean() <= 0.05
+
+
+def test_forest_of_good_rows():
+    """Bad rows in a cluster as large as the good, apart by a feature that all good rows share."""
+    random = np.random.default_rng(0)
+    good, bad = random.normal(0, 1, (1000, 8)), random.normal(0, 1, (1000, 8))
+    good[:, 1], bad[:, 1] = 0.0, 0.5
+    forest = quality.Forest.of_good(good[:500])
+    threshold = np.quantile(forest.score(good[500:]), 0.98)
+    assert (forest.score(bad) > threshold).mean() >= 0.95
+
+
 def test_calibration():
     assert quality.calibrate(np.array([]), np.array([], bool)) == 1.0
     assert quality.calibrate(np.array([0.4, 0.6]), np.array([True, True])) == 1.0
