@@ -9,8 +9,10 @@ among the pieces of their length, which Spark counts.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,95 +54,119 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Filling]:
     return [(tuple(lengths), number) for bins in open_bins.values() for lengths, number in bins]
 
 
-def completions(counts: np.ndarray, room: int, branch: int, depth: int = 4) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` from the histogram, the least waste first, then the fewest pieces.
+def fewest_possible(counts: np.ndarray) -> int:
+    """A number of sequences that no packing of the histogram gets below.
 
-    A filling is dominated if something still fits, or if one of its lengths can be exchanged for a
-    larger one that is there: the other sequence could only win by taking the smaller one instead.
+    Pieces over half the capacity need a sequence each, and what these leave only takes so many tokens of
+    the smaller ones. The smallest pieces up to each length are left out in turn, as are the sequences of
+    pieces that no other one fits beside (Martello and Toth).
     """
-    have = np.flatnonzero(counts[: room + 1])
-    have = have[have > 0]
-    if not len(have):
-        return [()]
-    largest = np.zeros(room + 1, np.int64)  # the largest length there is up to each size
-    largest[have] = have
-    largest = np.maximum.accumulate(largest)
-    found: dict[tuple[int, ...], int] = {}
-
-    def free(lengths: np.ndarray, taken: tuple[int, ...]) -> np.ndarray:
-        return counts[lengths] - sum(((lengths == x).astype(np.int64) for x in taken), np.zeros(len(lengths), np.int64))
-
-    def last_two(taken: tuple[int, ...], left: int) -> None:
-        first = have[have <= min(taken[-1] if taken else left, left)]
-        first = first[free(first, taken) > 0]
-        second = largest[np.minimum(left - first, first)]
-        spare = free(second, taken) - (second == first)
-        waste = left - first - np.where(spare > 0, second, 0)
-        few = np.argpartition(waste, 2 * branch)[: 2 * branch] if len(waste) > 2 * branch else range(len(waste))
-        for i in few:
-            pair = (int(first[i]), int(second[i])) if spare[i] > 0 and second[i] > 0 else (int(first[i]),)
-            found[(*taken, *pair)] = int(waste[i])
-
-    def search(taken: tuple[int, ...], left: int, more: int) -> None:
-        last_two(taken, left)
-        if more <= 0 or min(found.values(), default=1) == 0:
+    capacity = len(counts) - 1
+    half = capacity // 2
+    number, tokens = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 1))
+    k = np.arange(1, half + 1)  # the smallest length that counts
+    big = int(number[-1] - number[half])
+    inside = big - (number[-1] - number[capacity - k])  # over half, and with room for a piece of k
+    room = inside * capacity - (tokens[capacity - k] - tokens[half])
+    over = tokens[half] - tokens[k - 1] - room
+    return max(big + int(np.maximum(-(-over // capacity), 0).max(initial=0)), -(-int(tokens[-1]) // capacity))
+
+
+def completions(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated ways to fill ``room`` from the histogram: the least waste first, then the largest pieces.
+
+    Which sums the smaller lengths reach is kept as one bit a sum after each length, so any number of
+    pieces of any length is found without trying those that lead nowhere. A filling is dominated if
+    something still fits, or if one of its lengths can be exchanged for a larger one that is there: the
+    other sequence could only win by taking the smaller one instead. For such a one None is given, so that
+    the caller can count it; the first filling is never one.
+    """
+    have = (np.flatnonzero(counts[1 : room + 1]) + 1).tolist()
+    number = [int(counts[x]) for x in have]
+    every = (1 << room + 1) - 1
+    below = [1]  # the sums that the lengths before each one reach
+    for x, n in zip(have, number, strict=True):
+        sums, n, step = below[-1], min(n, room // x), 1
+        while n and sums != every:
+            use = min(step, n)
+            sums |= sums << use * x & every
+            n, step = n - use, 2 * step
+        below.append(sums)
+
+    def fill(first: int, rest: int) -> Iterator[tuple[int, ...]]:
+        if not rest:
+            yield ()
             return
-        tops = have[have <= min(taken[-1] if taken else left, left)][::-1]
-        for x in tops[:12].tolist():
-            if counts[x] > taken.count(x):
-                search((*taken, x), left - x, more - 1)
-                if min(found.values(), default=1) == 0:
-                    return
-
-    search((), room, depth - 2)
+        for k in range(min(first, bisect_right(have, rest)) - 1, -1, -1):
+            if not below[k + 1] >> rest & 1:
+                return
+            x = have[k]
+            for n in range(min(number[k], rest // x), 0, -1):
+                if below[k] >> rest - n * x & 1:
+                    for more in fill(k, rest - n * x):
+                        yield (*(x,) * n, *more)
 
     def dominated(lengths: tuple[int, ...], waste: int) -> bool:
+        if not waste:
+            return False
         spare = counts.copy()
-        for x in lengths:
-            spare[x] -= 1
-        if waste and (spare[1 : waste + 1] > 0).any():
-            return True
-        return any((spare[x + 1 : x + waste + 1] > 0).any() for x in lengths)
+        np.subtract.at(spare, list(lengths), 1)
+        return bool((spare[1 : waste + 1] > 0).any()) or any((spare[x + 1 : x + waste + 1] > 0).any() for x in set(lengths))
 
-    good = [f for f in found if not dominated(f, found[f])] or list(found)
-    return sorted(good, key=lambda f: (found[f], len(f), tuple(-x for x in f)))[:branch]
+    for total in range(room, -1, -1):
+        if below[-1] >> total & 1:
+            for lengths in fill(len(have), total):
+                yield None if dominated(lengths, room - total) else lengths
 
 
-def pack_lengths(counts: dict[int, int], capacity: int, branch: int = 4, nodes: int = 1_500) -> list[Filling]:
+def pack_lengths(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[Filling]:
     """Fillings that use every length as often as it is there, in as few sequences as the search finds.
 
     Bin completion: the largest length left is completed by undominated fillings, the best first, and
-    a filling is used as often as the histogram allows. A branch is cut when its sequences and the
-    tokens left over the capacity reach the best packing so far, which starts as best-fit decreasing.
-    The search ends when that packing meets the bound on tokens, or after ``nodes`` fillings.
+    a filling is used as often as the histogram allows first, then half as often, down to once. A branch
+    is cut when its sequences and the bound on what is left reach the best packing so far, which starts
+    as best-fit decreasing. The search ends when that packing meets the bound, when all
+    has been tried, or after ``nodes`` fillings. A complete packing takes no more of these than there are
+    lengths if each is used as often as it can be, so unless ``nodes`` is given there are four times as
+    many as lengths, and 1,500 at least. Dominated fillings count too.
     """
     counts = {int(s): int(n) for s, n in counts.items() if n > 0}
     if any(s < 1 or s > capacity for s in counts):
         raise ValueError("lengths must be between 1 and the capacity")
+    nodes = max(1_500, 4 * len(counts)) if nodes is None else nodes
     best = best_fit(counts, capacity)
     n_best = sum(n for _, n in best)
     left = np.zeros(capacity + 1, np.int64)
     for s, n in counts.items():
         left[s] = n
-    sizes = np.arange(capacity + 1)
-
-    def bound(rest: np.ndarray) -> int:
-        return max(-(-int(rest @ sizes) // capacity), int(rest[capacity // 2 + 1 :].sum()))
-
-    least = bound(left)
+    least = fewest_possible(left)
     taken: list[Filling] = []
     # A level holds the fillings still to try; taking one opens the next level.
     levels: list[Iterator[Filling]] = []
 
     def options() -> Iterator[Filling]:
         top = int(np.flatnonzero(left)[-1])
-        left[top] -= 1
-        fills = completions(left, capacity - top, branch)
-        left[top] += 1
-        for fill in fills:
+
+        def fills() -> Iterator[tuple[int, ...] | None]:
+            rest = left.copy()
+            rest[top] -= 1
+            return completions(rest, capacity - top)
+
+        def uses(fill: tuple[int, ...] | None) -> Iterator[Filling]:
+            if fill is None:
+                yield (), 0
+                return
             lengths = (top, *fill)
             use, each = np.unique(lengths, return_counts=True)
-            yield lengths, int((left[use] // each).min())
+            times = int((left[use] // each).min())
+            while times:
+                yield lengths, times
+                times //= 2
+
+        # Most levels are asked once. The sums are made again for the others, not held in every level.
+        yield from uses(next(fills()))
+        for fill in islice(fills(), 1, None):
+            yield from uses(fill)
 
     n_taken = 0
     levels.append(options() if left.any() else iter(()))
@@ -155,8 +181,10 @@ def pack_lengths(counts: dict[int, int], capacity: int, branch: int = 4, nodes:
             continue
         nodes -= 1
         lengths, times = filling
+        if not times:
+            continue
         np.subtract.at(left, list(lengths), times)
-        if n_taken + times + bound(left) >= n_best:
+        if n_taken + times + fewest_possible(left) >= n_best:
             np.add.at(left, list(lengths), times)
             continue
         taken.append(filling)

@@ -169,6 +169,30 @@ def test_search_beats_best_fit():
     assert few == 3 <= fit
 
 
+def test_search_over_all_lengths():
+    """Best-fit misses the bound on 2,048 lengths; the search has the budget for whole packings and meets it."""
+    u, n = np.unique(np.clip(np.random.default_rng(0).lognormal(5.5, 1, 100_000).astype(int), 1, 2048), return_counts=True)
+    counts = {**dict.fromkeys(range(1, 2049), 1), **dict(zip(u.tolist(), (n * 20).tolist(), strict=True))}
+    fillings = P.pack_lengths(counts, 2048)
+    assert used(fillings) == Counter(counts) and all(sum(lengths) <= 2048 for lengths, _ in fillings)
+    bound = P.fewest_possible(np.array([counts.get(s, 0) for s in range(2049)]))
+    assert sum(n for _, n in P.best_fit(counts, 2048)) > bound == sum(n for _, n in fillings)
+
+
+def test_completions_of_many_small_pieces():
+    """More than four pieces, none of them among the twelve largest."""
+    counts = np.zeros(2049, np.int64)
+    counts[1500:1520], counts[101] = 1, 20
+    assert next(P.completions(counts, 1010)) == (101,) * 10
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
+def test_no_packing_gets_below_the_bound(lengths):
+    counts = np.bincount(lengths, minlength=21)
+    assert P.fewest_possible(counts) <= fewest(lengths, 20)
+
+
 def test_places():
     counts = Counter(random.Random(1).choices(range(1, 30), k=400))
     places = P.Places.of(P.pack_lengths(counts, 30))
