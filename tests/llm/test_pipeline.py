@@ -53,6 +53,18 @@ def test_stages(spark, sf_dir):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted((p["doc_id"], p["piece"], p["length"], p["ids_crc32"]) for p in pieces)
 
 
+def test_other_languages_go(spark, sf_dir):
+    """Texts of other languages and scripts go, short or long; labelled ones stay, also if all are of one language."""
+    other = ["Съешь ещё этих мягких французских булок да выпей чаю", "快速的棕色狐狸跳过懒狗", "слово", "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka przez las"]
+    other += [f"{t} " * 40 for t in other]
+    for langs in ("lang IN ('en', 'de', 'fr', 'es')", "lang = 'en'"):
+        given = load(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(langs)
+        rows = [(-1 - i, t, None) for i, t in enumerate(other)]
+        docs = given.unionByName(spark.createDataFrame(rows, given.schema))
+        left = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, sf_dir).select("doc_id").collect()]
+        assert min(left) >= 0 and len(left) >= 0.98 * given.count()
+
+
 def test_no_documents(spark, nothing):
     docs = nothing.selectExpr("doc_id", "text", "lang", "part AS source", "doc_id AS n_chars")
     for stage in (corpus_pipeline.known_language, corpus_pipeline.one_of_near_copies, corpus_pipeline.without_repeated_strings, corpus_pipeline.packed):
