@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat, language_id, quality
+from clickloom.llm import chat, fim, importance, language_id, neighbours, quality
 from clickloom.llm.decontamination import find_contamination
 from clickloom.llm.jaccard import similar_groups
 from clickloom.llm.packing import pack_documents
-from clickloom.llm.shared import shared_folder
+from clickloom.llm.shared import shared_folder, staged
 from clickloom.llm.sharding import read_shards, write_shards
 from clickloom.llm.substring_dedup import remove_repeated_words
 from clickloom.llm.suffix_dedup import remove_repeated_bytes
@@ -102,6 +102,23 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(load(spark, sf, "documents").select("doc_id", "text"), byte_bpe(), capacity=2048, end_id=0)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    store = staged(fim.to_frames(load(spark, sf, "documents").select("doc_id", "text")))
+    told = fim.digests(fim.fill_in_middle(store, seed=1, transformed_percent=90, spm_percent=20))
+    return told.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    docs, target = load(spark, sf, "documents").select("doc_id", "text"), load(spark, sf, "benchmark").select("item_id", "text")
+    told = importance.resample(docs, target, percent=25, least_words=20, buckets=10_000, longest=2, seed=7)
+    return told.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    index = neighbours.build(load(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return neighbours.search(index, F.col("id") % 50 == 0, k=5)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +132,9 @@ QUERIES = {
         op8_sharding,
         op9_token_files,
         op10_best_fit_packing,
+        op11_fill_in_middle,
+        op12_importance_resampling,
+        op13_nearest_neighbours,
     )
 }
 #: Words between blanks, as a list; a null text has none.
@@ -179,4 +199,48 @@ ORACLES: dict[str, str] = {
         reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.other)
         SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
         FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)""",
+    "op11_fill_in_middle": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS x FROM documents),
+        h AS (SELECT *, ('0x' || substr(x, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(x, 9, 8))::BIGINT % (n + 1) AS b,
+                     ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+        f AS (SELECT doc_id, text, n, least(a, b) AS i, greatest(a, b) AS j,
+                     CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+        parts AS (SELECT *, substr(text, 1, i) AS p, substr(text, i + 1, j - i) AS m, substr(text, j + 1) AS s FROM f)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN i::BIGINT END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN (j - i)::BIGINT END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                      ELSE text END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
+    "op12_importance_resampling": f"""
+        WITH codes AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+                              ORDER BY i) AS t FROM range(256) r(i)),
+        w AS (SELECT doc_id AS id, false AS target, {_ALNUM} AS w FROM documents UNION ALL SELECT item_id, true, {_ALNUM} FROM benchmark),
+        f AS (SELECT id, target, unnest(w) AS f FROM w
+              UNION ALL SELECT id, target, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w),
+        counted AS MATERIALIZED (SELECT id, target, f, count(*) AS n FROM f GROUP BY ALL),
+        spelt AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM counted)),
+        hashed AS MATERIALIZED (
+            SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                                                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket
+            FROM spelt, codes),
+        sums AS (SELECT bucket, coalesce(sum(n) FILTER (NOT target), 0) AS s, coalesce(sum(n) FILTER (target), 0) AS t FROM counted JOIN hashed USING (f) GROUP BY bucket),
+        gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums)::DOUBLE + 10000) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums)::DOUBLE + 10000))))::BIGINT AS gain FROM sums),
+        weights AS (SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::BIGINT / sum(n)::BIGINT)::BIGINT AS weight
+                    FROM counted JOIN hashed USING (f) JOIN gains USING (bucket) WHERE NOT target GROUP BY id),
+        scored AS (SELECT id AS doc_id, len(w) >= 20 AS takes_part, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                          coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+                   FROM w LEFT JOIN weights USING (id) WHERE NOT target),
+        ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE takes_part)
+        SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op13_nearest_neighbours": """
+        WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        u AS (SELECT vec_id, e, sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(e, lambda x: x * x)), lambda a, b: a + b)) AS norm FROM v
+              WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id,
+                         list_reduce(list_prepend(0::DOUBLE, list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), lambda a, b: a + b) / q.norm / c.norm AS score
+                  FROM u q JOIN u c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 AND q.norm > 0 AND c.norm > 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+        SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5""",
 }
