@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that the numpy steps take at a time; a longer text is taken alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _PAD = 16
 
 U = np.uint64
@@ -33,6 +35,21 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+@lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another libc
+        return None
+
+
+def trim() -> None:
+    """Give memory that is free back to the system; a worker lives on for other stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc(), "malloc_trim"):
+        _libc().malloc_trim(0)
+
+
 @dataclass
 class Texts:
     """Texts as one array of bytes; text ``i`` is ``data[offsets[i]:offsets[i + 1]]``. Null is empty."""
@@ -76,7 +93,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         total += size
     if len(sizes) > start:
         yield batch.slice(start)
-    pa.default_memory_pool().release_unused()  # a worker lives on for other stages
+    trim()
 
 
 @dataclass

@@ -3,18 +3,37 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.arrays import trim
 from clickloom.session import checkpointed
 
+_T = TypeVar("_T")
 #: Bytes of text that one bucket of an exchange is meant to hold.
 BUCKET_BYTES = 64 << 20
 
+#: Rows of a batch that goes to a Python worker: texts may be long, and a batch is held on both sides.
+BATCH_ROWS = 2_000
+
 _made: list[str] = []
+_resident: list[tuple[Any, Any]] = []
+
+
+def resident(key: Hashable, make: Callable[[], _T]) -> _T:
+    """What ``make`` returns, kept in a worker process until it asks for something else.
+
+    A worker serves one operator after the other; what an earlier one has kept would add up.
+    """
+    if not _resident or _resident[0][0] != key:
+        _resident.clear()
+        trim()
+        _resident.append((key, make()))
+    return _resident[0][1]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,28 +51,45 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables that operators have written between their steps; results that read them end too."""
+def tables_made() -> int:
+    """How many tables have been written between steps so far, for ``release``."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Remove the tables between steps made after the first ``since``, all but the last ``but`` of them.
+
+    Results that read them and are not written yet end too.
+    """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    while _made:
-        path = hadoop.Path(_made.pop())
+    gone = _made[since : len(_made) - but]
+    del _made[since : len(_made) - but]
+    for name in gone:
+        path = hadoop.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
-def _shuffles_go_after_use(spark: SparkSession) -> Iterator[None]:
-    """While this holds, the shuffle files of a write are removed once it is over."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    try:
-        spark.conf.set(name, "true")
-    except Exception:  # a Spark that lacks the setting keeps the files until its driver collects garbage
-        yield
-        return
+def _with(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """While this holds, the session has the ``settings`` that it knows."""
+    before = {}
+    for name, value in settings.items():
+        was = spark.conf.get(name, None)
+        try:
+            spark.conf.set(name, value)
+        except Exception:  # a Spark that lacks the setting
+            continue
+        before[name] = was
     try:
         yield
     finally:
-        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+        for name, was in before.items():
+            spark.conf.set(name, was) if was is not None else spark.conf.unset(name)
+
+
+def written_in_steps(spark: SparkSession):
+    """For the time of a write: its shuffle files are removed once it is over, and batches for Python are small."""
+    return _with(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
 
 
 def staged(df: DataFrame, *partition_by: str) -> DataFrame:
@@ -64,7 +100,7 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark)
-    with _shuffles_go_after_use(spark):
+    with written_in_steps(spark):
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     read = spark.read.schema(df.schema) if not partition_by else spark.read.schema(_moved_last(df, partition_by))

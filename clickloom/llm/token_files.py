@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
-from clickloom.llm.shared import _shuffles_go_after_use, buckets_for
+from clickloom.llm.shared import written_in_steps, buckets_for
 from clickloom.llm.tokens import STEP_BYTES, bits_for, encoder
 
 #: Ids after which a block is closed; a document is never cut.
@@ -127,7 +127,7 @@ def write_token_files(
         .repartitionByRange(parts, F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "text")
     )
-    with _shuffles_go_after_use(spark):
+    with written_in_steps(spark):
         ordered.mapInArrow(_write_blocks(tokenizer, end_id), BLOCKS).write.option("compression", "zstd").parquet(folder)
 
 

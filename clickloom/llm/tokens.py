@@ -8,16 +8,16 @@ special token's string) go to the library whole, and so does everything for othe
 
 from __future__ import annotations
 
-from functools import lru_cache
-from itertools import repeat
+import os
 
 import numpy as np
 
 from clickloom.llm import arrays as A
+from clickloom.llm.shared import resident
 
-#: Pieces whose ids a worker keeps; all are dropped when there are more.
-KEPT_PIECES = 150_000
-_JOINED = 2_000
+#: Pieces of one generation; a worker keeps the ids of two.
+KEPT_PIECES = 400_000
+_JOINED = 200
 #: Bytes of text in one step, which bounds a worker's memory.
 STEP_BYTES = 2 << 20
 _LETTER = A.byte_class((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -26,6 +26,54 @@ _SPACE = A.byte_class((0x09, 0x0D), (0x1C, 0x20))
 _FOREIGN = A.byte_class((0xC0, 0xC2), (0xCA, 0xFF))
 
 
+class Pieces:
+    """Ids of pieces by 96 bits of hashes of their bytes, in a table of numpy arrays with open addressing."""
+
+    def __init__(self, most: int) -> None:
+        slots = 1 << (2 * most - 1).bit_length()
+        self.most, self.count, self.mask = most, 0, np.int64(slots - 1)
+        self.key, self.check = np.zeros(slots, np.uint64), np.zeros(slots, np.uint32)
+        self.start, self.size = np.zeros(slots, np.int32), np.full(slots, -1, np.int32)  # size -1: free
+        self.values, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The slot of each piece, -1 for those not there."""
+        out = np.full(len(key), -1, np.int64)
+        left, at = np.arange(len(key)), key.view(np.int64) & self.mask
+        while len(left):
+            here = self.size[at] >= 0
+            same = here & (self.key[at] == key[left]) & (self.check[at] == check[left])
+            out[left[same]] = at[same]
+            on = here & ~same
+            left, at = left[on], (at[on] + 1) & self.mask
+        return out
+
+    def add(self, key: np.ndarray, check: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        """Different pieces that are not there yet; ``values`` holds the ids of one after the other."""
+        while self.used + len(values) > len(self.values):
+            self.values = np.concatenate((self.values, np.zeros_like(self.values)))
+        self.values[self.used : self.used + len(values)] = values
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(values)
+        self.count += len(key)
+        left, at = np.arange(len(key)), key.view(np.int64) & self.mask
+        while len(left):
+            free = np.flatnonzero(self.size[at] < 0)
+            to, first = np.unique(at[free], return_index=True)  # one piece for each free slot
+            who = left[free[first]]
+            self.key[to], self.check[to], self.start[to], self.size[to] = key[who], check[who], starts[who], sizes[who]
+            rest = np.ones(len(left), bool)
+            rest[free[first]] = False
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    def take(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and the ids one after the other."""
+        size = self.size[slots].astype(np.int64)
+        until = np.cumsum(size)
+        total = int(until[-1]) if len(until) else 0
+        return size, self.values[np.arange(total) + np.repeat(self.start[slots] - (until - size), size)]
+
+
 def bits_for(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
@@ -34,6 +82,8 @@ class Encoder:
     """``ids(texts)``: the ids of all texts in one array, and where each text's ids start."""
 
     def __init__(self, path: str) -> None:
+        # A task has one core; threads of the library's own would only wait for work.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,7 +103,7 @@ class Encoder:
             and self.line_break is not None
             and all(s.startswith("<|") for s in special)
         )
-        self._forget()
+        self.young, self.old = Pieces(KEPT_PIECES), Pieces(1)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -106,64 +156,62 @@ class Encoder:
         start, end = at[:-1], at[1:]
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        keys, one, which = np.unique(A.hash_spans(texts.data, start, end), return_index=True, return_inverse=True)
-        eights = np.ndarray((len(texts.data) - 7,), "<u8", texts.data, strides=(1,))
-        # Pieces of equal hash are equal as far as 16 bytes and the length tell; else the library does it all.
-        same = (end - start) == (end - start)[one][which]
-        for skip in (0, 8):
-            left = np.clip(end - start - skip, 0, 8)
-            word = eights[np.minimum(start + skip, len(eights) - 1)] & A._KEEP[left]
-            same &= word == word[one][which]
-        if not same.all():
-            return None
-        raw = texts.data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
-        blank = np.concatenate(([0], np.cumsum(_SPACE[texts.data[: int(texts.offsets[-1])]])))
-        opens = texts.data[start[one]]
-        plain = (blank[end[one]] == blank[start[one] + 1]) & (~_SPACE[opens] | ((opens == 0x20) & (end[one] > start[one] + 1)))
-        slot = self._slots(pieces, plain)
-        size = self.sizes[slot][which]
+        key, check = A.hash_spans(texts.data, start, end), (A.hash_spans(texts.data, start, end, 1) >> A.U(32)).astype(np.uint32)
+        slot = self.young.find(key, check)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            one = new[np.unique(key[new], return_index=True)[1]]
+            if self.young.count + len(one) > KEPT_PIECES:
+                self.young, self.old = Pieces(max(KEPT_PIECES, len(key))), self.young
+                new = np.arange(len(key))
+                one = np.unique(key, return_index=True)[1]
+            known = self.old.find(key[one], check[one])
+            again = known >= 0
+            self.young.add(key[one[again]], check[one[again]], *self.old.take(known[again]))
+            one = one[~again]
+            found = self._encoded(texts, start[one], end[one])
+            if found is None:
+                return None
+            self.young.add(key[one], check[one], *found)
+            slot[new] = self.young.find(key[new], check[new])
+            if slot.min() < 0:  # two pieces of one hash
+                return None
+        size, flat = self.young.take(slot)
         until = np.concatenate(([0], np.cumsum(size)))
-        flat = self.values[np.arange(until[-1]) + np.repeat(self.starts[slot][which] - until[:-1], size)]
         return flat, until[np.searchsorted(at, texts.offsets)]
 
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.values, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _slots(self, pieces: list[bytes], plain: np.ndarray) -> np.ndarray:
-        """Where in ``values`` the ids of each piece are. ``plain``: without blanks but for a space in front."""
-        if len(self.known) > KEPT_PIECES:
-            self._forget()
-        slot = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = slot < 0
+    def _encoded(self, texts: A.Texts, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """How many ids each piece has, and the ids; None if the library does not keep pieces apart at line breaks."""
+        raw = texts.data.tobytes()
+        pieces = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        blank = np.concatenate(([0], np.cumsum(_SPACE[texts.data[: int(texts.offsets[-1])]])))
+        opens = texts.data[start]
+        # Without blanks but for a space in front; a line break between two of these is a token of its own.
+        plain = (blank[end] == blank[start + 1]) & (~_SPACE[opens] | ((opens == 0x20) & (end > start + 1)))
         values, sizes, order = [], [], []
-        joined = np.flatnonzero(new & plain)
+        joined = np.flatnonzero(plain)
         groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)]
-        # A line break between two pieces is a token of its own.
         for group, ids in zip(groups, self.whole([b"\n".join([pieces[i] for i in g]).decode() for g in groups]), strict=True):
             edge = np.concatenate(([-1], np.flatnonzero(ids == self.line_break), [len(ids)]))
             if len(edge) != len(group) + 1:
-                raise ValueError("a line break was joined with what stands beside it")
+                return None
             values.append(ids[ids != self.line_break])
             sizes.append(np.diff(edge) - 1)
             order.append(group)
-        single = np.flatnonzero(new & ~plain)
-        for i, ids in zip(single, self.whole([pieces[i].decode() for i in single]), strict=True):
-            values.append(ids)
-            sizes.append([len(ids)])
-            order.append([i])
-        if order:
-            added, who = np.concatenate(sizes), np.concatenate(order)
-            slot[who] = len(self.sizes) + np.arange(len(who))
-            self.starts = np.concatenate((self.starts, len(self.values) + np.cumsum(added) - added))
-            self.values = np.concatenate((self.values, *values))
-            self.sizes = np.concatenate((self.sizes, added))
-            self.known.update(zip([pieces[i] for i in who], slot[who].tolist(), strict=True))
-        return slot
-
-
-@lru_cache(maxsize=2)
+        single = np.flatnonzero(~plain)
+        ids = self.whole([pieces[i].decode() for i in single])
+        counts = np.array([len(x) for x in ids], np.int64)
+        sizes, who = np.concatenate([*sizes, counts]), np.concatenate([*order, single]).astype(np.int64)
+        flat = np.concatenate([*values, *ids, np.zeros(0, np.uint32)])
+        # Back into the order of the pieces.
+        first = np.cumsum(sizes) - sizes
+        back = np.argsort(who, kind="stable")
+        size = sizes[back].astype(np.int64)
+        until = np.cumsum(size)
+        total = int(until[-1]) if len(until) else 0
+        return size, flat[np.arange(total) + np.repeat(first[back] - (until - size), size)]
+
+
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and tokenizer file; the file must be at ``path`` on every machine."""
-    return Encoder(path)
+    """The encoder of a worker process; the tokenizer's file must be at ``path`` on every machine."""
+    return resident(("encoder", path), lambda: Encoder(path))
