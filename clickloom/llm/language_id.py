@@ -7,30 +7,38 @@ word is no n-gram by itself, as every word has it.
 The likelihoods only tell the known languages from each other. Whether a text is in one of them at all is
 told by its evidence: the share of its letters in known words, or in words as far as their n-grams of three
 characters are known.
+
+A task scores the words of many texts at once, as arrays of code points and of 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+import sys
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
+from clickloom.llm.shared import staged
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-#: Scored words that a worker keeps; all are dropped when there are more.
-KEPT_WORDS = 100_000
+#: Letters of the longest words that are known as such; longer ones count by their n-grams.
+WORD_LETTERS = 64
 #: Bytes of text in one step, which bounds a worker's memory.
 STEP_BYTES = 1 << 20
+#: Tasks that count the words of the sample.
+_COUNTING = 32
+_EDGES = (ord("^"), ord("$"))
 
 
 def words_in(text: str) -> list[str]:
@@ -38,13 +46,55 @@ def words_in(text: str) -> list[str]:
 
 
 def ngrams(word: str, n: int) -> list[str]:
+    """The n-grams of a word with its edges marked; those of one character without."""
+    if n == 1:
+        return list(word)
     padded = f"^{word}$"
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point whether words are made of it."""
+    table = np.zeros(sys.maxunicode + 1, bool)
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    for found in _WORD.finditer(every):
+        table[[ord(c) for c in found.group()]] = True
+    return table
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span of code points."""
+    data = np.concatenate((codes, np.zeros(8, "<u4"))).view(np.uint8)
+    return A.hash_spans(data, 4 * start, 4 * end)
+
+
+def _gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` consecutive code points, by the first."""
+    return A.mix(A.rolling(A.mix(codes.astype(np.uint64) + A.U(1)), n) + A.U(n))
+
+
+def _sorted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(hashes)
+    return hashes[order], order
+
+
+def _find(known: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """The row of each hash, -1 if there is none."""
+    keys, rows = known
+    if not len(keys):
+        return np.full(len(hashes), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    return np.where(keys[at] == hashes, rows[at], -1)
+
+
 @dataclass
 class Model:
-    """Log frequencies by language, of words and, for each length, of n-grams."""
+    """Log frequencies by language, of words and, for each length, of n-grams; both are found by their hashes."""
 
     languages: list[str]
     prior: np.ndarray
@@ -53,86 +103,114 @@ class Model:
     grams: dict[str, int]  # of all lengths, the key's length tells
     gram_scores: np.ndarray
     longest: int
-    memo: dict[str, int] = field(default_factory=dict)
-    rows: np.ndarray | None = None
 
     @classmethod
-    def of(cls, counts: dict[str, dict[str, int]], docs: dict[str, int], longest: int, max_ngrams: int) -> Model:
-        """``counts``: by word and language; ``docs``: documents by language."""
+    def of(cls, words: dict[str, dict[str, int]], grams: dict[str, dict[str, int]], docs: dict[str, int], longest: int) -> Model:
+        """``words`` and ``grams``: counts by language; ``docs``: labelled documents of each language."""
         languages = sorted(docs)
         column = {lang: i for i, lang in enumerate(languages)}
-        words = sorted(counts)
-        table = np.zeros((len(words), len(languages)))
-        for i, w in enumerate(words):
-            for lang, n in counts[w].items():
-                table[i, column[lang]] = n
-        gram_counts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(languages)))
-        for w, row in zip(words, table, strict=True):
-            for n in range(1, longest + 1):
-                for g in ngrams(w, n) if n > 1 else w:
-                    gram_counts[g] += row
-        kept = sorted(gram_counts, key=lambda g: (-gram_counts[g].sum(), g))[:max_ngrams]
-        grams = np.array([gram_counts[g] for g in kept]).reshape(len(kept), len(languages))
-        scores = np.zeros_like(grams)
+
+        def table(counts: dict[str, dict[str, int]], names: list[str]) -> np.ndarray:
+            out = np.zeros((len(names), len(languages)))
+            for i, name in enumerate(names):
+                for lang, n in counts[name].items():
+                    out[i, column[lang]] = n
+            return out
+
+        kept_words, kept = sorted(words), sorted(grams)
+        gram_counts = table(grams, kept)
+        scores = np.zeros_like(gram_counts)
         for n in range(1, longest + 1):  # frequencies among n-grams of one length
             same = np.array([len(g) == n for g in kept], bool)
-            scores[same] = _log_frequency(grams[same])
+            scores[same] = _log_frequency(gram_counts[same])
         total = sum(docs.values())
         prior = np.array([math.log(docs[lang] / total) for lang in languages])
-        return cls(languages, prior, {w: i for i, w in enumerate(words)}, _log_frequency(table), {g: i for i, g in enumerate(kept)}, scores, longest)
-
-    def score(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return self.word_scores[known]
+        numbered = ({w: i for i, w in enumerate(names)} for names in (kept_words, kept))
+        return cls(languages, prior, next(numbered), _log_frequency(table(words, kept_words)), next(numbered), scores, longest)
+
+    def __post_init__(self) -> None:
+        names = list(self.words)
+        size = np.array([len(w) for w in names], np.int64)
+        end = np.cumsum(size)
+        self.known_words = _sorted(_hashes(_codes("".join(names)), end - size, end))
+        self.known_grams = {}
+        for n in range(1, self.longest + 1):
+            same = [g for g in self.grams if len(g) == n]
+            keys, order = _sorted(_gram_hashes(_codes("".join(same)), n)[::n])
+            self.known_grams[n] = keys, np.array([self.grams[g] for g in same], np.int64)[order]
+
+    def __getstate__(self) -> dict:
+        return {name: getattr(self, name) for name in self.__dataclass_fields__}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def _unseen(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray, evidence: bool) -> tuple[np.ndarray, np.ndarray]:
+        """For each of the words, which are not known, its scores and its letters with evidence."""
+        size = end - start
+        first = np.cumsum(size + 2) - size - 2  # of each word with its edges
+        padded = np.empty(int((size + 2).sum()), np.uint32)
+        of = np.repeat(np.arange(len(size)), size + 2)
+        inside = np.arange(len(padded)) - first[of] - 1
+        letter = (inside >= 0) & (inside < size[of])
+        padded[letter] = codes[start[of[letter]] + inside[letter]]
+        padded[inside < 0], padded[inside == size[of]] = _EDGES
+        scores, told = np.zeros((len(size), len(self.languages))), np.zeros(len(size))
+        left = np.ones(len(size), bool)
         for n in range(self.longest, 0, -1):
-            found = [i for i in map(self.grams.get, ngrams(word, n) if n > 1 else word) if i is not None]
-            if found:
-                return self.gram_scores[found].mean(0)
-        return np.zeros(len(self.languages))
-
-    def evidence(self, word: str) -> float:
-        """1 for a known word, else the share of its n-grams of three characters that are known."""
-        if word in self.words:
-            return 1.0
-        of_three = ngrams(word, min(3, self.longest))
-        return sum(g in self.grams for g in of_three) / max(len(of_three), 1)
-
-    def _rows_of(self, words: list[str]) -> np.ndarray:
-        """For each word its score in each language, its letters with evidence and its letters."""
-        if self.rows is None or len(self.memo) > KEPT_WORDS:
-            self.memo, self.rows = dict.fromkeys(()), np.zeros((0, len(self.languages) + 2))
-        at = np.array([self.memo.get(w, -1) for w in words], np.int64)
-        new = list(dict.fromkeys(words[i] for i in np.flatnonzero(at < 0)))
-        if new:
-            self.memo.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-            self.rows = np.concatenate((self.rows, np.array([[*self.score(w), len(w) * self.evidence(w), len(w)] for w in new])))
-            for i in np.flatnonzero(at < 0):
-                at[i] = self.memo[words[i]]
-        return self.rows[at]
-
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
-        """The most likely language of each text, its share of the likelihood, and the evidence."""
-        if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-        languages, scores, evidence = [], [], []
-        found = [words_in(t) if t else [] for t in texts]
-        rows = self._rows_of([w for f in found for w in f])
-        at = 0
-        for f in found:
-            if not f:
-                languages.append(UNKNOWN)
-                scores.append(0.0)
-                evidence.append(0.0)
-                continue
-            sums = rows[at : at + len(f)].sum(0)
-            likelihood = self.prior + sums[:-2]
-            at += len(f)
-            best = int(likelihood.argmax())
-            languages.append(self.languages[best])
-            scores.append(round(float(1 / np.exp(likelihood - likelihood[best]).sum()), 6))
-            evidence.append(round(float(sums[-2] / sums[-1]), 6))
-        return languages, scores, evidence
+            key = _gram_hashes(padded, n)
+            place = inside[: len(key)]
+            # Within one word; n-grams of one character are letters.
+            whole = (place + n <= size[of[: len(key)]] + 1) & ((place >= 0) & letter[: len(key)] if n == 1 else True)
+            counted = evidence and n == min(3, self.longest)
+            if not counted:
+                if not left.any():
+                    break
+                whole &= left[of[: len(key)]]
+            which, row = of[: len(key)][whole], _find(self.known_grams[n], key[whole])
+            which, row = which[row >= 0], row[row >= 0]
+            found = np.bincount(which, minlength=len(size))
+            if counted:
+                every = size if n == 1 else np.maximum(size + 3 - n, 0)
+                told = size * found / np.maximum(every, 1)
+            use = left & (found > 0)
+            at = use[which]
+            for i in range(len(self.languages)):
+                mean = np.bincount(which[at], self.gram_scores[row[at], i], len(size))
+                scores[use, i] = mean[use] / found[use]
+            left &= ~use
+        return scores, told
+
+    def predict(self, texts: list[str | None], evidence: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The most likely language of each text, its share of the likelihood, and the evidence if asked for."""
+        none = np.zeros(len(texts))
+        if not self.languages or not texts:
+            return [UNKNOWN] * len(texts), none, none
+        lowered = [(t or "").lower() for t in texts]
+        codes = _codes("\n".join([*lowered, ""]))
+        inside = np.concatenate(([False], _letters()[codes], [False]))
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edge[::2], edge[1::2]
+        until = np.cumsum([len(t) + 1 for t in lowered])
+        text = np.searchsorted(until, start, "right")
+        letters = np.bincount(text, end - start, len(texts))
+        key = _hashes(codes, start, end)
+        row = _find(self.known_words, key)
+        new = np.flatnonzero(row < 0)
+        _, one, which = np.unique(key[new], return_index=True, return_inverse=True)
+        scores, told = self._unseen(codes, start[new[one]], end[new[one]], evidence)
+        row[new] = len(self.word_scores) + which
+        every = np.concatenate((self.word_scores, scores))
+        likelihood = self.prior + np.stack([np.bincount(text, every[row, i], len(texts)) for i in range(len(self.languages))], 1)
+        best = likelihood.argmax(1)
+        has = letters > 0
+        share = np.where(has, np.round(1 / np.exp(likelihood - likelihood.max(1, keepdims=True)).sum(1), 6), 0.0)
+        if evidence:
+            counted = (end - start).astype(float)
+            counted[new] = told[which]
+            none = np.round(np.bincount(text, counted, len(texts)) / np.maximum(letters, 1), 6)
+        return [self.languages[b] if h else UNKNOWN for b, h in zip(best.tolist(), has.tolist(), strict=True)], share, none
 
 
 def _log_frequency(table: np.ndarray, more: float = 0.5) -> np.ndarray:
@@ -141,75 +219,110 @@ def _log_frequency(table: np.ndarray, more: float = 0.5) -> np.ndarray:
     return np.log((table + more) / (table.sum(0) + more * len(table)))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+def _count(longest: int):
+    """Words (``n`` 0) and n-grams of all words, with their languages and numbers."""
 
-    def flush() -> pa.RecordBatch:
-        keys, n = list(counts), list(counts.values())
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(n, pa.int64())], names=["word", "lang", "n"])
+    def flush(counts: Counter) -> pa.RecordBatch:
+        kinds, keys, langs = zip(*counts, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.string()), pa.array(langs, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["n", "key", "lang", "count"])
 
-    for batch in batches:
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            for word, n in Counter(words_in(text or "")).items():
-                if len(word) <= 64:
-                    counts[word, lang] += n
-        if len(counts) > 500_000:
-            yield flush()
-            counts.clear()
-    if counts:
-        yield flush()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
 
+        def told() -> Iterator[pa.RecordBatch]:
+            counts: Counter = Counter()
+            for (word, lang), times in words.items():
+                if len(word) <= WORD_LETTERS:
+                    counts[0, word, lang] += times
+                for n in range(1, longest + 1):
+                    for gram in ngrams(word, n):
+                        counts[n, gram, lang] += times
+                if len(counts) > 500_000:
+                    yield flush(counts)
+                    counts.clear()
+            if counts:
+                yield flush(counts)
+            words.clear()
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int) -> DataFrame:
-    """``id``, ``text`` and ``lang`` of the ``max_docs`` labelled documents of the smallest hash of their id."""
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    labelled = labelled.filter("id IS NOT NULL AND lang IS NOT NULL")
-    chosen = labelled.select("id").orderBy(F.xxhash64("id"), "id").limit(max_docs)
-    return labelled.join(F.broadcast(chosen.distinct()), "id", "left_semi")
+        for batch in batches:
+            for part in A.slices(batch, "text", STEP_BYTES):
+                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
+                    words.update((word, lang) for word in words_in(text or ""))
+                if len(words) > 200_000:
+                    yield from told()
+        yield from told()
+
+    return count
 
 
-def least_evidence(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 10_000, part: float = 0.8
-) -> dict[str, float]:
-    """For each language the evidence that a text needs: ``part`` of what 99 % of its labelled documents have.
+def labelled_sample(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 10_000
+) -> tuple[DataFrame, dict[str, int]]:
+    """``id``, ``text`` and ``lang`` of at most ``max_docs`` labelled documents, and how many there are of each of their languages.
 
-    The sample is the one of ``train``. Documents without a letter do not count.
+    Each language gives as many as any other, or all it has: those of the smallest hashes of id and text.
+    Rows with a null id or language are none; equal rows count once in the sample, and each in the numbers.
     """
-    told = predict(_labelled(docs, id_col, text_col, lang_col, max_docs), model, "id", "text")
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    labelled = labelled.filter("id IS NOT NULL AND lang IS NOT NULL").withColumn("h", F.xxhash64("id", "text"))
+    per_language = labelled.groupBy("lang").agg(F.count("*").alias("all"), F.approx_count_distinct("h").alias("different"))
+    # A cut in the space of hashes first, so that no language's rows are all sorted.
+    share = F.least(F.lit(1.0), 4.0 * max_docs / F.col("different"))
+    place = F.pmod("h", F.lit(1 << 40))
+    slim = labelled.select("id", "h", "lang").join(F.broadcast(per_language), "lang").filter(place < (share * (1 << 40)).cast("long"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(place, "h", "id"))
+    ranked = slim.select("id", "h", "lang", "all").distinct().withColumn("nth", nth).filter(F.col("nth") <= max_docs)
+    chosen = ranked.orderBy("nth", "lang").limit(max_docs).select("id", "h", "lang", "all")
+    sample = staged(labelled.join(F.broadcast(chosen), ["id", "h", "lang"]).dropDuplicates(["id", "h", "lang"]))
+    return sample.select("id", "text", "lang"), {r["lang"]: r["all"] for r in sample.select("lang", "all").distinct().collect()}
+
+
+def least_evidence(sample: DataFrame, model: Model, part: float = 0.8) -> dict[str, float]:
+    """For each language the evidence that a text needs: ``part`` of what 99 % of its documents in the sample have.
+
+    ``sample`` is what ``labelled_sample`` gives. Documents without a letter, with a null or empty text, do not
+    count. A language without any other, or an empty sample, has no limit.
+    """
+    told = predict(sample, model, "id", "text", evidence=True)
     found = told.filter(F.col("lang_pred") != UNKNOWN).groupBy(F.col("row.lang").alias("lang")).agg(F.percentile_approx("evidence", 0.01, 10_000).alias("e"))
     return {r["lang"]: part * r["e"] for r in found.collect()}
 
 
 def train(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    lang_col: str = "lang",
-    max_docs: int = 10_000,
-    max_words: int = 30_000,
-    max_ngrams: int = 60_000,
-    longest: int = 4,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 10_000, **kept: int
 ) -> Model:
-    """Fit a model on labelled documents.
+    """``fit`` on the sample of at most ``max_docs`` labelled documents, see ``labelled_sample``."""
+    return fit(*labelled_sample(docs, id_col, text_col, lang_col, max_docs), **kept)
 
-    The sample is bounded: at most ``max_docs`` documents, those of the smallest hash of their id. Of
-    its words the ``max_words`` most frequent ones are kept, of the n-grams of these up to ``longest``
-    characters the ``max_ngrams`` most frequent, which bounds what is sent to the tasks. Rows with a
-    null id or language teach nothing. Without any row the model answers ``und``.
-    """
-    sample = _labelled(docs, id_col, text_col, lang_col, max_docs)
-    per_language = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
-    counted = sample.select("text", "lang").mapInArrow(_count_words, "word string, lang string, n long")
-    by_word = counted.groupBy("word", "lang").agg(F.sum("n").alias("n")).groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    rows = by_word.orderBy(F.col("n").desc(), "word").limit(max_words).collect()
-    return Model.of({r["word"]: r["by_lang"] for r in rows}, per_language, longest, max_ngrams)
 
+def fit(sample: DataFrame, all_docs: dict[str, int], max_words: int = 30_000, max_ngrams: int = 60_000, longest: int = 4) -> Model:
+    """Fit a model on labelled documents.
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    Words and n-grams of up to ``longest`` characters are counted over the whole sample, n-grams in words of
+    any length; words of over ``WORD_LETTERS`` letters are known by their n-grams only. Each language keeps
+    its most frequent ones, ``max_words`` and ``max_ngrams`` over all languages, which bounds what is sent
+    to the tasks; ties go to the smaller string. ``all_docs`` tells how likely each language is beforehand.
+    Null and empty texts teach nothing. Without any row the model answers ``und``.
+    """
+    counted = sample.select("text", "lang").repartition(_COUNTING).mapInArrow(_count(longest), "n int, key string, lang string, count long")
+    sums = staged(counted.groupBy("n", "key", "lang").agg(F.sum("count").alias("count")))
+    is_word = F.col("n") == 0
+    order = [F.desc("count"), "key"]
+    nth = F.row_number().over(Window.partitionBy("lang", is_word).orderBy(*order))
+    most = F.when(is_word, max_words // max(len(all_docs), 1)).otherwise(max_ngrams // max(len(all_docs), 1))
+    kept = sums.withColumn("nth", nth).filter(F.col("nth") <= most).select("n", "key").distinct()
+    by_key = sums.join(kept, ["n", "key"], "left_semi").groupBy("n", "key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by_lang"))
+    words, grams = {}, {}
+    for r in by_key.toLocalIterator():  # no more rows than max_words and max_ngrams
+        (grams if r["n"] else words)[r["key"]] = r["by_lang"]
+    return Model.of(words, grams, all_docs, longest)
+
+
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", evidence: bool = False) -> DataFrame:
     """``row`` (all columns of ``docs``, so that no name can clash), ``lang_pred``, ``score`` and ``evidence`` of each whole text.
 
     ``score`` is the language's share of the likelihood among the known languages, ``evidence`` the share
-    of letters in words or n-grams that are known. A text that is null, empty or without a letter is
+    of letters in words or n-grams that are known, 0 unless it is asked for. A text that is null, empty or without a letter is
     ``und`` with score and evidence 0. Ties go to the first language by name. Words of texts of any length count.
     Only the text is looked at; equal texts get equal answers. An empty table gives an empty result.
     """
@@ -229,8 +342,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             text = pc.struct_field(batch.column("row"), [at]).cast(pa.string())
             batch = pa.RecordBatch.from_arrays([batch.column("row"), text], names=["row", "text"])
             for part in A.slices(batch, "text", STEP_BYTES):
-                languages, scores, evidence = model.predict(part.column("text").to_pylist())
-                told = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(evidence, pa.float64())]
+                languages, scores, evident = model.predict(part.column("text").to_pylist(), evidence)
+                told = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(evident, pa.float64())]
                 yield pa.RecordBatch.from_arrays([part.column("row"), *told], schema=schema)
 
     return rows.mapInArrow(answer, out)
