@@ -89,13 +89,48 @@ def test_clean_keeps_whole_rows(spark, messy):
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abc"), min_size=10, max_size=40), st.integers(0, 30), st.integers(1, 5))
 def test_shared_windows_share_fingerprints(document, skip, gram):
-    """Every window of ten words is found by its fingerprint, wherever it stands."""
+    """Of every window of ten words that two texts share both have selected the same gram, at the same place."""
     window = document[skip : skip + 10]
     if len(window) < 10:
         return
-    marks = []
-    for text in (" ".join(document), " ".join(["x", "y", *window, "z"])):
+    chosen = []
+    for first, text in ((skip, " ".join(document)), (2, " ".join(["x", "y", *window, "z"]))):
         found, hashes = D._hashes(A.texts_of([text]))
-        start, mark, _, _ = D._hashed(found, hashes, 10, 10, gram)
-        marks.append(dict(zip(start.tolist(), mark.tolist(), strict=True)))
-    assert marks[0][skip] == marks[1][2]
+        at, mark = D.selected(found, hashes, 10, gram)
+        inside = (at >= first) & (at + gram <= first + 10)
+        chosen.append(set(zip((at[inside] - first).tolist(), mark[inside].tolist(), strict=True)))
+    assert chosen[0] & chosen[1]
+
+
+def test_fewer_rows_than_windows(spark):
+    """A long text is joined by its selected grams only, and without these nothing is found."""
+    text = sentence(random.Random(1), 4_000, 3_000)
+    found, hashes = D._hashes(A.texts_of([text]))
+    at, _ = D.selected(found, hashes, 10, 5)
+    windows, _ = D._whole_windows(found, hashes, 10)
+    assert len(windows) == 3_991 and 0.2 < len(at) / len(windows) < 0.4
+    # Every window holds a selected gram.
+    assert all(((at >= s) & (at + 5 <= s + 10)).any() for s in windows)
+
+
+def test_hits_come_from_fingerprints(spark, monkeypatch):
+    passage = sentence(random.Random(2), 40)
+    docs = spark.createDataFrame([(1, "a b c " + passage + " d e f")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    assert [tuple(r)[2:] for r in D.find_contamination(docs, items).collect()] == [(46, 40, ["7"])]
+    both = D._extend
+    # Marks that agree by chance: only the words around them decide.
+    other = spark.createDataFrame([(8, " ".join(reversed(passage.split())))], "item_id long, text string")
+    monkeypatch.setattr(D.A, "mix", lambda h: h * D.A.U(0) + D.A.U(5))
+    assert [tuple(r)[2:] for r in D.find_contamination(docs.limit(1), other).collect()] == [(46, 0, [])]
+    monkeypatch.undo()
+    assert D._extend is both
+
+
+def test_one_fingerprint_in_many_items(spark):
+    """Items that share a passage are one place of a fingerprint until they are named."""
+    passage = sentence(random.Random(3), 12)
+    items = spark.createDataFrame([(i, f"{passage}") for i in range(300)] + [(1000 + i, f"n{i} {passage} m{i}") for i in range(50)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"q {passage} r") for i in range(40)], "doc_id long, text string")
+    told = D.find_contamination(docs, items).collect()
+    assert all(r["n_hit"] == 12 and len(r["items"]) == 350 for r in told) and len(told) == 40
