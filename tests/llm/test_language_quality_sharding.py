@@ -1,5 +1,6 @@
 """Held-out accuracy, counts against brute force, and the laws of a sharding."""
 
+import pickle
 import re
 from collections import Counter
 
@@ -32,21 +33,83 @@ def model(spark):
     return language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
 
 
+def plain_score(model, word):
+    """Word first, then the longest n-grams of which any is known."""
+    if word in model.words:
+        return model.word_scores[model.words[word]]
+    for n in range(model.longest, 0, -1):
+        found = [model.grams[g] for g in language_id.ngrams(word, n) if g in model.grams]
+        if found:
+            return model.gram_scores[found].mean(0)
+    return np.zeros(len(model.languages))
+
+
+def plain_predict(model, text):
+    words = language_id.words_in(text or "")
+    if not words:
+        return "und", 0.0, 0.0
+    likelihood = model.prior + sum(plain_score(model, w) for w in words)
+    three = [language_id.ngrams(w, 3) for w in words]
+    told = sum(len(w) * (1.0 if w in model.words else sum(g in model.grams for g in t) / len(t)) for w, t in zip(words, three, strict=True))
+    best = int(likelihood.argmax())
+    return model.languages[best], 1 / np.exp(likelihood - likelihood[best]).sum(), told / sum(map(len, words))
+
+
+def same_answers(model, texts):
+    languages, scores, evidence = model.predict(texts, evidence=True)
+    for text, lang, score, told in zip(texts, languages, scores, evidence, strict=True):
+        want = plain_predict(model, text)
+        assert lang == want[0] and abs(score - want[1]) < 2e-6 and abs(told - want[2]) < 2e-6, text
+
+
 def test_backoff(model):
     assert model.languages == ["de", "en", "fr"]
-    assert (model.score("hund") == model.word_scores[model.words["hund"]]).all()
-    grams = [g for g in language_id.ngrams("hunde", 4) if g in model.grams]
-    assert grams and np.allclose(model.score("hunde"), model.gram_scores[[model.grams[g] for g in grams]].mean(0))
-    only = [g for g in language_id.ngrams("zzuzz", 1) if g in model.grams]
-    assert only and np.allclose(model.score("zzuzz"), model.gram_scores[[model.grams[g] for g in only]].mean(0))
     assert model.predict(["Der Hund!", "le chien", "THE DOG", "123 ...", "", None])[0] == ["de", "fr", "en", "und", "und", "und"]
+    same_answers(model, ["hund", "hunde", "zzuzz", "ßß qq", "a", "the unthedogly katze", "x" * 200, "Ωμέγα 東京 \U0001f600 é", "", None, "1 _ 2", "\u0130stanbul"])
+    assert pickle.loads(pickle.dumps(model)).predict(["der hund"])[0] == ["de"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text("thedogcaundßé1_ .\n東Ⅷ²\u0301", max_size=30), min_size=1, max_size=5))
+def test_predictions_by_brute_force(model, texts):
+    same_answers(model, texts)
 
 
-def test_known_words_are_forgotten(model, monkeypatch):
-    texts = ["die katzen und hunde", "the dogs and cats", "12", "les chats"]
-    first = model.predict(texts)
-    monkeypatch.setattr(language_id, "KEPT_WORDS", 1)
-    assert [model.predict(texts) for _ in range(2)] == [first, first]
+def test_given_texts_by_brute_force(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    small = language_id.train(docs, max_docs=60, max_words=200, max_ngrams=800)
+    assert len(small.words) <= 200 and len(small.grams) <= 800
+    same_answers(small, [r["text"] for r in docs.limit(120).collect()])
+
+
+def test_counts_of_the_sample(spark):
+    """All n-grams of all words of the sample count, also those of long words; equal rows count once."""
+    long = "ab" * 300
+    rows = [(1, "one two one", "en"), (2, long, "xx"), (3, "drei", "de")] + [(1, "one two one", "en")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model.words) == {"one", "two", "drei"}
+    assert {"abab", "ei$", "^tw"} <= set(model.grams) and np.allclose(np.exp(model.prior), [1 / 4, 2 / 4, 1 / 4])
+    assert model.predict([long, "drei", "one"])[0] == ["xx", "de", "en"]
+
+
+def test_rare_languages_are_known(spark):
+    """As many documents of each language, however rare it is, and the most frequent words of each."""
+    rng = np.random.default_rng(1)
+    words = {"en": "the dog and cat", "fi": "kissa koira talo", "hu": "kutya macska haz"}
+    rows = [(i, " ".join(rng.choice(words[lang].split(), 6)) + f" n{i}", lang) for i, lang in enumerate(["en"] * 3000 + ["fi"] * 12 + ["hu"] * 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample, _ = language_id.labelled_sample(docs, max_docs=60)
+    assert Counter(r["lang"] for r in sample.collect()) == {"en": 41, "fi": 12, "hu": 7}
+    model = language_id.train(docs, max_docs=60, max_words=30)
+    assert model.predict(["koira kissa talo " * 4, "macska haz kutya " * 4, "the dog", "kissan talossa koiran " * 4])[0] == ["fi", "hu", "en", "fi"]
+    assert np.allclose(np.exp(model.prior), [3000 / 3019, 12 / 3019, 7 / 3019])
+
+
+def test_one_row_a_third_of_all(spark):
+    rows = [(1, "same text", "en")] * 500 + [(i, f"texte {i}", "fr") for i in range(2, 1000)]
+    sample, all_rows = language_id.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_docs=100)
+    assert Counter(r["lang"] for r in sample.collect()) == {"en": 1, "fr": 99}
+    assert all_rows == {"en": 500, "fr": 998}
 
 
 def test_predict_messy_rows(messy, nothing, model):
@@ -182,3 +245,47 @@ def test_fisher_yates():
     orders = Counter(tuple(sharding.fisher_yates(3, seed, 5)) for seed in range(6000))
     assert len(orders) == 6 and min(orders.values()) > 850
     assert sharding.fisher_yates(0, 1, 1).tolist() == []
+
+
+def test_equal_rows_are_scattered(spark, monkeypatch):
+    """Half a table of equal rows fills all buckets alike, and every row is written once."""
+    monkeypatch.setattr(sharding, "MANY_EQUAL", 100)
+    rows = [(7, "same text")] * 3_000 + [(None, None)] * 500 + [(i, f"text {i}") for i in range(2_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder, seen = shared_folder(spark), []
+    real = sharding.staged
+    monkeypatch.setattr(sharding, "staged", lambda df, *by: seen.append(real(df, *by)) or seen[-1])
+    monkeypatch.setattr(sharding, "release", lambda *a, **k: None)
+    sharding.write_shards(docs, folder, 8)
+    sizes = [r["count"] for r in seen[-1].groupBy("bucket").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 1.5 * min(sizes)
+    out = sharding.read_shards(spark, folder, docs)
+    assert Counter((r["doc_id"], r["text"]) for r in out.select("row.*").collect()) == Counter(rows)
+    assert sorted((r["shard"], r["slot"]) for r in out.collect()) == [(s, k) for s in range(8) for k in range(750)]
+
+
+def test_types_of_the_contract(spark, sf_dir):
+    """Columns and types that each query promises."""
+    from clickloom.llm.queries import QUERIES
+
+    want = {
+        "op1": "doc_id long, held_out boolean, lang_pred string, score double",
+        "op2": "doc_id long, n_words long, n_removed long, kept_sha256 string",
+        "op3": "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean",
+        "op4": "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+        "op5": "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+        "op6": "doc_id long, n_shingles long, component_id long",
+        "op7": "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean",
+        "op8": "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int",
+        "op9": "doc_id long, start long, n_tokens long, ids_crc32 long",
+        "op10": "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
+        "op11": "doc_id long, n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string",
+        "op12": "doc_id long, n_features long, weight long, score long, rank long",
+        "op13": "query_id long, rank int, vec_id long, score double",
+    }
+    plain = {"long": "bigint"}
+    for name, query in QUERIES.items():
+        types = dict(query(spark, sf_dir).dtypes)
+        for column in want[name.split("_")[0]].split(", "):
+            c, kind = column.split()
+            assert types[c] == plain.get(kind, kind), (name, c)
