@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.templates import compiled, unescape
 
-#: Marks every turn with its role; only assistant texts are learned.
+#: Marks every turn with its role; only assistant texts are trained on.
 TEMPLATE = (
     "{% for m in messages %}<s>[INST] {{ m.role|escape }} [/INST] "
     "{% if m.role == 'assistant' %}{% generation %}{{ m.text|escape }}{% endgeneration %}"
@@ -26,19 +26,19 @@ _template = lru_cache(maxsize=4)(compiled)
 
 
 def segments(template: str, messages: Iterator[dict[str, Any]]) -> Iterator[tuple[str, list[int], list[int]]]:
-    """What a conversation renders to, cut where each message begins, with starts and ends of the learned spans.
+    """What a conversation renders to, cut where each message begins, with starts and ends of the trained spans.
 
     What a template writes before the first message goes with it, what it writes last with the last.
     """
     text, starts, ends, size, begun = [], [], [], 0, False
-    for piece, learn in _template(template)({"messages": messages}):
+    for piece, in_loss in _template(template)({"messages": messages}):
         if piece is None:
             if begun:
                 yield "".join(text), starts, ends
                 text, starts, ends, size = [], [], [], 0
             begun = True
         elif piece:
-            if learn:
+            if in_loss:
                 if ends and ends[-1] == size:
                     ends[-1] += len(piece)
                 else:
@@ -97,7 +97,7 @@ def format_conversations(
 ) -> DataFrame:
     """Render each conversation, its rows by turn, as segments: one for each message.
 
-    Returns ``conv_id``, ``part`` (from 0), ``formatted``, and ``starts`` and ``ends`` of the learned
+    Returns ``conv_id``, ``part`` (from 0), ``formatted``, and ``starts`` and ``ends`` of the trained
     spans in code points of the segment. Parts one after the other are the conversation's text. Rows
     are in the order of the parts, and a conversation is in one partition, which streams it: no more
     than a batch of rows is in memory.
@@ -133,9 +133,9 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
             n += 1
         for a, b in zip(row["starts"], row["ends"], strict=True):
-            learned = unescape(row["formatted"][a:b])
-            loss.update(learned.encode())
-            loss_chars += len(learned)
+            trained = unescape(row["formatted"][a:b])
+            loss.update(trained.encode())
+            loss_chars += len(trained)
         chars += len(row["formatted"])
         if len(done) >= 5_000:
             yield batch_of(done)
@@ -147,5 +147,5 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """Turns and learned texts as the formatted text itself tells them, for output of the default template."""
+    """Turns and trained texts as the formatted text itself tells them, for output of the default template."""
     return segments.mapInArrow(_read_back, _DIGESTS)

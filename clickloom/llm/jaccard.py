@@ -417,9 +417,27 @@ def _count_only(words: int):
     return count
 
 
+#: Numbers from here on are for rows that their id does not tell apart.
+_OWN_NUMBER = 1 << 62
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all columns, that are the smallest document of their group, and those without id."""
-    groups = similar_groups(docs, id_col, text_col, words, percent)
-    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_doc"))
-    return row.join(gone, F.col("_doc") == F.col("_gone"), "left_anti").select("row.*")
+    """One row of each group of similar texts, with all columns: that of the smallest id.
+
+    Groups are those of ``similar_groups``, but of rows: rows that share an id, or have none, are rows of their
+    own and come after all others, in the order in which they are stored. Of rows with equal texts one stays.
+    Null, empty and blank texts are like no other and all stay. An empty table gives an empty result.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), row)
+    # Few ids are shared as a rule, so the rows that need a number of their own are written once more.
+    shared = staged(rows.groupBy("doc").count().filter((F.col("count") > 1) | F.col("doc").isNull() | (F.col("doc") >= _OWN_NUMBER)).select("doc"))
+    if shared.isEmpty():
+        numbered = rows
+    else:
+        odd = rows.join(shared.withColumnRenamed("doc", "other"), F.col("doc").eqNullSafe(F.col("other")), "left_semi")
+        odd = staged(odd.withColumn("doc", F.lit(_OWN_NUMBER) + F.monotonically_increasing_id()))
+        numbered = rows.join(shared, "doc", "left_anti").filter("doc IS NOT NULL").unionByName(odd)
+    groups = similar_groups(numbered.select("doc", "text"), "doc", "text", words, percent)
+    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("doc"))
+    return numbered.join(gone, "doc", "left_anti").select("row.*")

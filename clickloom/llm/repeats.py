@@ -30,6 +30,9 @@ from clickloom.llm.shared import buckets_for, staged
 #: Anchors that a task gathers before it sends them on.
 GATHER = 600_000
 
+#: Numbers for rows without an id, the largest that there are. Ids as large count as missing.
+NAMELESS = 1 << 20
+
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # doc, which of its rows, first start, number of starts
 
 
@@ -260,8 +263,8 @@ def without_repeats(docs: DataFrame, method: Method, id_col: str, text_col: str)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    # A null id counts as the largest.
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1))
+    # Rows without an id come last, dealt out by their texts.
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1) - F.pmod(F.xxhash64(text_col), F.lit(NAMELESS)))
     buckets = buckets_for(docs, text_col)
     texts = docs.select(doc.alias("doc"), F.col(text_col).cast("string").alias("text"), F.struct(*others).alias("row"))
     dest = F.pmod(F.xxhash64("doc"), F.lit(buckets)).cast("int")

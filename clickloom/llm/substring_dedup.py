@@ -14,13 +14,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from clickloom.llm import arrays as A
-from clickloom.llm.repeats import Spans, by_bucket, without_repeats
+from clickloom.llm.repeats import NAMELESS, Spans, by_bucket, without_repeats
+
+#: Rows without an id are not smaller than one another.
+_NO_ID = 2**63 - NAMELESS
 
 
 @dataclass(frozen=True)
 class FixedBlocks:
     window: int = 50
-    slice_bytes: int = 4 << 20
+    slice_bytes: int = 2 << 20
     gather: int = 500_000
 
     @property
@@ -57,8 +60,9 @@ class FixedBlocks:
 
     def settle_here(self, parts: list[dict[str, np.ndarray]], buckets: int) -> tuple[Spans, dict[int, bytes]]:
         doc, row, place, high, low = (np.concatenate([p[c] for p in parts]) for c in ("doc", "row", "place", "high", "low"))
-        least = _least_of_group(doc, high, low)
-        later, at = doc > least, np.flatnonzero(doc == least)
+        named = np.minimum(doc, _NO_ID)
+        least = _least_of_group(named, high, low)
+        later, at = named > least, np.flatnonzero(named == least)
         sent = {}
         for bucket, here in by_bucket(A.bucket_of(high[at], buckets)):
             here = at[here]
@@ -67,7 +71,8 @@ class FixedBlocks:
 
     def settle(self, payloads: list[bytes]) -> Spans:
         doc, row, place, high, low = (np.concatenate(c) for c in zip(*map(A.unpack, payloads), strict=True))
-        later = doc > _least_of_group(doc, high, low)
+        named = np.minimum(doc, _NO_ID)
+        later = named > _least_of_group(named, high, low)
         return _consecutive(doc[later], row[later], place[later])
 
     def cut(self, text: bytes, starts: np.ndarray, counts: np.ndarray) -> tuple[bytes, int, int, int]:

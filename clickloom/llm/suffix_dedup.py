@@ -128,6 +128,7 @@ class SuffixAnchors:
     shallow: int = 96
     slice_bytes: int = 2 << 20
     gather: int = 40_000
+    whole_characters: bool = False
 
     def __post_init__(self) -> None:
         if not 0 < self.gram < self.length:
@@ -224,6 +225,9 @@ class SuffixAnchors:
         if not len(starts):
             return text, len(text), 0, 0
         gone = covered(len(text), starts, starts + counts - 1 + self.length)
+        if self.whole_characters:
+            character = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
+            gone = (np.bincount(character, gone, character[-1] + 1) > 0)[character]
         return np.frombuffer(text, np.uint8)[~gone].tobytes(), len(text), int(gone.sum()), n_runs(gone)
 
 
@@ -234,7 +238,7 @@ def _gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(before[-1], dtype=kind) + np.repeat((start - before[:-1]).astype(kind), size)
 
 
-def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, whole_characters: bool = False) -> DataFrame:
     """Remove every byte covered by a string of ``length`` bytes that also starts anywhere else.
 
     Texts are UTF-8 bytes. Both places lose their bytes, also within one text; overlapping strings
@@ -244,6 +248,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null or empty text has no bytes; a text below ``length`` bytes keeps all. Ids only tell rows apart:
     rows of equal or null id are rows of their own, and equal rows remove each other. An empty table
-    gives an empty result.
+    gives an empty result. With ``whole_characters`` a character that loses a byte goes as a whole, so that
+    what is kept of a text is text.
     """
-    return without_repeats(docs, SuffixAnchors(length, min(gram, max(1, length - 1))), id_col, text_col)
+    return without_repeats(docs, SuffixAnchors(length, min(gram, max(1, length - 1)), whole_characters=whole_characters), id_col, text_col)

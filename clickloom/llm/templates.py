@@ -2,7 +2,7 @@
 
 ``{{ expression }}`` writes a value, ``{% if %} {% elif %} {% else %} {% endif %}`` chooses, ``{% for x in
 xs %} {% endfor %}`` repeats (with ``loop.index0``, ``loop.first``, ``loop.last``), ``{% set x = expression %}``
-names a value, ``{% generation %} {% endgeneration %}`` marks what a model is to learn, ``{# #}`` is a
+names a value, ``{% generation %} {% endgeneration %}`` marks what a model is trained on, ``{# #}`` is a
 remark. Expressions have strings, integers, ``true``, ``false``, ``none``, names, ``a.b`` and ``a['b']``,
 ``not and or``, comparisons, ``in``, ``+``, ``~`` (joins as text), parentheses, and filters behind ``|``.
 
@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-Piece = tuple[str | None, bool]  # text and whether it is to be learned; None: the next message begins
+Piece = tuple[str | None, bool]  # text and whether it is trained on; None: the next message begins
 Value = Callable[[dict[str, Any]], Any]
 
 
@@ -383,9 +383,9 @@ Render = Callable[[dict[str, Any], bool], Iterator[Piece]]
 def _block(nodes: tuple, messages: str) -> Render:
     steps = [_step(n, messages) for n in nodes]
 
-    def run(env: dict[str, Any], learn: bool) -> Iterator[Piece]:
+    def run(env: dict[str, Any], in_loss: bool) -> Iterator[Piece]:
         for step in steps:
-            yield from step(env, learn)
+            yield from step(env, in_loss)
 
     return run
 
@@ -394,28 +394,28 @@ def _step(node: Any, messages: str) -> Render:
     if isinstance(node, Write):
         value = _value(node.value)
 
-        def write(env: dict[str, Any], learn: bool) -> Iterator[Piece]:
-            yield _text(value(env)), learn
+        def write(env: dict[str, Any], in_loss: bool) -> Iterator[Piece]:
+            yield _text(value(env)), in_loss
 
         return write
     if isinstance(node, Set):
         name, given = node.name, _value(node.value)
 
-        def assign(env: dict[str, Any], learn: bool) -> Iterator[Piece]:
+        def assign(env: dict[str, Any], in_loss: bool) -> Iterator[Piece]:
             env[name] = given(env)
             yield from ()
 
         return assign
     if isinstance(node, Generation):
         marked = _block(node.body, messages)
-        return lambda env, learn: marked(env, True)
+        return lambda env, in_loss: marked(env, True)
     if isinstance(node, If):
         test, then, other = _value(node.test), _block(node.then, messages), _block(node.other, messages)
-        return lambda env, learn: (then if test(env) else other)(env, learn)
+        return lambda env, in_loss: (then if test(env) else other)(env, in_loss)
     name, over, body = node.name, _value(node.over), _block(node.body, messages)
     tells = isinstance(node.over, Name) and node.over.name == messages
 
-    def repeat(env: dict[str, Any], learn: bool) -> Iterator[Piece]:
+    def repeat(env: dict[str, Any], in_loss: bool) -> Iterator[Piece]:
         items, none = iter(over(env) or ()), object()
         outer = env.get("loop")
         item, index = next(items, none), 0
@@ -425,7 +425,7 @@ def _step(node: Any, messages: str) -> Render:
             following = next(items, none)
             env[name] = item
             env["loop"] = {"index0": index, "index": index + 1, "first": index == 0, "last": following is none}
-            yield from body(env, learn)
+            yield from body(env, in_loss)
             item, index = following, index + 1
         env["loop"] = outer
 

@@ -13,8 +13,8 @@ def written(source, **values):
     return "".join(p for p, _ in compiled(source)(values) if p)
 
 
-def learned(source, **values):
-    return [p for p, learn in compiled(source)(values) if learn]
+def trained(source, **values):
+    return [p for p, in_loss in compiled(source)(values) if in_loss]
 
 
 @pytest.mark.parametrize(
@@ -68,7 +68,7 @@ def test_any_source_is_refused_or_runs(parts):
 
 def test_generation_marks():
     source = "{% for m in messages %}{{ m.a }}{% generation %}<{{ m.b }}>{% endgeneration %}{% endfor %}"
-    assert learned(source, messages=[{"a": 1, "b": 2}, {"a": 3, "b": 4}]) == ["<", "2", ">", "<", "4", ">"]
+    assert trained(source, messages=[{"a": 1, "b": 2}, {"a": 3, "b": 4}]) == ["<", "2", ">", "<", "4", ">"]
 
 
 def test_messages_are_streamed():

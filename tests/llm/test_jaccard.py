@@ -86,12 +86,17 @@ def test_empty_table(nothing):
 
 
 def test_one_of_each(messy):
+    """Rows without an id, or with one that others have too, are documents of their own and come last."""
     kept = J.one_of_each(messy)
-    assert kept.columns == messy.columns
-    groups = {r["doc_id"]: r["component_id"] for r in J.similar_groups(messy).collect()}
-    want = [tuple(r) for r in messy.collect() if r["doc_id"] is None or groups[r["doc_id"]] == r["doc_id"]]
-    assert Counter(map(tuple, kept.collect())) == Counter(want)
-    assert set(CLASHING) < set(kept.columns)
+    assert kept.columns == messy.columns and set(CLASHING) < set(kept.columns)
+    given = messy.collect()
+    ids = Counter(r["doc_id"] for r in given)
+    numbers = [r["doc_id"] if r["doc_id"] is not None and ids[r["doc_id"]] == 1 else 10**9 + k for k, r in enumerate(given)]
+    groups = {k[0]: k[2] for k in brute([(n, r["text"]) for n, r in zip(numbers, given, strict=True)], 5, 80)}
+    first = [(n, r) for n, r in zip(numbers, given, strict=True) if groups[n] == n]
+    # Which of several rows of the last kind stays is a matter of storage.
+    assert Counter(r["text"] for r in kept.collect()) == Counter(r["text"] for _, r in first)
+    assert {tuple(r) for n, r in first if n < 10**9} <= set(map(tuple, kept.collect())) <= set(map(tuple, given))
 
 
 @settings(max_examples=150, deadline=None)

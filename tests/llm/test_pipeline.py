@@ -4,10 +4,11 @@ import ast
 import pathlib
 import subprocess
 import sys
+from collections import Counter
 
 import corpus_pipeline
 from clickloom.llm import jaccard, suffix_dedup
-from clickloom.llm.shared import staged
+from clickloom.llm.shared import release, staged, tables_made
 from clickloom.sources.tables import load
 
 from .test_decontamination import brute as contamination
@@ -65,16 +66,103 @@ def test_other_languages_go(spark, sf_dir):
         assert min(left) >= 0 and len(left) >= 0.98 * given.count()
 
 
-def test_no_documents(spark, nothing):
-    docs = nothing.selectExpr("doc_id", "text", "lang", "part AS source", "doc_id AS n_chars")
-    for stage in (corpus_pipeline.known_language, corpus_pipeline.one_of_near_copies, corpus_pipeline.without_repeated_strings, corpus_pipeline.packed):
-        assert stage(spark, docs, "").collect() == []
-
-
-def test_nulls_and_columns_pass(spark, messy):
-    docs = messy.withColumnRenamed("part", "n_chars").withColumn("n_chars", messy["doc_id"])
-    for stage in (corpus_pipeline.one_of_near_copies, corpus_pipeline.without_repeated_strings):
-        assert stage(spark, docs, "").columns == docs.columns
+STAGED = "doc_id long, text string, lang string, source string, n_chars long, row string, score string"
+
+
+def as_documents(messy):
+    return messy.selectExpr("doc_id", "text", "lang", "part AS source", "doc_id AS n_chars", "row", "score")
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_no_documents(spark, nothing, sf_dir):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, as_documents(nothing), sf_dir).collect() == []
+
+
+def test_messy_rows_by_language(spark, messy, sf_dir):
+    docs = as_documents(messy)
+    kept = corpus_pipeline.known_language(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and set(rows(kept)) <= set(rows(docs))
+    texts = {r["text"] for r in kept.collect()}
+    assert None not in texts and "" not in texts and "1 2 3 # $ %" not in texts
+    assert len({t for t in texts if t.startswith("w")}) >= 6
+    # Equal texts go or stay together.
+    assert all(r["text"] not in texts or str(r) in rows(kept) for r in docs.collect())
+    unlabelled = docs.withColumn("lang", docs["lang"].substr(0, 0)).selectExpr(*[c if c != "lang" else "CAST(NULL AS STRING) AS lang" for c in docs.columns])
+    assert corpus_pipeline.known_language(spark, unlabelled, sf_dir).collect() == []
+
+
+def test_messy_rows_by_copies(spark, messy, sf_dir):
+    """One row of each group, whether its id is shared, missing or its own."""
+    docs = as_documents(messy)
+    given = docs.collect()
+    numbers = [i if i is not None and sum(r["doc_id"] == i for r in given) == 1 else 10**9 + k for k, i in enumerate(r["doc_id"] for r in given)]
+    found = {k[0]: k[2] for k in groups([(n, r["text"]) for n, r in zip(numbers, given, strict=True)], 5, 80)}
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, sf_dir)
+    # Rows without an id of their own come last in any order, so groups of such rows alone are compared by their texts.
+    want = sorted(str(r["text"]) for n, r in zip(numbers, given, strict=True) if found[n] == n)
+    assert sorted(str(r["text"]) for r in kept.collect()) == want and set(rows(kept)) <= set(rows(docs))
+    own = {str(r) for n, r in zip(numbers, given, strict=True) if n < 10**9 and found[n] == n}
+    assert own <= set(rows(kept))
+
+
+def test_messy_rows_without_repeats(spark, messy, sf_dir):
+    docs = as_documents(messy)
+    kept = corpus_pipeline.without_repeated_strings(spark, docs, sf_dir)
+    given = docs.collect()
+    left = {k[0]: k for k in bytes_left(list(enumerate(r["text"] for r in given)), 200)}
+    want = []
+    for i, r in enumerate(given):
+        k = left[i]
+        if k[2] < k[1] or not k[1]:
+            text = None if r["text"] is None else k[4].decode("utf-8", "ignore")
+            want.append(r.asDict() | {"text": text, "n_chars": len(text) if k[2] else r["n_chars"]})
+    assert kept.columns == docs.columns
+    assert sorted(str(r.asDict()) for r in kept.collect()) == sorted(map(str, want))
+
+
+def test_characters_survive_cuts(spark, sf_dir):
+    """U+FFFD of the source stays, and of a character that a cut goes through nothing stays."""
+    passage = "é" * 150
+    texts = ["A\ufffdB x" + passage + "\u0129 tail \ufffd", "other " + passage + "\u012a end", None, "\ufffd"]
+    docs = spark.createDataFrame([(i, t, None, None, 7) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.without_repeated_strings(spark, docs, sf_dir).collect()}
+    assert kept == {0: ("A\ufffdB x tail \ufffd", 12), 1: ("other  end", 10), 2: (None, 7), 3: ("\ufffd", 7)}
+
+
+def test_messy_rows_without_benchmark(spark, messy, sf_dir):
+    docs = as_documents(messy)
+    items = load(spark, sf_dir, "benchmark").select("item_id", "text")
+    some = [tuple(r) for r in items.collect()]
+    hit = [(9_001, some[0][1]), (None, "and then " + some[1][1]), (None, "and then " + some[1][1])]
+    docs = docs.unionByName(spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in hit], STAGED))
+    given = docs.collect()
+    by_text = {k[0]: k[2] for k in contamination([(k, r["text"] if len(r["text"] or "") < 20_000 else "") for k, r in enumerate(given)], some, 10)}
+    kept = corpus_pipeline.without_benchmark(spark, docs, sf_dir)
+    assert sum(map(bool, by_text.values())) >= 3
+    assert rows(kept) == sorted(str(r) for k, r in enumerate(given) if not by_text[k])
+
+
+def test_messy_rows_packed(spark, messy, sf_dir):
+    docs = as_documents(messy)
+    pieces = corpus_pipeline.packed(spark, docs, sf_dir).collect()
+    assert Counter(p["doc_id"] for p in pieces if p["piece"] == 0) == Counter(r["doc_id"] for r in docs.collect())
+    filled = {}
+    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
+        assert p["offset"] == filled.get(p["sequence_id"], 0)
+        filled[p["sequence_id"]] = p["offset"] + p["length"]
+    assert max(filled.values()) <= 2048
+
+
+def test_tables_between_stages_go(spark, sf_dir):
+    since = tables_made()
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert out.count() > 0
+    release(spark, since)
+    assert tables_made() == since
 
 
 def test_nothing_else_imports_this_package():
