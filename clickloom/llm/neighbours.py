@@ -43,7 +43,7 @@ def _schema(fields: str) -> tuple[T.StructType, pa.Schema]:
 
 
 _GRAPH, _GRAPH_ARROW = _schema("node long, kind int, code binary, links binary, sims binary, fresh binary, worst float")
-_SEEN_BY, _SEEN_BY_ARROW = _schema("node long, kind int, links binary, fresh binary, draw binary")
+_SEEN_BY, _SEEN_BY_ARROW = _schema("node long, kind int, links binary, fresh binary, back long, new boolean, draw long")
 _MEET, _MEET_ARROW = _schema("at long, link long, fresh boolean")
 _STATE, _STATE_ARROW = _schema("node long, kind int, code binary, beam binary, sims binary, opened binary, seen binary, todo longs")
 
@@ -206,15 +206,10 @@ def _seen_by(reverse: int, seed: int):
             if not len(link):
                 continue
             of = np.repeat(node, size)
-            draw = (A.mix(of.view(np.uint64) * A.U(0x9E3779B97F4A7C15) + A.mix(link.view(np.uint64) + A.U(seed))) >> A.U(32)).astype(np.uint32)
+            draw = (A.mix(of.view(np.uint64) * A.U(0x9E3779B97F4A7C15) + A.mix(link.view(np.uint64) + A.U(seed))) >> A.U(32)).astype(np.int64)
             order = np.lexsort((draw, 1 - fresh, link))
             order = order[np.arange(len(link)) - np.searchsorted(link[order], link[order]) < reverse]
-            edges = A.group_edges(link[order])
-            to = link[order][edges[:-1]]
-            yield _rows(
-                _SEEN_BY_ARROW, node=to, kind=np.ones(len(to), np.int32), links=_packed(of[order], edges, "<i8"),
-                fresh=_packed(fresh[order], edges, "u1"), draw=_packed(draw[order], edges, "<u4"),
-            )
+            yield _rows(_SEEN_BY_ARROW, node=link[order], kind=np.ones(len(order), np.int32), back=of[order], new=fresh[order].astype(bool), draw=draw[order])
 
     return run
 
@@ -222,28 +217,29 @@ def _seen_by(reverse: int, seed: int):
 def _neighbourhoods(table: pa.Table, reverse: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Node, neighbour and whether the link is new: all own links and ``reverse`` of those from elsewhere."""
     node, kind = table.column("node").to_numpy(), table.column("kind").to_numpy()
-    link, size = _lists(table.column("links"), "<i8")
-    fresh, _ = _lists(table.column("fresh"), "u1")
-    draw, _ = _lists(table.column("draw"), "<u4")
-    of, back = np.repeat(node, size), np.repeat(kind, size) == 1
-    own = np.flatnonzero(~back)
-    back = np.flatnonzero(back)
-    order = np.lexsort((draw, 1 - fresh[back], of[back]))
-    back = back[order[np.arange(len(back)) - np.searchsorted(of[back][order], of[back][order]) < reverse]]
-    at = np.concatenate((own, back))
-    order = np.lexsort((1 - fresh[at], link[at], of[at]))
-    at = at[order]
-    keep = np.ones(len(at), bool)
-    keep[1:] = (of[at][1:] != of[at][:-1]) | (link[at][1:] != link[at][:-1])
-    at = at[keep]
-    return of[at], link[at], fresh[at].astype(bool)
+    own = np.flatnonzero(kind == 0)
+    mine = table.take(pa.array(own))
+    link, size = _lists(mine.column("links"), "<i8")
+    fresh, _ = _lists(mine.column("fresh"), "u1")
+    back = np.flatnonzero(kind == 1)
+    theirs = table.take(pa.array(back))
+    from_, new = theirs.column("back").to_numpy().astype(np.int64), theirs.column("new").to_numpy(zero_copy_only=False).astype(np.uint8)
+    order = np.lexsort((theirs.column("draw").to_numpy(), 1 - new, node[back]))
+    to = node[back][order]
+    order = order[np.arange(len(to)) - np.searchsorted(to, to) < reverse]
+    of, link, fresh = (np.concatenate(c) for c in ((np.repeat(node[own], size), node[back][order]), (link, from_[order]), (fresh, new[order])))
+    order = np.lexsort((1 - fresh, link, of))
+    of, link, fresh = of[order], link[order], fresh[order]
+    keep = np.ones(len(of), bool)
+    keep[1:] = (of[1:] != of[:-1]) | (link[1:] != link[:-1])
+    return of[keep], link[keep], fresh[keep].astype(bool)
 
 
 def _choose(reverse: int):
     """Who meets at each node, where any link is new."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_keys(batches, "node", 10_000):
+        for table in _whole_keys(batches, "node", 100_000):
             of, link, fresh = _neighbourhoods(table, reverse)
             edges = A.group_edges(of)
             any_new = np.add.reduceat(fresh, edges[:-1]) > 0 if len(of) else np.zeros(0, bool)
@@ -286,7 +282,7 @@ def _introduce(links: int):
 
 def _adjacent(reverse: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_keys(batches, "node", 10_000):
+        for table in _whole_keys(batches, "node", 100_000):
             of, link, _ = _neighbourhoods(table, reverse)
             edges = A.group_edges(of)
             yield pa.RecordBatch.from_arrays([pa.array(of[edges[:-1]], pa.int64()), pa.array(_packed(link, edges, "<i8"), pa.binary())], names=["node", "links"])
