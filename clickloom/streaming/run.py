@@ -43,6 +43,22 @@ def with_event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFra
     return df.withWatermark(ts, delay)
 
 
+def with_marker_time(df: DataFrame, ts: str, marker: Column, delay: str = "0 seconds") -> DataFrame:
+    """Declare the event time of a stream whose watermark only marker rows advance, less ``delay``.
+
+    Windows, joins and state behind it go by the markers, however far ahead other rows are. Of several
+    watermarks Spark takes the lowest, so those of other rows are put out of reach. A stream without a marker
+    closes nothing. A marker that is not known is none. The source is read once for each of the two kinds.
+    """
+    is_marker = F.coalesce(marker, F.lit(False))
+    marked = df.filter(is_marker).withWatermark(ts, delay)
+    far = "far"
+    while far in df.columns:
+        far += "_"
+    others = df.filter(~is_marker).withColumn(far, F.col(ts) + F.expr("INTERVAL '1000' YEAR")).withWatermark(far, "0 seconds")
+    return marked.union(others.select(*df.columns))
+
+
 def use_disk_state(spark: SparkSession) -> None:
     """Keep streaming state on disk, which timers and large state need; once for a session, before its streams."""
     spark.conf.set(_PROVIDER, _ROCKSDB)

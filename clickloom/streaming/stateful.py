@@ -4,169 +4,283 @@ Every function takes a stream with a watermark on ``ts`` and gives the rows that
 same name gives. A key's rows wait until the watermark has passed them and are then handled in order;
 what the key remembers between batches is small. Results appear when the watermark passes the row or
 the deadline that decides them, so what lies behind the last watermark is still open.
+
+Waiting rows are typed state, in slots of time. A batch adds to the slots of its rows without reading
+them, and a timer reads the slots that the watermark has reached, whatever waits behind them.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickloom.times import micros
 
-# memory, rows in order, watermark (us) -> memory, results, time (us) to be called again or None
-Step = Callable[[dict, list[dict], int], tuple[dict, list[dict], int | None]]
+#: Length of a slot of waiting rows.
+SLOT = "10 seconds"
 
 _US = "at_us"  # names with a leading underscore are not kept in the processor's rows
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+class Queue:
+    """Values of a key that leave in the order in which they came, one state entry each."""
+
+    def __init__(self, state: Any, memory: dict) -> None:
+        self.state, self.memory = state, memory
+
+    def _bounds(self) -> tuple[int, int]:
+        return self.memory.get("head") or 0, self.memory.get("tail") or 0
+
+    def __bool__(self) -> bool:
+        head, tail = self._bounds()
+        return head < tail
+
+    def first(self) -> Any:
+        return self.state.getValue((self._bounds()[0],))[0]
+
+    def push(self, value: Any) -> None:
+        tail = self._bounds()[1]
+        self.state.updateValue((tail,), (_plain(value),))
+        self.memory["tail"] = tail + 1
+
+    def pop(self) -> Any:
+        value, head = self.first(), self._bounds()[0]
+        self.state.removeKey((head,))
+        self.memory["head"] = head + 1
+        return value
+
+
+# memory, rows in order, watermark (us), queue -> results, time (us) to be called again or None
+Step = Callable[[dict, list[dict], int, Queue], tuple[list[dict], int | None]]
 
 
 class InOrder(StatefulProcessor):
-    """Holds a key's rows back until the watermark has passed them, then runs ``step`` on them."""
+    """Holds a key's rows back until the watermark has passed them, then runs ``step`` on them.
+
+    ``row`` is the type of a waiting row, ``memory`` and ``queued`` what the step keeps. An index tells for
+    each slot how many lists of rows it has and its first row's time.
+    """
 
-    def __init__(self, step: Step, keys: list[str], order: list[str], out: list[str], times: list[str]):
-        self.step, self.keys, self.order, self.out, self.times = step, keys, order, out, times
+    def __init__(self, step: Step, row: T.StructType, memory: str, queued: str, order: list[str], out: list[str], times: list[str], keys: list[str], slot: int):
+        self.step, self.row, self.order, self.out, self.times, self.keys, self.slot = step, row, order, out, times, keys, slot
+        self.fields = ["head", "tail", *T.StructType.fromDDL(memory).names] if memory else ["head", "tail"]
+        self.kinds = {
+            "rows": f"rows array<{row.simpleString()}>",
+            "memory": f"head bigint, tail bigint{', ' if memory else ''}{memory}",
+            "queued": f"value {queued}",
+        }
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "row string")
-        self.memory = handle.getValueState("memory", "memory string")
+        self.index = handle.getValueState("index", "slots array<bigint>, lists array<int>, firsts array<bigint>")
+        self.waiting = handle.getMapState("waiting", "slot bigint, list int", self.kinds["rows"])
+        self.memory = handle.getValueState("memory", self.kinds["memory"])
+        self.queue = handle.getMapState("queue", "n bigint", self.kinds["queued"])
 
     def _call_at(self, us: int) -> None:
         self.handle.registerTimer(us // 1000 + 1)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for pdf in rows:
-            # What is missing is None, as in a table; pandas would make it a number that is none.
-            records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
-            self.waiting.appendList([(json.dumps(r, default=_plain),) for r in records])
-            low = int(pdf[_US].min())
-            first = low if first is None else min(first, low)
-        if first is not None:
-            self._call_at(first)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [json.loads(r[0]) for r in self.waiting.get()] if self.waiting.exists() else []
-        due = sorted((r for r in held if r[_US] < watermark), key=lambda r: [(r[c] is not None, r[c]) for c in self.order])
-        rest = [r for r in held if r[_US] >= watermark]
-        if due:
-            self.waiting.clear()
+    def _slots(self) -> dict[int, tuple[int, int]]:
+        """For each slot that rows wait in: its number of lists and its first row's time."""
+        if not self.index.exists():
+            return {}
+        return {s: (n, first) for s, n, first in zip(*self.index.get())}
+
+    def _keep(self, slots: dict[int, tuple[int, int]]) -> None:
+        if slots:
+            self.index.update(([*slots], [n for n, _ in slots.values()], [first for _, first in slots.values()]))
+        else:
+            self.index.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new: dict[int, list] = {}
+        for r in rows:
+            new.setdefault(r[_US] // self.slot, []).append(_plain([r[c] for c in self.row.names]))
+        if not new:
+            return
+        slots, at = self._slots(), self.row.names.index(_US)
+        for slot, values in new.items():
+            first = min(v[at] for v in values)
+            lists, earlier = slots.get(slot, (0, first))
+            self.waiting.updateValue((slot, lists), (values,))
+            slots[slot] = lists + 1, min(first, earlier)
+        self._keep(dict(sorted(slots.items())))
+        self._call_at(min(first for _, first in slots.values()))
+        yield from ()
+
+    def _due(self, watermark: int) -> list[dict]:
+        """The rows that the watermark has passed, in order; they leave the state."""
+        slots, due = self._slots(), []
+        reached = [slot for slot, (_, first) in slots.items() if first < watermark]
+        for slot in reached:
+            rows = []
+            for i in range(slots[slot][0]):
+                rows += [dict(zip(self.row.names, r)) for r in self.waiting.getValue((slot, i))[0]]
+                self.waiting.removeKey((slot, i))
+            due += sorted((r for r in rows if r[_US] < watermark), key=lambda r: [_rank(r[c]) for c in self.order])
+            rest = [r for r in rows if r[_US] >= watermark]
             if rest:
-                self.waiting.put([(json.dumps(r),) for r in rest])
-                self._call_at(min(r[_US] for r in rest))
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {}
-        memory, results, wake = self.step(memory, due, watermark)
-        self.memory.update((json.dumps(memory),))
+                self.waiting.updateValue((slot, 0), ([_plain(list(r.values())) for r in rest],))
+                slots[slot] = 1, min(r[_US] for r in rest)
+            else:
+                del slots[slot]
+        if reached:
+            self._keep(slots)
+            if slots:
+                self._call_at(min(first for _, first in slots.values()))
+        return due
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        due = self._due(watermark)
+        memory = dict(zip(self.fields, self.memory.get())) if self.memory.exists() else {}
+        results, wake = self.step(memory, due, watermark, Queue(self.queue, memory))
+        self.memory.update(tuple(_plain(memory.get(f)) for f in self.fields))
         if wake is not None:
             self._call_at(wake)
-        found = pd.DataFrame(results, columns=[c for c in self.out if c not in self.keys])
-        for name, value in zip(self.keys, key):
-            found.insert(0, name, value)
-        for name in self.times:
-            found[name] = pd.to_datetime(found[name], unit="us", utc=True)
-        yield found[self.out]
+        for found in results:
+            found |= dict(zip(self.keys, key))
+            for name in self.times:
+                found[name] = None if found[name] is None else _EPOCH + dt.timedelta(microseconds=found[name])
+            yield Row(**{c: found.get(c) for c in self.out})
 
     def close(self) -> None:
         pass
 
 
 def _plain(value):
-    return value.item() if hasattr(value, "item") else str(value)
+    """Structs as lists, as state takes them."""
+    return [_plain(v) for v in value] if isinstance(value, (list, tuple)) else value
+
+
+def _rank(value):
+    """Sorts as a table does: what is missing first, what is no number last, structs field by field."""
+    if value is None:
+        return 0, 0
+    if isinstance(value, (list, tuple)):
+        return 1, [_rank(v) for v in value]
+    return (2, 0) if value != value else (1, value)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Columns as state takes them: timestamps as microseconds, maps as their entries."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    changed = {n: F.unix_micros(n) for n, k in kinds.items() if isinstance(k, T.TimestampType)}
+    changed |= {n: F.map_entries(n) for n, k in kinds.items() if isinstance(k, T.MapType)}
+    return df.withColumns(changed)
+
+
+def _restored(found: DataFrame, like: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
+    kinds = {f.name: f.dataType for f in like.schema if f.name in found.columns and f.name not in skip}
+    changed = {n: F.timestamp_micros(n) for n, k in kinds.items() if isinstance(k, T.TimestampType)}
+    changed |= {n: F.map_from_entries(n) for n, k in kinds.items() if isinstance(k, T.MapType)}
+    return found.withColumns(changed)
 
 
 def _in_order(
     df: DataFrame,
     keys: Sequence[str],
-    ts: str,
     order: Sequence[str],
     step: Step,
     out: dict[str, T.DataType | str],
+    memory: str = "",
+    queued: str = "bigint",
+    rows: bool = False,
     event_time: str | None = None,
+    **more: Column,
 ) -> DataFrame:
-    """Run ``step`` per key; times are microseconds inside and in columns that ``out`` types as ``us``.
+    """Run ``step`` per key on the columns of ``df`` and ``more``; ``order`` begins with the event time.
 
-    ``event_time`` names the result's event time, which later windows and joins then go by.
+    ``out`` names the result's columns behind the keys, and with ``rows`` behind those of ``df``. Times are
+    microseconds inside, and in columns that ``out`` types as ``us``. ``event_time`` names the result's event
+    time, which later windows and joins then go by.
     """
-    names = [*keys, *out]
+    ts, keys = order[0], list(keys)
     kinds = {"us": "bigint", "time": "timestamp"}
-    inner = T.StructType(
-        [df.schema[k] for k in keys] + [T.StructType.fromDDL(f"`{n}` {kinds.get(t, t)}")[0] for n, t in out.items()]
-    )
+    stored = _stored(df).select(*[c for c in df.columns if c not in keys])
+    marked = df.withColumns({**more, _US: F.unix_micros(ts)})
+    row = T.StructType([*stored.schema.fields, *[marked.schema[n] for n in (*more, _US)]])
+    row = T.StructType([T.StructField(f.name, f.dataType) for f in row])
+    # The event time stays beside the row for the watermark; the step reads microseconds.
+    inner = marked.select(*keys, F.col(ts).alias("event_ts"), *[_stored_column(marked, n).alias(n) for n in row.names])
+    head = [marked.schema[k] for k in keys]
+    whole = [T.StructField(f.name, f.dataType if f.name != event_time else T.TimestampType()) for f in stored.schema] if rows else []
+    given = [T.StructType.fromDDL(f"`{n}` {kinds.get(t, t)}")[0] for n, t in out.items()]
+    schema = T.StructType([*head, *whole, *given])
+    times = [n for n, t in out.items() if t == "time"] + ([event_time] if rows and event_time else [])
     by_time = [_US if c == ts else c for c in order]
-    # The event time stays in the row for the watermark; the step reads microseconds.
-    rows = df.withColumn(_US, F.unix_micros(ts))
-    found = rows.groupBy(*keys).transformWithStateInPandas(
-        InOrder(step, list(keys), by_time, names, [n for n, t in out.items() if t == "time"]),
-        inner,
-        "Append",
-        "EventTime",
-        eventTimeColumnName=event_time or "",
-    )
-    return found.withColumns({n: F.timestamp_micros(n) for n, t in out.items() if t == "us"})
+    processor = InOrder(step, row, memory, queued, by_time, schema.names, times, keys, micros(SLOT))
+    found = inner.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime", eventTimeColumnName=event_time or "")
+    found = found.withColumns({n: F.timestamp_micros(n) for n, t in out.items() if t == "us"})
+    return _restored(found, df, [*out, *times]) if rows else found
 
 
-def _slim(df: DataFrame, keys: Sequence[str], order: Sequence[str], **columns: Column) -> DataFrame:
-    return df.select(*keys, *[c for c in order if c not in keys], *[c.alias(n) for n, c in columns.items()])
+def _stored_column(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    return F.map_entries(name) if isinstance(kind, T.MapType) else F.col(name)
 
 
 def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, val: str) -> DataFrame:
     """Each row with the count and average of its value and the ``n`` before it."""
 
-    def step(memory, rows, watermark):
-        last, found = memory.get("last", []), []
+    def step(memory, rows, watermark, queue):
+        found = []
         for r in rows:
-            last = [*last, r["v"]][-(n + 1) :]
+            last = memory["last"] = [*(memory.get("last") or []), r["v"]][-(n + 1) :]
             there = [v for v in last if v is not None]
-            found.append({**_time(r, order), "count": len(last), "avg": sum(there) / len(there) if there else None})
-        return {"last": last}, found, None
+            found.append({**r, "count": len(last), "avg": sum(there) / len(there) if there else None})
+        return found, None
 
-    out = {**_order_types(df, order), "count": "bigint", "avg": "double"}
-    return _in_order(_slim(df, keys, order, v=F.col(val)), keys, order[0], order, step, out)
+    out = {"count": "bigint", "avg": "double"}
+    return _in_order(df, keys, order, step, out, "last array<double>", rows=True, v=F.col(val).cast("double"))
 
 
 def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, kind: str) -> DataFrame:
     """Each row with the running ``sum``, ``min`` or ``max`` of its key."""
     fold = {"sum": lambda a, b: a + b, "min": min, "max": max}[kind]
+    type_of = df.schema[val].dataType.simpleString()
 
-    def step(memory, rows, watermark):
+    def step(memory, rows, watermark, queue):
         found = []
         for r in rows:
             if r["v"] is not None:
-                memory["v"] = fold(memory["v"], r["v"]) if "v" in memory else r["v"]
-            found.append({**_time(r, order), kind: memory.get("v")})
-        return memory, found, None
+                memory["v"] = r["v"] if memory.get("v") is None else fold(memory["v"], r["v"])
+            found.append({**r, kind: memory.get("v")})
+        return found, None
 
-    out = {**_order_types(df, order), kind: df.schema[val].dataType.simpleString()}
-    return _in_order(_slim(df, keys, order, v=F.col(val)), keys, order[0], order, step, out)
+    return _in_order(df, keys, order, step, {kind: type_of}, f"v {type_of}", rows=True, v=F.col(val))
 
 
 def jump_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, threshold: float) -> DataFrame:
     """Rows whose value is more than ``threshold`` away from the key's previous one."""
+    type_of = df.schema[val].dataType.simpleString()
 
-    def step(memory, rows, watermark):
+    def step(memory, rows, watermark, queue):
         found = []
         for r in rows:
-            if memory.get("last") is not None and r["v"] is not None and abs(r["v"] - memory["last"]) > threshold:
-                found.append({**_time(r, order), val: r["v"], "previous": memory["last"]})
-            memory["last"] = r["v"]
-        return memory, found, None
+            last, memory["last"] = memory.get("last"), r["v"]
+            if last is not None and r["v"] is not None and abs(r["v"] - last) > threshold:
+                found.append({**r, "previous": last})
+        return found, None
 
-    out = {**_order_types(df, order), val: "double", "previous": "double"}
-    return _in_order(_slim(df, keys, order, v=F.col(val)), keys, order[0], order, step, out)
+    return _in_order(df, keys, order, step, {"previous": type_of}, f"last {type_of}", rows=True, v=F.col(val))
 
 
 def rise_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: str, span: str) -> DataFrame:
     """Alerts when a key's value has not fallen for ``span`` since it rose; the timer fires by itself."""
     us = micros(span)
+    type_of = df.schema[val].dataType.simpleString()
 
-    def step(memory, rows, watermark):
+    def step(memory, rows, watermark, queue):
         found = []
 
         def fire(before):
@@ -185,48 +299,54 @@ def rise_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], val: st
             memory["last"] = value
         fire(watermark)
         armed = memory.get("armed")
-        return memory, found, None if armed is None else armed + us
+        return found, None if armed is None else armed + us
 
     out = {"start_ts": "us", "alert_ts": "us"}
-    return _in_order(_slim(df, keys, order, v=F.col(val)), keys, order[0], order, step, out)
+    slim = df.select(*keys, *dict.fromkeys(c for c in (*order, val) if c not in keys))
+    return _in_order(slim, keys, order, step, out, f"armed bigint, last {type_of}", v=F.col(val))
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], lts: str, rts: str, tolerance: str) -> DataFrame:
-    """Match rows of two streams one to one; see ``joins.reconcile``. Rows of equal time go by their JSON."""
+    """Match rows of two streams one to one; see ``joins.reconcile``. Open rows are a queue, an entry each."""
     reach = micros(tolerance)
     l_cols, r_cols = ([c for c in df.columns if c not in keys] for df in (left, right))
-    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-    both = [
-        df.select(*keys, F.col(ts).alias("ts"), F.lit(side).alias("side"), F.to_json(F.struct(*cols), exact).alias("row"))
-        for df, ts, side, cols in ((left, lts, 0, l_cols), (right, rts, 1, r_cols))
-    ]
+    sides = [_stored(df).select(F.struct(*cols).alias("x")).schema["x"].dataType for df, cols in ((left, l_cols), (right, r_cols))]
 
-    def step(memory, rows, watermark):
-        waiting, found = memory.get("open", []), []
+    def side(df, ts, number, cols):
+        own = F.struct(*[_stored_column(df, c).alias(c) for c in cols])
+        rows = [own if i == number else F.lit(None).cast(kind) for i, kind in enumerate(sides)]
+        return df.select(*keys, F.col(ts).alias("ts"), F.lit(number).alias("side"), rows[0].alias("l"), rows[1].alias("r"))
 
-        def alone(row):
-            found.append({"l": None if row[1] else row[2], "r": row[2] if row[1] else None, "status": ("left_only", "right_only")[row[1]]})
+    def step(memory, rows, watermark, queue):
+        found = []
 
         def expire(before):
-            while waiting and waiting[0][0] + reach < before:
-                alone(waiting.pop(0))
+            while queue and queue.first()["at"] + reach < before:
+                row = queue.pop()
+                found.append({"l": row["l"], "r": row["r"], "status": ("left_only", "right_only")[row["side"]]})
 
         for r in rows:
             expire(r[_US])
-            if waiting and waiting[0][1] != r["side"]:
-                partner = waiting.pop(0)[2]
-                l, r_ = (partner, r["row"]) if r["side"] else (r["row"], partner)
+            if queue and queue.first()["side"] != r["side"]:
+                partner = queue.pop()
+                l, r_ = (partner["l"], r["r"]) if r["side"] else (r["l"], partner["r"])
                 found.append({"l": l, "r": r_, "status": "matched"})
             else:
-                waiting.append([r[_US], int(r["side"]), r["row"]])
+                queue.push([r[_US], r["side"], r["l"], r["r"]])
         expire(watermark)
-        return {"open": waiting}, found, waiting[0][0] + reach if waiting else None
+        return found, queue.first()["at"] + reach if queue else None
 
-    out = {"l": "string", "r": "string", "status": "string"}
-    found = _in_order(both[0].union(both[1]), keys, "ts", ["ts", "side", "row"], step, out)
-    kinds = [df.select(*cols).schema for df, cols in ((left, l_cols), (right, r_cols))]
-    parsed = found.withColumns({c: F.from_json(c, kind, exact) for c, kind in zip("lr", kinds)})
-    return parsed.select(*keys, *[F.col("l")[c].alias(c) for c in l_cols], *[F.col("r")[c].alias(c) for c in r_cols], "status")
+    l_type, r_type = (kind.simpleString() for kind in sides)
+    both = side(left, lts, 0, l_cols).unionByName(side(right, rts, 1, r_cols))
+    out = {"l": l_type, "r": r_type, "status": "string"}
+    found = _in_order(both, keys, ["ts", "side", "l", "r"], step, out, queued=f"struct<at: bigint, side: int, l: {l_type}, r: {r_type}>")
+    flat = []
+    for name, df, cols in (("l", left, l_cols), ("r", right, r_cols)):
+        for c in cols:
+            kind, value = df.schema[c].dataType, F.col(name)[c]
+            value = F.timestamp_micros(value) if isinstance(kind, T.TimestampType) else value
+            flat.append((F.map_from_entries(value) if isinstance(kind, T.MapType) else value).alias(c))
+    return found.select(*keys, *flat, "status")
 
 
 def burst_alert(
@@ -235,29 +355,31 @@ def burst_alert(
     """Windows of ``span`` from a failure on, with at least ``n`` failures and no success."""
     us = micros(span)
 
-    def step(memory, rows, watermark):
+    def step(memory, rows, watermark, queue):
         found = []
 
         def close(before):
-            if memory and memory["start"] + us < before:
+            start = memory.get("start")
+            if start is not None and start + us < before:
                 if memory["n"] >= n:
-                    found.append({"start_ts": memory["start"], "n_fails": memory["n"]})
-                memory.clear()
+                    found.append({"start_ts": start, "n_fails": memory["n"]})
+                memory["start"] = None
 
         for r in rows:
             close(r[_US])
             if not r["fail"]:
-                memory.clear()
-            elif memory:
+                memory["start"] = None
+            elif memory.get("start") is not None:
                 memory["n"] += 1
             else:
                 memory.update(start=r[_US], n=1)
         close(watermark)
-        return memory, found, memory["start"] + us if memory else None
+        start = memory.get("start")
+        return found, None if start is None else start + us
 
     out = {"start_ts": "us", "n_fails": "bigint"}
-    rows = _slim(df, keys, order, fail=F.coalesce(is_fail, F.lit(False)))
-    return _in_order(rows, keys, order[0], order, step, out)
+    marked = _flagged(df, keys, order, {"fail": is_fail})
+    return _in_order(marked, keys, order, step, out, "start bigint, n bigint")
 
 
 def strict_sequence(
@@ -266,76 +388,67 @@ def strict_sequence(
     """First and last time of consecutive rows that meet the steps in turn within the span."""
     us, count = micros(within), len(steps)
 
-    def step(memory, rows, watermark):
-        last, found = memory.get("last", []), []
+    def step(memory, rows, watermark, queue):
+        found = []
         for r in rows:
-            last = [*last, [r[_US], [r[f"s{i}"] for i in range(count)]]][-count:]
+            last = [*(memory.get("last") or []), [r[_US], [r[f"s{i}"] for i in range(count)]]][-count:]
+            memory["last"] = last
             met = len(last) == count and all(flags[i] for i, (_, flags) in enumerate(last))
             if met and r[_US] < last[0][0] + us:
                 found.append({"start_ts": last[0][0], "end_ts": r[_US]})
-        return {"last": last}, found, None
+        return found, None
 
-    flags = {f"s{i}": F.coalesce(s, F.lit(False)) for i, s in enumerate(steps)}
     out = {"start_ts": "us", "end_ts": "us"}
-    return _in_order(_slim(df, keys, order, **flags), keys, order[0], order, step, out)
+    marked = _flagged(df, keys, order, {f"s{i}": s for i, s in enumerate(steps)})
+    return _in_order(marked, keys, order, step, out, "last array<struct<at: bigint, met: array<boolean>>>")
 
 
 def followed_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, then: Column, within: str
 ) -> DataFrame:
-    """Each ``first`` row's time with that of the next ``then`` row, null after a timeout."""
+    """Each ``first`` row's time with that of the next ``then`` row, null after a timeout. Open times are a queue."""
     us = micros(within)
 
-    def step(memory, rows, watermark):
-        open_, found = memory.get("open", []), []
-
-        def settle(start, end):
-            found.append({"first_ts": start, "then_ts": end})
-
+    def step(memory, rows, watermark, queue):
+        found = []
         for r in rows:
             if r["b"]:
-                for start in open_:
-                    settle(start, r[_US] if r[_US] < start + us else None)
-                open_ = []
+                while queue:
+                    start = queue.pop()
+                    found.append({"first_ts": start, "then_ts": r[_US] if r[_US] < start + us else None})
             if r["a"]:
-                open_.append(r[_US])
-        for start in open_:
-            if start + us < watermark:
-                settle(start, None)
-        open_ = [start for start in open_ if start + us >= watermark]
-        return {"open": open_}, found, open_[0] + us if open_ else None
-
-    flags = {"a": F.coalesce(first, F.lit(False)), "b": F.coalesce(then, F.lit(False))}
+                queue.push(r[_US])
+        while queue and queue.first() + us < watermark:
+            found.append({"first_ts": queue.pop(), "then_ts": None})
+        return found, queue.first() + us if queue else None
+
     out = {"first_ts": "us", "then_ts": "us"}
-    rows = _slim(df, keys, order, **flags).filter(F.col("a") | F.col("b"))
-    return _in_order(rows, keys, order[0], order, step, out)
+    marked = _flagged(df, keys, order, {"a": first, "b": then})
+    return _in_order(marked.filter(F.col("a") | F.col("b")), keys, order, step, out)
 
 
 def daily_cap(df: DataFrame, keys: Sequence[str], order: Sequence[str], cap: int) -> DataFrame:
-    """Rows up to the cap per key and day with ``alert`` false, and the one that broke it with true.
+    """Whole rows up to the cap per key and day with ``alert`` false, and the one that broke it with true.
 
     The rows keep their event time, so that windows can follow.
     """
     day_us = micros("1 day")
 
-    def step(memory, rows, watermark):
+    def step(memory, rows, watermark, queue):
         found = []
         for r in rows:
             day = r[_US] // day_us
             if memory.get("day") != day:
-                memory = {"day": day, "n": 0}
+                memory.update(day=day, n=0)
             memory["n"] += 1
             if memory["n"] <= cap + 1:
-                found.append({**_time(r, order), "alert": memory["n"] > cap})
-        return memory, found, None
-
-    out = {**_order_types(df, order), order[0]: "time", "alert": "boolean"}
-    return _in_order(_slim(df, keys, order), keys, order[0], order, step, out, event_time=order[0])
-
+                found.append({**r, "alert": memory["n"] > cap})
+        return found, None
 
-def _order_types(df: DataFrame, order: Sequence[str]) -> dict[str, str]:
-    return {order[0]: "us", **{c: df.schema[c].dataType.simpleString() for c in order[1:]}}
+    return _in_order(df, keys, order, step, {"alert": "boolean"}, "day bigint, n bigint", rows=True, event_time=order[0])
 
 
-def _time(row: dict, order: Sequence[str]) -> dict:
-    return {order[0]: row[_US], **{c: row[c] for c in order[1:]}}
+def _flagged(df: DataFrame, keys: Sequence[str], order: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """Keys, order and flags only; a condition that is not known is not met."""
+    told = {n: F.coalesce(c, F.lit(False)) for n, c in flags.items()}
+    return df.select(*keys, *[c for c in order if c not in keys], *[c.alias(n) for n, c in told.items()])
