@@ -26,7 +26,9 @@ from clickloom.llm.repeats import by_bucket
 from clickloom.llm.shared import buckets_for, staged
 
 #: Tile entries that a task gathers before it sends them on.
-GATHER = 600_000
+GATHER = 300_000
+#: Bytes of text in one step: a word becomes a tile in each of two or three bands.
+STEP_BYTES = 1 << 20
 #: Sets of either side that meet in one task; larger groups are cut into blocks.
 BLOCK = 512
 #: Bits of the bitmap of documents whose texts are read again (2 MiB).
@@ -177,7 +179,7 @@ def _send(words: int, percent: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for batch in batches:
-            for part in A.slices(batch, "text"):
+            for part in A.slices(batch, "text", STEP_BYTES):
                 docs = np.asarray(part.column("doc"))
                 text, key = shingles(A.texts_of(part.column("text")), words)
                 edges = A.group_edges(text)
@@ -207,6 +209,7 @@ def _send(words: int, percent: int, buckets: int):
 
 def _members(table: pa.Table) -> pa.Table:
     """Documents of the tiles of a bucket that have two or more; what is known of documents passes."""
+    A.trim()
     kinds = np.asarray(table.column("kind"))
     passing = table.filter(pa.array((kinds == 1) | (kinds == 3)))
     none_yet = (np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, np.uint64))
@@ -231,7 +234,7 @@ def _members(table: pa.Table) -> pa.Table:
 def _sets(words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in A.slices(batch, "text"):
+            for part in A.slices(batch, "text", STEP_BYTES):
                 text, key = shingles(A.texts_of(part.column("text")), words)
                 edges = A.group_edges(text)
                 own = [key[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -276,6 +279,7 @@ def _compare_block(percent: int):
     """
 
     def compare(table: pa.Table) -> pa.Table:
+        A.trim()
         table = table.combine_chunks()
         docs, parts, apart = (table.column(c).to_pylist() for c in ("doc", "component", "apart"))
         sets, bits = (_numbers(table.column(c)) for c in ("shingles", "bits"))
@@ -361,7 +365,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("percent must be from 50 to 100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     named = texts.filter("doc IS NOT NULL")
-    buckets = buckets_for(named, "text")
+    buckets = 2 * buckets_for(named, "text")  # tiles take more room than the texts they come from
     sent = named.mapInArrow(_send(words, percent, buckets), _SENT)
     first = staged(sent.groupBy("bucket").applyInArrow(_members, _MET), "kind")
     stats = first.filter("kind = 1").select("doc", "n", "d1", "d2")

@@ -237,7 +237,7 @@ def _count(longest: int):
                 for n in range(1, longest + 1):
                     for gram in ngrams(word, n):
                         counts[n, gram, lang] += times
-                if len(counts) > 500_000:
+                if len(counts) > 100_000:
                     yield flush(counts)
                     counts.clear()
             if counts:
@@ -248,7 +248,7 @@ def _count(longest: int):
             for part in A.slices(batch, "text", STEP_BYTES):
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
                     words.update((word, lang) for word in words_in(text or ""))
-                if len(words) > 200_000:
+                if len(words) > 50_000:
                     yield from told()
         yield from told()
 

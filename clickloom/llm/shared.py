@@ -19,6 +19,8 @@ BUCKET_BYTES = 64 << 20
 
 #: Rows of a batch that goes to a Python worker: texts may be long, and a batch is held on both sides.
 BATCH_ROWS = 2_000
+#: Bytes that a writer holds before they go to its file; a task may have several writers.
+ROW_GROUP_BYTES = 16 << 20
 
 _made: list[str] = []
 _resident: list[tuple[Any, Any]] = []
@@ -101,7 +103,7 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark)
     with written_in_steps(spark):
-        writer = df.write.option("compression", "zstd")
+        writer = df.write.option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP_BYTES))
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     read = spark.read.schema(df.schema) if not partition_by else spark.read.schema(_moved_last(df, partition_by))
     return read.parquet(path)
