@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that the numpy steps take at a time; a longer text is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _PAD = 16
 
 U = np.uint64

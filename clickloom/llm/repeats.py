@@ -28,7 +28,7 @@ from clickloom.llm import arrays as A
 from clickloom.llm.shared import buckets_for, staged
 
 #: Anchors that a task gathers before it sends them on.
-GATHER = 600_000
+GATHER = 300_000
 
 #: Numbers for rows without an id, the largest that there are. Ids as large count as missing.
 NAMELESS = 1 << 20

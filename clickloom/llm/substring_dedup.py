@@ -23,7 +23,7 @@ _NO_ID = 2**63 - NAMELESS
 @dataclass(frozen=True)
 class FixedBlocks:
     window: int = 50
-    slice_bytes: int = 2 << 20
+    slice_bytes: int = 1 << 20
     gather: int = 500_000
 
     @property

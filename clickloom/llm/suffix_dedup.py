@@ -126,7 +126,7 @@ class SuffixAnchors:
     length: int = 200
     gram: int = 64
     shallow: int = 96
-    slice_bytes: int = 2 << 20
+    slice_bytes: int = 1 << 19  # a byte takes some eight numbers on the way
     gather: int = 40_000
     whole_characters: bool = False
 
