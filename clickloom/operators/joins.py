@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from clickloom.operators.ordered import HOT_ROWS, Ordered
+from clickloom.operators.matching import in_pieces, match_in_pieces, open_at_start
 from clickloom.times import interval, micros, position
 
 #: Bytes of a table that may be broadcast, as Spark keeps rows: eight for a number and more for texts.
@@ -156,20 +153,22 @@ def reconcile(
     lts: str,
     rts: str,
     tolerance: str,
-    max_rows: int | None = HOT_ROWS,
+    reaches: int | None = None,
 ) -> DataFrame:
     """Match rows one to one: each is used up by its first partner within ``tolerance``.
 
     The rows of both sides of a key are taken in time order, at equal times left ones first, then by
     their other columns. A row meets the earliest open row of the other side that is no further back
     than the tolerance, or stays open itself. ``status`` is ``matched``, ``left_only`` or ``right_only``;
-    columns of a missing partner are null. A row without a time meets nobody. ``interval_join`` gives
-    all pairs; ``streaming.stateful.reconcile`` is the form for streams.
+    columns of a missing partner are null. A row without a time meets nobody, null keys are a key of their
+    own. ``interval_join`` gives all pairs; ``streaming.stateful.reconcile`` is the form for streams.
 
-    Where nothing happens for longer than the tolerance all open rows have expired, so a key falls into
-    stretches that do not depend on each other, and a stretch is a task's smallest unit.
+    A key is cut into pieces of time, ``reaches`` tolerances long (64 unless given, 3 at least), which are
+    matched by themselves (see ``operators.matching``). So a key spreads over tasks however long it goes on
+    without a pause; a task's smallest unit is a piece, of which it holds the rows of one tolerance.
     """
     reach = micros(tolerance)
+    width = max(3, reaches or 64) * max(reach, 1)
     l_cols, r_cols = ([c for c in df.columns if c not in keys] for df in (left, right))
     none_l = F.lit(None).cast(left.select(F.struct(*l_cols).alias("x")).schema["x"].dataType)
     none_r = F.lit(None).cast(right.select(F.struct(*r_cols).alias("x")).schema["x"].dataType)
@@ -180,58 +179,19 @@ def reconcile(
             (right, rts, 1, none_l, F.struct(*r_cols)),
         )
     ]
-    order = ["_us", "_side", "_l", "_r"]
-    gap = F.col("_us") - F.col("_last") > reach
-    stretches = (
-        Ordered.of(sides[0].unionByName(sides[1]), keys, order, max_rows)
-        .look_back(1, lambda w: {"_last": F.lag("_us").over(w)})
-        .running({"_stretch": ("sum", F.coalesce(gap, F.lit(True)).cast("long"))})
-        .table()
-        .drop("_last")
+    both = sides[0].unionByName(sides[1])
+    pieces = in_pieces(both.filter(F.col("_us").isNotNull()), width, reach)
+    starts = open_at_start(pieces, keys, reach).withColumn("_side", F.lit(-1))
+    ordered = (
+        pieces.unionByName(starts, allowMissingColumns=True)
+        .repartition(*keys, "_piece")
+        .sortWithinPartitions(*keys, "_piece", F.col("_us").asc_nulls_first(), "_side", "_l", "_r")
+    )
+    out = T.StructType([T.StructField(c, both.schema[c].dataType) for c in (*keys, "_l", "_r")]).add("status", T.StringType())
+    matched = ordered.mapInArrow(match_in_pieces(list(keys), reach), out)
+    untimed = both.filter(F.col("_us").isNull()).select(
+        *keys, "_l", "_r", F.when(F.col("_side") == 0, "left_only").otherwise("right_only").alias("status")
+    )
+    return matched.unionByName(untimed).select(
+        *keys, *[F.col("_l")[c].alias(c) for c in l_cols], *[F.col("_r")[c].alias(c) for c in r_cols], "status"
     )
-    ordered = stretches.repartition(*keys, "_stretch").sortWithinPartitions(*keys, "_stretch", *order)
-    out = T.StructType([*[ordered.schema[k] for k in keys], ordered.schema["_l"], ordered.schema["_r"], T.StructField("status", T.StringType())])
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in out])
-    matched = ordered.select(*keys, *order, "_stretch").mapInArrow(_match(list(keys), reach, to_arrow_schema(out)), out)
-    return matched.select(*keys, *[F.col("_l")[c].alias(c) for c in l_cols], *[F.col("_r")[c].alias(c) for c in r_cols], "status")
-
-
-def _match(keys: list[str], reach: int, schema: pa.Schema):
-    only = ("left_only", "right_only")
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: deque = deque()  # (time, side, row) of the present stretch, all of one side
-        stretch, done = None, []
-
-        def alone(row: tuple) -> None:
-            _, side, values = row
-            done.append((*stretch[:-1], None if side else values, values if side else None, only[side]))
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                here = (*(row[k] for k in keys), row["_stretch"])
-                if here != stretch:
-                    while waiting:
-                        alone(waiting.popleft())
-                    stretch = here
-                us, side = row["_us"], row["_side"]
-                own = (us, side, row["_r"] if side else row["_l"])
-                if us is None:
-                    alone(own)
-                    continue
-                while waiting and waiting[0][0] < us - reach:
-                    alone(waiting.popleft())
-                if waiting and waiting[0][1] != side:
-                    partner = waiting.popleft()[2]
-                    done.append((*stretch[:-1], *((partner, own[2]) if side else (own[2], partner)), "matched"))
-                else:
-                    waiting.append(own)
-            if done:
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in done], schema=schema)
-                done.clear()
-        while waiting:
-            alone(waiting.popleft())
-        if done:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in done], schema=schema)
-
-    return match
