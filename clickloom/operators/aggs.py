@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.functions.hashing import poly_hash
+from clickloom.times import micros
 
 
 def word_count(words: DataFrame, word: str = "word") -> DataFrame:
@@ -91,6 +93,29 @@ def approx_distinct(df: DataFrame, keys: Sequence[str], col: str, rsd: float = 0
     return df.groupBy(*keys).agg(F.approx_count_distinct(col, rsd).alias(name))
 
 
+def sketch_panes(df: DataFrame, ts: str, size: str, every: str, col: str, keys: Sequence[str] = (), lg: int = 12) -> DataFrame:
+    """A sketch of the distinct values of each pane of a sliding window and key, of at most 2^lg bytes.
+
+    A pane is as long as the greatest length that divides both ``size`` and ``every``. Sketches of the same
+    pane from several batches may stand side by side, also a replayed batch's: a union counts a value once.
+    Panes of nothing but nulls have an empty sketch; rows without a time are in no pane.
+    """
+    pane = f"{math.gcd(micros(size), micros(every))} microseconds"
+    made = df.groupBy(F.window(ts, pane).alias("_pane"), *keys).agg(F.hll_sketch_agg(col, lg).alias("sketch"))
+    return made.select(F.col("_pane.start").alias("pane_start"), *keys, "sketch")
+
+
+def distinct_of_panes(panes: DataFrame, size: str, every: str, keys: Sequence[str] = (), name: str = "distinct") -> DataFrame:
+    """The distinct values of each sliding window over ``sketch_panes``, off by 1.04 / 2^(lg/2) in one deviation.
+
+    Panes are united first, so that what is copied into the windows that cover it is one sketch a pane and key.
+    """
+    united = panes.groupBy("pane_start", *keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+    windows = united.groupBy(F.window("pane_start", size, every).alias("_w"), *keys)
+    counted = windows.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+    return counted.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *keys, name)
+
+
 def with_metrics(df: DataFrame, name: str = "metrics", **aggs: Column) -> tuple[DataFrame, Observation]:
     """Count on the side: the observation holds the values after the first action on the table."""
     seen = Observation(name)

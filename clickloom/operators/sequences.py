@@ -52,11 +52,11 @@ def rise_alert(
     one beside a missing value is neither rise nor fall.
     """
     rest = [c for c in order if c not in keys]
-    seen = Ordered.of(df.select(*keys, *rest, val), keys, order, max_rows)
-    seen = seen.look_back(1, lambda w: {"_prev": F.lag(val).over(w)}).table()
+    ordered = Ordered.of(df.select(*keys, *rest, val), keys, order, max_rows)
+    seen = ordered.look_back(1, lambda w: {"_prev": F.lag(val).over(w)}).table()
     moved = seen.filter(F.col(val) != F.col("_prev")).select(*keys, *rest, (F.col(val) > F.col("_prev")).alias("_rise"))
-    # A window of rises that no fall clears is a timer that fires.
-    fired = burst_alert(moved, keys, order, F.col("_rise"), 1, span, max_rows)
+    # A window of rises that no fall clears is a timer that fires. Where no key was hot none of its moves is.
+    fired = burst_alert(moved, keys, order, F.col("_rise"), 1, span, max_rows if ordered.split else None)
     return fired.select(*keys, "start_ts", (F.col("start_ts") + interval(micros(span))).alias("alert_ts"))
 
 

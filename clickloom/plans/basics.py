@@ -136,6 +136,26 @@ def retract_changelog(spark: SparkSession, sf: str, until: str = "2024-01-16") -
     return changes.changelog(early.groupBy("user_id").agg(count), seen.groupBy("user_id").agg(count), ["user_id"])
 
 
+def _changes_of_counts(spark: SparkSession, sf: str, until: str = "2024-01-16") -> DataFrame:
+    """The counts per user as a changelog: those before ``until`` added, then what ``retract_changelog`` says."""
+    early = events(spark, sf).filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    first = early.groupBy("user_id").agg(F.count("*").alias("count")).withColumn("added", F.lit(True))
+    every = first.unionByName(retract_changelog(spark, sf, until))
+    return every.withColumn("part", F.col("user_id") % 10)
+
+
+def retract_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and their events by the last digit of the user, from the changes of the counts per user alone."""
+    net = changes.net_rows(_changes_of_counts(spark, sf), ["part", "count"])
+    kinds = ("sum", "avg", "min", "max")
+    return changes.aggregate_net(net, ["part"], {"users": ("count", "*")} | {f"{k}_count": (k, "count") for k in kinds})
+
+
+def retract_top2(spark: SparkSession, sf: str) -> DataFrame:
+    """The two greatest counts per last digit of the user, from the changes of the counts alone."""
+    return changes.top_of_net(changes.net_rows(_changes_of_counts(spark, sf), ["part", "count"]), ["part"], "count", 2)
+
+
 def route_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Which partition each event is sent to."""
     slim = events(spark, sf).select("event_id", "event_type")
@@ -193,7 +213,8 @@ QUERIES = {
     for f in (
         word_count, lateral_split, split_column, scalar_hash, split_routes, side_output, co_map, starts_with,
         distinct_values, adjacent_pairs, broadcast_lookup, keyed_max, keyed_int_avg, two_stage_agg, global_agg,
-        count_by_value, group_count, take_ordered, udaf_avg, top2_flat_agg, retract_changelog, route_partitions,
+        count_by_value, group_count, take_ordered, udaf_avg, top2_flat_agg, retract_changelog, retract_totals,
+        retract_top2, route_partitions,
         delimited_lines, csv_messages, access_log, table_views, documents_json,
     )
 }

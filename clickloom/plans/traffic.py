@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators.aggs import approx_distinct, bitmap_distinct, windowed_distinct
+from clickloom.operators.aggs import approx_distinct, bitmap_distinct, distinct_of_panes, sketch_panes, windowed_distinct
 from clickloom.operators.ordered import over_preceding
 from clickloom.operators.topn import window_top_n
 from clickloom.operators.windows import rolling, slide, tumble
@@ -48,6 +48,20 @@ def uv_approx(spark: SparkSession, sf: str, rsd: float = 0.02) -> DataFrame:
     )
 
 
+def uv_sliding(spark: SparkSession, sf: str, size="1 day", every="1 hour", lg: int = 12) -> DataFrame:
+    """Whether each sliding window's visitors by sketches of its panes are within five deviations of the exact ones."""
+    views = events(spark, sf, "view").select("ts", "user_id")
+    sketched = distinct_of_panes(sketch_panes(views, "ts", size, every, "user_id", lg=lg), size, every, name="uv")
+    in_panes = views.select(F.window("ts", every).alias("p"), "user_id").distinct()
+    in_windows = in_panes.select(F.window("p.start", size, every).alias("w"), "user_id").distinct()
+    exact = in_windows.groupBy("w").agg(F.count("user_id").alias("exact"))
+    exact = exact.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "exact")
+    off, one = F.abs(F.col("uv") - F.col("exact")), 1.04 / 2 ** (lg / 2)
+    return sketched.join(exact, ["window_start", "window_end"]).select(
+        "window_start", "window_end", (off <= F.greatest(5 * one * F.col("exact"), F.lit(1.0))).alias("within_bound")
+    )
+
+
 def marketing_total(spark: SparkSession, sf: str, size="1 hour", every="5 minutes") -> DataFrame:
     """All marketing events of each sliding window."""
     used = events(spark, sf).filter(F.col("event_type") != "error")
@@ -134,7 +148,7 @@ def page_conversion(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        hot_items, hot_urls, pv_hourly, uv_exact, uv_bitmap, uv_approx, marketing_total, marketing_by_channel,
+        hot_items, hot_urls, pv_hourly, uv_exact, uv_bitmap, uv_approx, uv_sliding, marketing_total, marketing_by_channel,
         tumble_min, processing_tumble, slide_count, sql_tumble, sql_hop, recent_clicks, over_rows, page_conversion,
     )
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions.hashing import poly_hash
-from clickloom.operators.changes import changelog
+from clickloom.operators.changes import changelog, net_rows
 from clickloom.operators.joins import broadcast_if_small
 from clickloom.operators.ordered import HOT_ROWS
 from clickloom.operators.rows import exclude_keys
@@ -131,6 +131,19 @@ def keep_changelog(path: str, state: str, keys: Sequence[str]) -> BatchSink:
     return sink
 
 
+def keep_net_rows(path: str, columns: Sequence[str]) -> BatchSink:
+    """Add what each batch of a changelog leaves to a keyed table of ``net_rows``.
+
+    Rows may be taken back in a later batch than they came in, or in an earlier one. ``read_keyed`` and
+    ``aggregate_net`` or ``top_of_net`` give the aggregates after any batch.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        upsert_keyed(net_rows(batch, columns), batch_id, path, columns, "add", compact_every=COMPACT_EVERY)
+
+    return sink
+
+
 def keep_top_n(path: str, part: Sequence[str], order: Sequence[Column], n: int) -> BatchSink:
     """Rank the windows that closed in a batch; in append mode a window's rows all come in one batch."""
     return per_batch(lambda batch: top_n_per_group(batch, part, order, n), path)

@@ -71,6 +71,8 @@ ORACLES = {
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
     "uv_approx": """SELECT DISTINCT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
         time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, true AS within_bound FROM events WHERE event_type = 'view'""",
+    "uv_sliding": f"""SELECT window_start, window_end, true AS within_bound FROM (
+        {_slide("SELECT ts FROM events WHERE event_type = 'view'", 24, "1 HOUR", "", _COUNT)}) t""",
     "uv_bitmap": f"""SELECT {_HOUR}, CAST(count(DISTINCT {_HASH.format(
         text="CAST(user_id AS VARCHAR)", seed=61, mask=(1 << 29) - 1)}) FILTER (user_id IS NOT NULL) AS BIGINT) AS uv
         FROM events WHERE event_type = 'view' GROUP BY ALL""",
@@ -262,6 +264,15 @@ ORACLES = {
         cur AS (SELECT user_id, CAST(count(*) AS BIGINT) AS count FROM events GROUP BY user_id)
         SELECT false AS added, * FROM (SELECT * FROM prev EXCEPT SELECT * FROM cur) a
         UNION ALL SELECT true AS added, * FROM (SELECT * FROM cur EXCEPT SELECT * FROM prev) b""",
+    "retract_totals": """
+        SELECT user_id % 10 AS part, CAST(count(*) AS BIGINT) AS users, CAST(sum(count) AS BIGINT) AS sum_count,
+               avg(count) AS avg_count, min(count) AS min_count, max(count) AS max_count
+        FROM (SELECT user_id, CAST(count(*) AS BIGINT) AS count FROM events GROUP BY user_id) c GROUP BY ALL""",
+    "retract_top2": """
+        SELECT part, count, CAST(rank AS INTEGER) AS rank FROM (
+            SELECT user_id % 10 AS part, CAST(count(*) AS BIGINT) AS count,
+                   row_number() OVER (PARTITION BY user_id % 10 ORDER BY count(*) DESC) AS rank
+            FROM events GROUP BY user_id) c WHERE rank <= 2""",
     "route_partitions": """SELECT event_id, event_type,
         CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS partition FROM events""",
     "delimited_lines": """SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
