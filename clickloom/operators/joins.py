@@ -123,29 +123,32 @@ def interval_join(
     """Join rows of equal keys with ``rts`` in [``lts`` + lo, ``lts`` + hi], both ends included.
 
     Time buckets as wide as the interval become part of the equi key. A right row is written to the
-    at most two buckets whose left rows it can meet, a left row to one, so a hot key spreads over its
-    buckets and only neighbours in time are compared. ``how`` may be inner, left, left_semi or
-    left_anti. On streams, which need a watermark on both sides, only inner joins use buckets; outer
-    ones join on the keys with the range as condition.
+    at most two buckets whose left rows it can meet, a left row to one, so a hot key is spread over its
+    buckets and only neighbours in time are compared. ``how`` may be inner, left, right, left_semi or
+    left_anti. As a left row is in one bucket only, that bucket tells whether it has a partner; for right
+    the sides change places. Streams need a watermark on both sides and go by buckets as well; there a row
+    without a partner comes out once the watermarks have passed its interval, and left_anti is unknown.
     """
+    if how == "right":
+        swapped = interval_join(right, left, keys, rts, lts, _negative(hi), _negative(lo), "left")
+        return swapped.select(*keys, *[c for c in (*left.columns, *right.columns) if c not in keys])
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"interval_join does not support {how!r}")
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = _keys_equal(keys) & _bounds(lts, rts, lo, hi)
-    if left.isStreaming and how != "inner":
-        joined = left.join(renamed, on, how)
-    else:
-        if how not in ("inner", "left", "left_semi", "left_anti"):
-            raise ValueError(f"interval_join does not support {how!r} on tables")
-        width = max(micros(hi) - micros(lo), 1)
-        l_bucket = F.floor(position(left, lts) / width)
-        r_pos = position(renamed, rts)
-        first, last = F.floor((r_pos - micros(hi)) / width), F.floor((r_pos - micros(lo)) / width)
-        spread = renamed.withColumn("_r_bucket", F.explode(F.sequence(first, last)))
-        joined = left.withColumn("_bucket", l_bucket).join(
-            spread, on & (F.col("_bucket") == F.col("_r_bucket")), how
-        )
+    width = max(micros(hi) - micros(lo), 1)
+    l_bucket = F.floor(position(left, lts) / width)
+    r_pos = position(renamed, rts)
+    first, last = F.floor((r_pos - micros(hi)) / width), F.floor((r_pos - micros(lo)) / width)
+    spread = renamed.withColumn("_r_bucket", F.explode(F.sequence(first, last)))
+    joined = left.withColumn("_bucket", l_bucket).join(spread, on & (F.col("_bucket") == F.col("_r_bucket")), how)
     return joined.drop("_bucket", "_r_bucket", *[f"_r_{k}" for k in keys])
 
 
+def _negative(duration: str) -> str:
+    return f"{-micros(duration)} microseconds"
+
+
 def reconcile(
     left: DataFrame,
     right: DataFrame,

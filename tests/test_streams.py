@@ -195,6 +195,17 @@ def test_interval_join(spark, table, folder, finished):
     same(got, joins.interval_join(*_sides(table), *args))
 
 
+@pytest.mark.parametrize("how", ["left", "right", "left_semi"])
+def test_interval_join_with_rows_without_a_partner(spark, table, folder, finished, how):
+    pay, receipt = _stream_sides(spark, table, folder)
+    args = (USER, "pay_ts", "rec_ts", "-1 hour", "2 hours", how)
+    joined = joins.interval_join(pay, receipt, *args)
+    # A hot key is spread: the state is dealt out by key and bucket.
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "_bucket" in plan.split("Join ")[1].splitlines()[0]
+    same(no_flush(finished(joined)), joins.interval_join(*_sides(table), *args))
+
+
 def test_reconcile(spark, table, folder, finished):
     pay, receipt = _stream_sides(spark, table, folder)
     args = (USER, "pay_ts", "rec_ts", "5 hours")
