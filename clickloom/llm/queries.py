@@ -72,8 +72,9 @@ def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", "text")
-    forest = quality.fit(docs, load(spark, sf, "labels"))
-    return quality.judge(docs, forest).select("row.doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+    measured = staged(quality.measure(docs))
+    forest = quality.fit_measured(measured, load(spark, sf, "labels"))
+    return quality.judge_measured(measured, forest).select("row.doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:

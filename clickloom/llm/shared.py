@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Hashable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import Any, TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.arrays import trim
@@ -113,6 +113,31 @@ def _moved_last(df: DataFrame, names: tuple[str, ...]):
     return df.select(*[c for c in df.columns if c not in names], *names).schema
 
 
+def running(df: DataFrame, order: list[str], counts: list[str]) -> DataFrame:
+    """``df`` with ``<c>_upto`` for each of ``counts``, its sum over the rows up to this one in ``order``, which has no ties.
+
+    Rows are sorted in ranges, and a range begins with the sums of those before it, so no task has all rows.
+    """
+    placed = staged(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("part").agg(*[F.sum(c).alias(c) for c in counts])  # one row for each range
+    starts = sums.select("part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in counts])
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = [(F.col(f"{c}_before") + F.sum(c).over(within)).alias(f"{c}_upto") for c in counts]
+    return placed.join(F.broadcast(starts), "part").select(*df.columns, *upto)
+
+
+def at_ranks(totals: DataFrame, count: str, ranks: Iterable[int]) -> dict[int, Row]:
+    """The row of ``running`` totals that holds each of a few ranks, from 1."""
+    ranks = sorted(set(ranks))
+    if not ranks:
+        return {}
+    first = F.col(f"{count}_upto") - F.col(count)
+    some = F.exists(F.array(*[F.lit(r).cast("long") for r in ranks]), lambda r: (r > first) & (r <= F.col(f"{count}_upto")))
+    rows = totals.filter(some).collect()
+    return {r: row for row in rows for r in ranks if row[f"{count}_upto"] - row[count] < r <= row[f"{count}_upto"]}
+
+
 def buckets_for(df: DataFrame, text: str) -> int:
     """How many buckets an exchange over ``df`` needs: by its bytes of text, twice the shuffle partitions at least."""
     spark = df.sparkSession

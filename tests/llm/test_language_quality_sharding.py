@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickloom.llm import arrays as A
 from clickloom.llm import language_id, quality, sharding
 from clickloom.llm.queries import op1_language_id
-from clickloom.llm.shared import shared_folder
+from clickloom.llm.shared import at_ranks, running, shared_folder
 from clickloom.sources.tables import load
 
 from .conftest import CLASHING
@@ -186,6 +186,41 @@ def test_given_labels_held_out(spark, sf_dir):
     assert (~good.kept.astype(bool)).mean() <= 0.05
 
 
+def test_every_label_counts(spark, sf_dir):
+    """Range, trees and threshold are those of all labelled rows, however many more labels there are."""
+    docs, labels = load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "labels").select("doc_id", "quality")
+    more = spark.range(10**7, 10**7 + 40_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    forest = quality.fit(docs, labels.unionByName(more))
+    told = docs.join(labels, "doc_id").toPandas()
+    s = quality.statistics(A.texts_of(told.text.tolist()))
+    passed = ~quality.base_failed(s)
+    rows, good = quality.features(s)[passed], (told.quality > 0).to_numpy()[passed]
+    assert 0 < good.sum() < len(good)
+    brute = quality.Forest.of_good(rows[good])
+    assert np.allclose(forest.middle, brute.middle) and np.allclose(forest.half, brute.half)
+    assert np.allclose(forest.score(rows), brute.score(rows), atol=1e-6)
+    # A good row is scored by what the others make of the trees.
+    trees = quality.Forest.drawn(*np.quantile(rows[good], quality._EDGES, axis=0), int(good.sum()))
+    leaves = trees.leaves(rows[good])
+    scores = brute.score(rows)
+    scores[good] = [trees.settled(leaves, less=1).score(r[None])[0] for r in rows[good]]
+    assert abs(forest.threshold - quality.calibrate(scores, good)) < 1e-6
+    assert leaves.sum() == 100 * good.sum()
+
+
+def test_running_totals(spark):
+    """Sums over ranges and the rows at ranks, against plain sums."""
+    rng = np.random.default_rng(2)
+    rows = [(int(k), float(v), int(n)) for k, v, n in zip(rng.integers(0, 3, 500), rng.permutation(500), rng.integers(1, 9, 500), strict=True)]
+    told = running(spark.createDataFrame(rows, "k long, v double, n long").repartition(7), ["k", "v"], ["n"])
+    in_order = sorted(rows)
+    upto = np.cumsum([r[2] for r in in_order])
+    assert [tuple(r) for r in told.orderBy("k", "v").collect()] == [(*r, u) for r, u in zip(in_order, upto.tolist(), strict=True)]
+    ranks = [1, 2, 900, int(upto[-1])]
+    assert {r: tuple(row)[:3] for r, row in at_ranks(told, "n", ranks).items()} == {r: in_order[int(np.searchsorted(upto, r))] for r in ranks}
+    assert at_ranks(told, "n", []) == {}
+
+
 def test_forest_of_good_rows():
     """Bad rows in a cluster as large as the good, apart by a feature that all good rows share."""
     random = np.random.default_rng(0)
