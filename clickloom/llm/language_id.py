@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 import sys
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,11 +24,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm import arrays as A
-from clickloom.llm.shared import staged
+from clickloom.llm.shared import at_ranks, running, staged
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -36,8 +36,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 WORD_LETTERS = 64
 #: Bytes of text in one step, which bounds a worker's memory.
 STEP_BYTES = 1 << 20
-#: Tasks that count the words of the sample.
+#: Tasks that count the n-grams of the different words.
 _COUNTING = 32
+#: Parts of a language's words and n-grams whose most frequent ones are found by themselves.
+_PARTS = 64
 _EDGES = (ord("^"), ord("$"))
 
 
@@ -219,42 +221,77 @@ def _log_frequency(table: np.ndarray, more: float = 0.5) -> np.ndarray:
     return np.log((table + more) / (table.sum(0) + more * len(table)))
 
 
-def _count(longest: int):
-    """Words (``n`` 0) and n-grams of all words, with their languages and numbers."""
+_COUNTS = "n int, key string, lang string, count long"
 
-    def flush(counts: Counter) -> pa.RecordBatch:
-        kinds, keys, langs = zip(*counts, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.string()), pa.array(langs, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["n", "key", "lang", "count"])
+
+def _flush(counts: Counter) -> pa.RecordBatch:
+    kinds, keys, langs = zip(*counts, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(keys, pa.string()), pa.array(langs, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["n", "key", "lang", "count"])
+
+
+def _count_words(longest: int):
+    """Words (``n`` 0) of all texts with their languages and numbers, of those above ``WORD_LETTERS`` the n-grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        words: dict[str, Counter] = defaultdict(Counter)
 
         def told() -> Iterator[pa.RecordBatch]:
             counts: Counter = Counter()
-            for (word, lang), times in words.items():
-                if len(word) <= WORD_LETTERS:
-                    counts[0, word, lang] += times
-                for n in range(1, longest + 1):
-                    for gram in ngrams(word, n):
-                        counts[n, gram, lang] += times
-                if len(counts) > 100_000:
-                    yield flush(counts)
-                    counts.clear()
+            for lang, of_lang in words.items():
+                for word, times in of_lang.items():
+                    if len(word) <= WORD_LETTERS:
+                        counts[0, word, lang] = times
+                    else:
+                        for n in range(1, longest + 1):
+                            for gram in ngrams(word, n):
+                                counts[n, gram, lang] += times
+                    if len(counts) > 100_000:
+                        yield _flush(counts)
+                        counts.clear()
             if counts:
-                yield flush(counts)
+                yield _flush(counts)
             words.clear()
 
         for batch in batches:
             for part in A.slices(batch, "text", STEP_BYTES):
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
-                    words.update((word, lang) for word in words_in(text or ""))
-                if len(words) > 50_000:
+                    words[lang].update(words_in(text or ""))
+                if sum(map(len, words.values())) > 50_000:
                     yield from told()
         yield from told()
 
     return count
 
 
+def _count_ngrams(longest: int):
+    """N-grams of counted words, with their languages and numbers."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for word, lang, times in zip(*(batch.column(c).to_pylist() for c in ("key", "lang", "count")), strict=True):
+                for n in range(1, longest + 1):
+                    for gram in ngrams(word, n):
+                        counts[n, gram, lang] += times
+                if len(counts) > 100_000:
+                    yield _flush(counts)
+                    counts.clear()
+        if counts:
+            yield _flush(counts)
+
+    return count
+
+
+def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, dict[str, int]]:
+    """``id``, ``text`` and ``lang`` of all labelled documents, and how many there are of each language.
+
+    Rows with a null id or language are none; each of equal rows is one.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.filter("id IS NOT NULL AND lang IS NOT NULL")
+    return rows, {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+
+
 def labelled_sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 10_000
 ) -> tuple[DataFrame, dict[str, int]]:
@@ -263,59 +300,78 @@ def labelled_sample(
     Each language gives as many as any other, or all it has: those of the smallest hashes of id and text.
     Rows with a null id or language are none; equal rows count once in the sample, and each in the numbers.
     """
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    labelled = labelled.filter("id IS NOT NULL AND lang IS NOT NULL").withColumn("h", F.xxhash64("id", "text"))
-    per_language = labelled.groupBy("lang").agg(F.count("*").alias("all"), F.approx_count_distinct("h").alias("different"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.filter("id IS NOT NULL AND lang IS NOT NULL").withColumn("h", F.xxhash64("id", "text"))
+    per_language = rows.groupBy("lang").agg(F.count("*").alias("all"), F.approx_count_distinct("h").alias("different"))
     # A cut in the space of hashes first, so that no language's rows are all sorted.
     share = F.least(F.lit(1.0), 4.0 * max_docs / F.col("different"))
     place = F.pmod("h", F.lit(1 << 40))
-    slim = labelled.select("id", "h", "lang").join(F.broadcast(per_language), "lang").filter(place < (share * (1 << 40)).cast("long"))
+    slim = rows.select("id", "h", "lang").join(F.broadcast(per_language), "lang").filter(place < (share * (1 << 40)).cast("long"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(place, "h", "id"))
     ranked = slim.select("id", "h", "lang", "all").distinct().withColumn("nth", nth).filter(F.col("nth") <= max_docs)
     chosen = ranked.orderBy("nth", "lang").limit(max_docs).select("id", "h", "lang", "all")
-    sample = staged(labelled.join(F.broadcast(chosen), ["id", "h", "lang"]).dropDuplicates(["id", "h", "lang"]))
-    return sample.select("id", "text", "lang"), {r["lang"]: r["all"] for r in sample.select("lang", "all").distinct().collect()}
+    sample = staged(rows.join(F.broadcast(chosen), ["id", "h", "lang"]).dropDuplicates(["id", "h", "lang"]))
+    return sample.select("id", "text", "lang").repartition(_COUNTING), {r["lang"]: r["all"] for r in sample.select("lang", "all").distinct().collect()}
 
 
-def least_evidence(sample: DataFrame, model: Model, part: float = 0.8) -> dict[str, float]:
-    """For each language the evidence that a text needs: ``part`` of what 99 % of its documents in the sample have.
+def least_evidence(told: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", part: float = 0.8) -> dict[str, float]:
+    """For each language the evidence that a text needs: ``part`` of what 99 % of its labelled documents have.
 
-    ``sample`` is what ``labelled_sample`` gives. Documents without a letter, with a null or empty text, do not
-    count. A language without any other, or an empty sample, has no limit.
+    ``told`` is what ``predict`` gives, with evidence, of all documents. Those with a null id or language or without a
+    letter, with a null or empty text, do not count. A language without any other has no limit. Of 1 % of the documents,
+    rounded up, the last one by its evidence tells; it is found among all.
     """
-    told = predict(sample, model, "id", "text", evidence=True)
-    found = told.filter(F.col("lang_pred") != UNKNOWN).groupBy(F.col("row.lang").alias("lang")).agg(F.percentile_approx("evidence", 0.01, 10_000).alias("e"))
-    return {r["lang"]: part * r["e"] for r in found.collect()}
+    lang = F.col(f"row.`{lang_col}`").cast("string").alias("lang")
+    known = told.filter(F.col(f"row.`{id_col}`").isNotNull() & (F.col("lang_pred") != UNKNOWN)).select(lang, "evidence").dropna()
+    counted = staged(known.groupBy("lang", "evidence").agg(F.count("*").alias("n")))
+    documents = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    ranks, before = {}, 0
+    for name in sorted(documents):  # Spark's order too
+        ranks[name] = before - (-documents[name] // 100)
+        before += documents[name]
+    if not ranks:
+        return {}
+    found = at_ranks(running(counted, ["lang", "evidence"], ["n"]), "n", ranks.values())
+    return {name: part * found[rank]["evidence"] for name, rank in ranks.items()}
 
 
 def train(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 10_000, **kept: int
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int | None = None, **kept: int
 ) -> Model:
-    """``fit`` on the sample of at most ``max_docs`` labelled documents, see ``labelled_sample``."""
+    """``fit`` on all labelled documents or, if asked for, on a sample of at most ``max_docs``, see ``labelled_sample``."""
+    if max_docs is None:
+        return fit(*labelled(docs, id_col, text_col, lang_col), **kept)
     return fit(*labelled_sample(docs, id_col, text_col, lang_col, max_docs), **kept)
 
 
-def fit(sample: DataFrame, all_docs: dict[str, int], max_words: int = 30_000, max_ngrams: int = 60_000, longest: int = 4) -> Model:
+def fit(rows: DataFrame, all_docs: dict[str, int], max_words: int = 30_000, max_ngrams: int = 60_000, longest: int = 4) -> Model:
     """Fit a model on labelled documents.
 
-    Words and n-grams of up to ``longest`` characters are counted over the whole sample, n-grams in words of
+    Words and n-grams of up to ``longest`` characters are counted over all ``rows``, n-grams in words of
     any length; words of over ``WORD_LETTERS`` letters are known by their n-grams only. Each language keeps
     its most frequent ones, ``max_words`` and ``max_ngrams`` over all languages, which bounds what is sent
     to the tasks; ties go to the smaller string. ``all_docs`` tells how likely each language is beforehand.
     Null and empty texts teach nothing. Without any row the model answers ``und``.
     """
-    counted = sample.select("text", "lang").repartition(_COUNTING).mapInArrow(_count(longest), "n int, key string, lang string, count long")
-    sums = staged(counted.groupBy("n", "key", "lang").agg(F.sum("count").alias("count")))
+    keys, total = ["n", "key", "lang"], F.sum("count").alias("count")
+    words = staged(rows.select("text", "lang").mapInArrow(_count_words(longest), _COUNTS).groupBy(*keys).agg(total))
+    # Of each different word once, by its number.
+    grams = words.filter("n = 0").repartition(_COUNTING).mapInArrow(_count_ngrams(longest), _COUNTS)
+    sums = staged(words.unionByName(grams).groupBy(*keys).agg(total))
     is_word = F.col("n") == 0
-    order = [F.desc("count"), "key"]
-    nth = F.row_number().over(Window.partitionBy("lang", is_word).orderBy(*order))
     most = F.when(is_word, max_words // max(len(all_docs), 1)).otherwise(max_ngrams // max(len(all_docs), 1))
-    kept = sums.withColumn("nth", nth).filter(F.col("nth") <= most).select("n", "key").distinct()
+
+    def first(counts: DataFrame, *by: Column) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy("lang", is_word, *by).orderBy(F.desc("count"), "key"))
+        return counts.withColumn("nth", nth).filter(F.col("nth") <= most).drop("nth")
+
+    # The most frequent ones of a language are among those of its parts, so no task has all of them.
+    kept = first(first(sums, F.pmod(F.xxhash64("key"), F.lit(_PARTS)))).select("n", "key").distinct()
     by_key = sums.join(kept, ["n", "key"], "left_semi").groupBy("n", "key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by_lang"))
-    words, grams = {}, {}
+    by_word, by_gram = {}, {}
     for r in by_key.toLocalIterator():  # no more rows than max_words and max_ngrams
-        (grams if r["n"] else words)[r["key"]] = r["by_lang"]
-    return Model.of(words, grams, all_docs, longest)
+        (by_gram if r["n"] else by_word)[r["key"]] = r["by_lang"]
+    return Model.of(by_word, by_gram, all_docs, longest)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", evidence: bool = False) -> DataFrame:

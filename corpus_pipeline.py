@@ -24,14 +24,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts have no letter. Rows that are alike share one fate, whatever their ids; a null id or
     label stays as it is. Of equally likely languages the first by name counts. Without any labelled document
-    every document goes; no documents give none.
+    every document goes; no documents give none. All labelled documents teach the model and the evidence needed.
     """
-    sample, all_docs = language_id.labelled_sample(docs)
-    model = language_id.fit(sample, all_docs)
-    least = language_id.least_evidence(sample, model)
+    told = staged(language_id.predict(docs, language_id.train(docs), evidence=True))
+    least = language_id.least_evidence(told)
     needed = F.coalesce(*[F.when(F.col("lang_pred") == lang, e) for lang, e in least.items()], F.lit(0.0))
     likely = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return language_id.predict(docs, model, evidence=True).filter(likely & (F.col("evidence") >= needed)).select("row.*")
+    return told.filter(likely & (F.col("evidence") >= needed)).select("row.*")
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

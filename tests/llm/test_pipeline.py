@@ -7,7 +7,7 @@ import sys
 from collections import Counter
 
 import corpus_pipeline
-from clickloom.llm import jaccard, suffix_dedup
+from clickloom.llm import jaccard, language_id, suffix_dedup
 from clickloom.llm.shared import release, staged, tables_made
 from clickloom.sources.tables import load
 
@@ -66,6 +66,25 @@ def test_other_languages_go(spark, sf_dir):
         assert min(left) >= 0 and len(left) >= 0.98 * given.count()
 
 
+def test_every_labelled_document_teaches(spark, sf_dir):
+    """Each of 12,000 documents has a letter of its own, so only a model of all of them knows all."""
+    rows = [(i, chr(0x4E00 + i) * 2, "zh") for i in range(12_000)] + [(20_000, "Ж" * 3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert len(language_id.train(docs).words) == 12_000
+    left = [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, sf_dir).collect()]
+    assert sorted(left) == list(range(12_000))
+
+
+def test_evidence_needed(spark):
+    """Four fifths of the evidence of the last of the least hundredth, in each language by itself."""
+    rows = [(f"t{i}", i, lang, lang, i / 1000) for lang, n in (("de", 700), ("en", 101), ("fr", 3)) for i in range(n)]
+    rows += [("none", None, "de", "de", 0.0), ("no letter", 5, "de", "und", 0.0), ("no label", 6, None, "de", 0.0)]
+    told = spark.createDataFrame([((i, lang), pred, e) for _, i, lang, pred, e in rows], "row struct<doc_id:long,lang:string>, lang_pred string, evidence double")
+    least = language_id.least_evidence(told.repartition(5))
+    assert {lang: round(e / 0.8, 6) for lang, e in least.items()} == {"de": 0.006, "en": 0.001, "fr": 0.0}
+    assert language_id.least_evidence(told.limit(0)) == {}
+
+
 STAGED = "doc_id long, text string, lang string, source string, n_chars long, row string, score string"
 
 
